@@ -342,28 +342,39 @@ _LEVELS = 12
 _DAY_SHIFT = 1_000_000
 
 
-def _blocks(first: Column, last: Column) -> Column:
-    """Cut the day range [first, last] into aligned blocks of 4^level days, at most six per level."""
+def _cut_into_blocks(df: DataFrame, first: str, last: str) -> DataFrame:
+    """Cut the day range [first, last] into aligned blocks of 4^level days, at most six per level. Replaces the two
+    columns by ``level`` and ``block``."""
+    size, parent = F.col("_size"), F.col("_size") * 4
+    low = F.ceil(F.col(first) / size).cast("long")
+    high = F.floor((F.col(last) + 1) / size).cast("long") - 1
+    # blocks whose parent fits too are covered one level up
+    up_low = F.ceil(F.col(first) / parent).cast("long") * 4
+    up_high = (F.floor((F.col(last) + 1) / parent).cast("long") - 1) * 4 + 3
+    top = F.floor(F.log(4.0, F.col(last) - F.col(first) + 1) + 0.001).cast("int")
     none = F.array().cast("array<bigint>")
 
-    def run(low: Column, high: Column) -> Column:
-        return F.when(high >= low, F.sequence(low, high)).otherwise(none)
-
-    parts = []
-    for level in range(_LEVELS):
-        size, parent = 4**level, 4 ** (level + 1)
-        low = F.floor((first + (size - 1)) / size).cast("long")
-        high = F.floor((last + 1) / size).cast("long") - 1
-        if level == _LEVELS - 1:
-            blocks = run(low, high)
-        else:
-            up_low = F.floor((first + (parent - 1)) / parent).cast("long")
-            up_high = F.floor((last + 1) / parent).cast("long") - 1
-            blocks = F.when(up_low > up_high, run(low, high)).otherwise(
-                F.concat(run(low, up_low * 4 - 1), run((up_high + 1) * 4, high))
-            )
-        parts.append(F.transform(blocks, lambda b, k=level: F.struct(F.lit(k).alias("level"), b.alias("block"))))
-    return F.concat(*parts)
+    def run(a: Column, b: Column) -> Column:
+        return F.when(b >= a, F.sequence(a, b)).otherwise(none)
+
+    return (
+        df.withColumn("level", F.explode(F.sequence(F.lit(0), top)))
+        .withColumn("_size", F.get(_sizes(), F.col("level")))
+        .withColumns({"_low": low, "_high": high, "_up_low": up_low, "_up_high": up_high})
+        .withColumn(
+            "block",
+            F.explode(
+                F.when(F.col("_up_low") > F.col("_up_high"), run(F.col("_low"), F.col("_high"))).otherwise(
+                    F.concat(run(F.col("_low"), F.col("_up_low") - 1), run(F.col("_up_high") + 1, F.col("_high")))
+                )
+            ),
+        )
+        .drop(first, last, "_size", "_low", "_high", "_up_low", "_up_high")
+    )
+
+
+def _sizes() -> Column:
+    return F.array(*[F.lit(4**k).cast("long") for k in range(_LEVELS)])
 
 
 def overlap_classify(
@@ -397,24 +408,19 @@ def overlap_classify(
     def day(name: str) -> Column:
         return (F.unix_date(F.col(name)) + _DAY_SHIFT).cast("long")
 
+    inner = spans.filter(F.date_add(start, 1) < F.col(end)).select(
+        *keys, start, end, (day(start) + 1).alias("_first"), (day(end) - 1).alias("_last")
+    )
     covered = (
-        spans.filter(F.date_add(start, 1) < F.col(end))
-        .select(*keys, start, end, F.explode(_blocks(day(start) + 1, day(end) - 1)).alias("b"))
-        .groupBy(*keys, "b.level", "b.block")
+        _cut_into_blocks(inner, "_first", "_last")
+        .groupBy(*keys, "level", "block")
         .agg(F.max(start).alias("_last_start"), F.min(end).alias("_first_end"))
     )
-    at_levels = F.array(
-        *[
-            F.struct(F.lit(k).alias("level"), F.floor(F.col("_day") / 4**k).cast("long").alias("block"))
-            for k in range(_LEVELS)
-        ]
-    )
     stabbed = (
         spans.select(*keys, F.explode(F.array(start, end)).alias("_at"))
         .distinct()
-        .withColumn("_day", day("_at"))
-        .select(*keys, "_at", F.explode(at_levels).alias("b"))
-        .select(*keys, "_at", "b.level", "b.block")
+        .select(*keys, "_at", day("_at").alias("_day"), F.posexplode(_sizes()).alias("level", "_size"))
+        .withColumn("block", F.floor(F.col("_day") / F.col("_size")).cast("long"))
         .join(covered, [*keys, "level", "block"])
         .groupBy(*keys, "_at")
         .agg(F.max("_last_start").alias("_last_start"), F.min("_first_end").alias("_first_end"))

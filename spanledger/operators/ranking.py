@@ -28,7 +28,11 @@ def row_number_by(
     d = df
     if tie is None:
         d, tie = df.withColumn("_tie", row_digest(df.columns)), "_tie"
-    marked = mark_hot(d, hot_keys(d, keys, policy), keys)
+    found = hot_keys(d, keys, policy)
+    if found is None:
+        number = F.row_number().over(Window.partitionBy(*keys).orderBy(at, tie))
+        return d.withColumn(out, number.cast("long")).select(*df.columns, out)
+    marked = mark_hot(d, found, keys)
     hot = F.col("_pieces").isNotNull()
     cut = marked.withColumn("_cut", F.when(hot, F.struct(F.col(at), F.substring(tie, 1, 3)))).drop("_pieces")
     order = Window.partitionBy(*keys).orderBy("_cut").rowsBetween(Window.unboundedPreceding, -1)

@@ -333,10 +333,10 @@ def _(spark, sf):
 
 @case(
     "lead_per_phone",
-    """SELECT contact_desc, at AS seg_start, lead(at) OVER w AS seg_end
-FROM (SELECT contact_desc, effective_from_date AS at FROM fx_contact
+    """SELECT contact_desc, pt AS seg_start, lead(pt) OVER w AS seg_end
+FROM (SELECT contact_desc, effective_from_date AS pt FROM fx_contact
       UNION SELECT contact_desc, effective_to_date FROM fx_contact) p
-WINDOW w AS (PARTITION BY contact_desc ORDER BY at)""",
+WINDOW w AS (PARTITION BY contact_desc ORDER BY pt)""",
 )
 def _(spark, sf):
     from spanledger.operators.intervals import next_point

@@ -44,8 +44,8 @@ def _(spark, sf):
 
 
 FRAGMENTS = """SELECT {columns}, s.a AS business_start_dt, s.b AS business_end_dt
-FROM (SELECT {key}, at AS a, lead(at) OVER (PARTITION BY {key} ORDER BY at) AS b
-      FROM (SELECT {key}, business_start_dt AS at FROM fx_span UNION SELECT {key}, business_end_dt FROM fx_span) p) s
+FROM (SELECT {key}, pt AS a, lead(pt) OVER (PARTITION BY {key} ORDER BY pt) AS b
+      FROM (SELECT {key}, business_start_dt AS pt FROM fx_span UNION SELECT {key}, business_end_dt FROM fx_span) p) s
 JOIN fx_span t ON s.{key} = t.{key} AND greatest(t.business_start_dt, s.a) < least(t.business_end_dt, s.b)
 WHERE s.b IS NOT NULL"""
 CTES["span_pieces"] = FRAGMENTS.format(key="phone_num", columns="t.mdm_customer_rk, t.phone_type_cd, t.phone_num")
@@ -168,12 +168,6 @@ def _(spark, sf):
     return iv.coalesce_intervals(rows, ["user_id", "event_type"], "valid_from", "valid_to")
 
 
-@case("coalesce_intervals_global", islands_sql("fx_sparse", "phone_num", START, END))
-def _(spark, sf):
-    """Short intervals of a few phones, so that the table has gaps: whole-table islands differ from per-key ones."""
-    return iv.coalesce_intervals_global(sparse_spans(spark, sf), ["phone_num"], START, END)
-
-
 CTES["fx_sparse"] = """
 SELECT 'p' || CAST(o_custkey % 40 AS VARCHAR) AS phone_num,
        CAST(o_orderdate AS DATE) AS business_start_dt,
@@ -181,6 +175,12 @@ SELECT 'p' || CAST(o_custkey % 40 AS VARCHAR) AS phone_num,
 FROM orders WHERE date_part('day', o_orderdate) < 20"""
 
 
+@case("coalesce_intervals_global", islands_sql("fx_sparse", "phone_num", START, END))
+def _(spark, sf):
+    """Short intervals of a few phones, so that the table has gaps: whole-table islands differ from per-key ones."""
+    return iv.coalesce_intervals_global(sparse_spans(spark, sf), ["phone_num"], START, END)
+
+
 def sparse_spans(spark, sf):
     day = F.to_date("o_orderdate")
     return (

@@ -154,8 +154,8 @@ FROM digested"""
 def fragments_sql(source: str, key: str) -> str:
     return f"""
 SELECT t.* REPLACE (s.seg_start AS business_start_dt, s.seg_end AS business_end_dt)
-FROM (SELECT {key} AS k, at AS seg_start, lead(at) OVER (PARTITION BY {key} ORDER BY at) AS seg_end
-      FROM (SELECT {key}, business_start_dt AS at FROM {source} UNION SELECT {key}, business_end_dt FROM {source}) p) s
+FROM (SELECT {key} AS k, pt AS seg_start, lead(pt) OVER (PARTITION BY {key} ORDER BY pt) AS seg_end
+      FROM (SELECT {key}, business_start_dt AS pt FROM {source} UNION SELECT {key}, business_end_dt FROM {source}) p) s
 LEFT JOIN {source} t ON s.k = t.{key}
   AND greatest(t.business_start_dt, s.seg_start) < least(t.business_end_dt, s.seg_end)
 WHERE s.seg_end IS NOT NULL AND t.mdm_customer_rk IS NOT NULL"""

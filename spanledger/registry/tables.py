@@ -35,7 +35,7 @@ FROM (VALUES ('0', 'Юридическое лицо'), ('1', 'Физическо
 JOIN fx_counterparty c ON c.counterparty_type_cd = t.cd GROUP BY 1, 2""",
 )
 def _(spark, sf):
-    kinds = S.seed_rows(spark, C.COUNTERPARTY_TYPES, "counterparty_type_cd string, counterparty_type_name string")
+    kinds = S.seed_rows(spark, C.COUNTERPARTY_TYPES, ["counterparty_type_cd", "counterparty_type_name"])
     counted = X.counterparties(spark, sf).groupBy("counterparty_type_cd").agg(
         F.count(F.lit(1)).alias("counterparties")
     )

@@ -16,12 +16,12 @@ from pyspark.sql import functions as F
 @dataclass(frozen=True)
 class SkewPolicy:
     """``hot_rows``: rows of one key that one task may hold. ``max_hot``: size bound of the list of hot keys; a key
-    outside the longest ``max_hot`` has less than ``1/max_hot`` of all rows. ``max_salts``: pieces of one key in a
+    outside the longest ``max_hot`` has less than ``1/max_hot`` of all rows. ``max_pieces``: pieces of one key in a
     join. ``slot``: time unit that splits a hot key in a window over timestamps."""
 
     hot_rows: int = 1_000_000
     max_hot: int = 4096
-    max_salts: int = 1024
+    max_pieces: int = 1024
     slot: str = "hour"
 
 
@@ -29,8 +29,14 @@ DEFAULT_POLICY = SkewPolicy()
 BROADCAST_ROWS = 1_000_000
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], policy: SkewPolicy = DEFAULT_POLICY) -> DataFrame:
-    """The at most ``max_hot`` largest keys above ``hot_rows`` rows, with the number of pieces to cut them into."""
+def hot_keys(df: DataFrame, keys: Sequence[str], policy: SkewPolicy = DEFAULT_POLICY) -> DataFrame | None:
+    """The at most ``max_hot`` largest keys above ``hot_rows`` rows, with the number of pieces to cut them into.
+
+    None if the whole table is no larger than ``hot_rows``; for a stored table that count comes from file footers.
+    ``df`` is read again by what follows, so it should be a stored table or a narrow projection of one.
+    """
+    if df.count() <= policy.hot_rows:
+        return None
     return (
         df.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_n"))
@@ -39,13 +45,15 @@ def hot_keys(df: DataFrame, keys: Sequence[str], policy: SkewPolicy = DEFAULT_PO
         .limit(policy.max_hot)
         .select(
             *[F.col(k).alias(f"_hot_{k}") for k in keys],
-            F.least(F.ceil(F.col("_n") / policy.hot_rows), F.lit(policy.max_salts)).cast("int").alias("_pieces"),
+            F.least(F.ceil(F.col("_n") / policy.hot_rows), F.lit(policy.max_pieces)).cast("int").alias("_pieces"),
         )
     )
 
 
-def mark_hot(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> DataFrame:
+def mark_hot(df: DataFrame, hot: DataFrame | None, keys: Sequence[str]) -> DataFrame:
     """Add ``_pieces`` (NULL for ordinary keys). The broadcast list is bounded by ``max_hot``."""
+    if hot is None:
+        return df.withColumn("_pieces", F.lit(None).cast("int"))
     same = F.lit(True)
     for k in keys:
         same = same & df[k].eqNullSafe(hot[f"_hot_{k}"])
@@ -66,22 +74,25 @@ def salted_join(
     should be small per key. ``residual`` may name any non-key column, which must differ between the sides.
     """
     hot = hot_keys(left, keys, policy)
-    spread = mark_hot(left, hot, keys).withColumn(
-        "_salt",
-        F.coalesce(F.pmod(F.xxhash64(*left.columns), F.col("_pieces").cast("long")).cast("int"), F.lit(0)),
-    )
+    renamed = {k: f"_r_{k}" for k in keys}
+    on = F.lit(True)
+    for k in keys:
+        on = on & (F.col(k) == F.col(renamed[k]))
+    if residual is not None:
+        on = on & residual
+    if hot is None:
+        return left.join(right.withColumnsRenamed(renamed), on, how).drop(*renamed.values())
+    salt = F.pmod(F.xxhash64(*left.columns), F.col("_pieces").cast("long")).cast("int")
+    spread = mark_hot(left, hot, keys).withColumn("_salt", F.coalesce(salt, F.lit(0))).drop("_pieces")
     copied = (
         mark_hot(right, hot, keys)
         .withColumn("_r_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_pieces", F.lit(1)) - 1)))
         .drop("_pieces")
-        .withColumnsRenamed({k: f"_r_{k}" for k in keys})
+        .withColumnsRenamed(renamed)
+    )
+    return spread.join(copied, on & (F.col("_salt") == F.col("_r_salt")), how).drop(
+        "_salt", "_r_salt", *renamed.values()
     )
-    on = F.col("_salt") == F.col("_r_salt")
-    for k in keys:
-        on = on & (F.col(k) == F.col(f"_r_{k}"))
-    if residual is not None:
-        on = on & residual
-    return spread.drop("_pieces").join(copied, on, how).drop("_salt", "_r_salt", *[f"_r_{k}" for k in keys])
 
 
 def aggregate_over(
@@ -94,7 +105,7 @@ def aggregate_over(
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Broadcast hint only when the row count was checked; beyond the bound the join shuffles both sides."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    return F.broadcast(df) if df.count() <= max_rows else df
 
 
 _SLOT_TEXT = {"day": 10, "hour": 13, "minute": 16}

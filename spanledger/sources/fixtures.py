@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from spanledger import constants as C
 from spanledger.functions import ntz
 from spanledger.scale import salted_join
+from spanledger.sources.tables import seed_rows
 
 OLD_SNAPSHOT_END = "1998-01-01 00:00:00"
 NEW_SNAPSHOT_START = "1996-01-01 00:00:00"
@@ -58,7 +59,7 @@ def counterparties(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def counterparty_types(spark: SparkSession) -> DataFrame:
     rows = [("0", "юридическое лицо", "MDMP"), ("1", C.INDIVIDUAL, "MDMP")]
-    d = spark.createDataFrame(rows, "counterparty_type_cd string, counterparty_type_desc string, src_cd string")
+    d = seed_rows(spark, rows, ["counterparty_type_cd", "counterparty_type_desc", "src_cd"])
     return d.withColumn("effective_from_date", F.lit(C.FIRST_DATE).cast("date")).withColumn(
         "effective_to_date", F.lit(C.LAST_DATE).cast("date")
     )
@@ -134,10 +135,16 @@ def request_source(changes: DataFrame) -> DataFrame:
 
 
 def empty_history(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        [],
-        "id bigint, status_nm string, create_dttm timestamp_ntz, hash_key binary, valid_from_dttm timestamp_ntz, "
-        "valid_to_dttm timestamp_ntz, deleted_flg boolean, deleted_dttm timestamp_ntz",
+    at = F.lit(None).cast("timestamp_ntz")
+    return spark.range(0).select(
+        "id",
+        F.lit(None).cast("string").alias("status_nm"),
+        at.alias("create_dttm"),
+        F.lit(None).cast("binary").alias("hash_key"),
+        at.alias("valid_from_dttm"),
+        at.alias("valid_to_dttm"),
+        F.lit(None).cast("boolean").alias("deleted_flg"),
+        at.alias("deleted_dttm"),
     )
 
 

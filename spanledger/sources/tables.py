@@ -51,8 +51,10 @@ def jdbc_replace(df: DataFrame, url: str, table: str, **options: str) -> None:
     ).mode("overwrite").save()
 
 
-def seed_rows(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
-    return spark.createDataFrame(list(rows), schema)
+def seed_rows(spark: SparkSession, rows: Sequence[tuple], columns: Sequence[str]) -> DataFrame:
+    """Literal dictionary rows, part of the plan itself."""
+    structs = [F.struct(*[F.lit(v).alias(c) for c, v in zip(columns, row, strict=True)]) for row in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))
 
 
 def apply_defaults(df: DataFrame, defaults: Mapping[str, Column]) -> DataFrame:

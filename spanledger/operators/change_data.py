@@ -230,6 +230,46 @@ class LoadResult:
     recomputed: DataFrame
     stage: DataFrame
     checks: DataFrame
+    steps: DataFrame
+
+
+def _load_steps(versions: DataFrame, recomputed: DataFrame, batch: DataFrame) -> DataFrame:
+    """What each step of a load did, as rows for the audit log: message, category, type_operation, count_row."""
+    origin = F.col("_origin")
+    counted = versions.agg(
+        F.count_if(origin == "new").alias("new"),
+        F.count_if(origin == "change").alias("change"),
+        F.count_if(F.col("valid_to_dttm") == ntz(C.OPEN_END)).alias("open"),
+        F.count(F.lit(1)).alias("merged"),
+        F.lit(0).cast("long").alias("processed"),
+    )
+    zero = F.lit(0).cast("long")
+    kept = recomputed.agg(
+        zero.alias("new"), zero.alias("change"), zero.alias("open"), (-F.count(F.lit(1))).alias("merged"), zero.alias("processed")
+    )
+    done = batch.agg(
+        zero.alias("new"), zero.alias("change"), zero.alias("open"), zero.alias("merged"), F.count(F.lit(1)).alias("processed")
+    )
+    total = counted.unionByName(kept).unionByName(done).agg(
+        *[F.sum(c).alias(c) for c in ["new", "change", "open", "merged", "processed"]]
+    )
+    steps = [
+        ("new entities", 0, "insert", "new"),
+        ("changes of known entities", 0, "insert", "change"),
+        ("version ends", 0, "update", "open"),
+        ("merged versions", 1, "", "merged"),
+        ("stage rows marked", 0, "update", "processed"),
+    ]
+    rows = [
+        F.struct(
+            F.lit(message).alias("message"),
+            F.lit(category).alias("category"),
+            F.lit(operation).alias("type_operation"),
+            F.col(c).alias("count_row"),
+        )
+        for message, category, operation, c in steps
+    ]
+    return total.select(F.inline(F.array(*rows)))
 
 
 def load_history(
@@ -259,11 +299,17 @@ def load_history(
     new = insert_new(batch, known)
     changes = insert_changes(batch, known.unionByName(history_keys(new)))
     # written once: the steps below read it several times, each a few columns
-    versions = materialize(old.unionByName(new).unionByName(changes), "versions")
-    recomputed = close_and_coalesce(versions, close, policy)
+    tagged = materialize(
+        old.withColumn("_origin", F.lit("old"))
+        .unionByName(new.withColumn("_origin", F.lit("new")))
+        .unionByName(changes.withColumn("_origin", F.lit("change"))),
+        "versions",
+    )
+    recomputed = close_and_coalesce(tagged.drop("_origin"), close, policy)
     return LoadResult(
         history=recomputed if rest is None else rest.select(*HISTORY).unionByName(recomputed),
         recomputed=recomputed,
         stage=mark_processed(stage, batch),
         checks=history_checks(batch, old),
+        steps=_load_steps(tagged, recomputed, batch),
     )

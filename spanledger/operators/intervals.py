@@ -273,20 +273,20 @@ def other_owner_spans(df: DataFrame, key: str, owner: str, start: str, end: str)
     merged = coalesce_intervals(valid.select(key, owner, start, end), [key, owner], start, end)
     steps = merged.select(
         key,
-        F.explode(
+        F.inline(
             F.array(
-                F.struct(F.col(start).alias("at"), F.lit(1).alias("step")),
-                F.struct(F.col(end).alias("at"), F.lit(-1).alias("step")),
+                F.struct(F.col(start).alias("_at"), F.lit(1).alias("_step")),
+                F.struct(F.col(end).alias("_at"), F.lit(-1).alias("_step")),
             )
-        ).alias("e"),
-    ).select(key, "e.at", "e.step")
-    asked = valid.select(key, F.col(start).alias("at"), F.lit(0).alias("step"))
-    points = steps.unionByName(asked).groupBy(key, "at").agg(F.sum("step").alias("step"))
-    window = Window.partitionBy(key).orderBy("at")
+        ),
+    )
+    asked = valid.select(key, F.col(start).alias("_at"), F.lit(0).alias("_step"))
+    points = steps.unionByName(asked).groupBy(key, "_at").agg(F.sum("_step").alias("_step"))
+    window = Window.partitionBy(key).orderBy("_at")
     return (
-        points.withColumn("_owners", F.sum("step").over(window.rowsBetween(BEFORE, 0)))
-        .withColumn("_from", F.when(F.col("_owners") > 1, F.col("at")))
-        .select(key, F.col("at").alias("_at"), F.min("_from").over(window.rowsBetween(0, AFTER)).alias("_shared_from"))
+        points.withColumn("_owners", F.sum("_step").over(window.rowsBetween(BEFORE, 0)))
+        .withColumn("_from", F.when(F.col("_owners") > 1, F.col("_at")))
+        .select(key, "_at", F.min("_from").over(window.rowsBetween(0, AFTER)).alias("_shared_from"))
     )
 
 
@@ -312,30 +312,30 @@ def overlap_conflicts(df: DataFrame, key: str, owner: str, start: str, end: str)
         points = (
             valid.select(
                 *keys,
-                F.explode(
+                F.inline(
                     F.array(
-                        F.struct(F.col(start).alias("at"), F.lit(1).alias("s"), F.lit(0).alias("e")),
-                        F.struct(F.col(end).alias("at"), F.lit(0).alias("s"), F.lit(1).alias("e")),
+                        F.struct(F.col(start).alias("_at"), F.lit(1).alias("_s"), F.lit(0).alias("_e")),
+                        F.struct(F.col(end).alias("_at"), F.lit(0).alias("_s"), F.lit(1).alias("_e")),
                     )
-                ).alias("p"),
+                ),
             )
-            .groupBy(*keys, F.col("p.at").alias("at"))
-            .agg(F.sum("p.s").alias("s"), F.sum("p.e").alias("e"))
+            .groupBy(*keys, "_at")
+            .agg(F.sum("_s").alias("_s"), F.sum("_e").alias("_e"))
         )
-        window = Window.partitionBy(*keys).orderBy("at")
-        started = F.coalesce(F.sum("s").over(window.rowsBetween(BEFORE, -1)), F.lit(0)).cast("decimal(19,0)")
-        ended = F.sum("e").over(window.rowsBetween(BEFORE, 0)).cast("decimal(19,0)")
+        window = Window.partitionBy(*keys).orderBy("_at")
+        started = F.coalesce(F.sum("_s").over(window.rowsBetween(BEFORE, -1)), F.lit(0)).cast("decimal(19,0)")
+        ended = F.sum("_e").over(window.rowsBetween(BEFORE, 0)).cast("decimal(19,0)")
+        starts, ends = F.col("_s").cast("decimal(18,0)"), F.col("_e").cast("decimal(18,0)")
         return (
-            points.withColumn("started", started)
-            .withColumn("ended", ended)
-            .withColumn("n", F.col("e").cast("decimal(18,0)") * F.col("started") - F.col("s").cast("decimal(18,0)") * F.col("ended"))
+            points.withColumn("_started", started)
+            .withColumn("_ended", ended)
             .groupBy(*keys)
-            .agg(F.sum("n").cast("decimal(38,0)").alias("pairs"))
+            .agg(F.sum(ends * F.col("_started") - starts * F.col("_ended")).cast("decimal(38,0)").alias("_pairs"))
         )
 
-    every = overlapping_pairs([key]).select(key, "pairs")
-    same = overlapping_pairs([key, owner]).select(key, (-F.col("pairs")).alias("pairs"))
-    return every.unionByName(same).groupBy(key).agg(F.sum("pairs").cast("decimal(38,0)").alias("conflicts"))
+    every = overlapping_pairs([key]).select(key, "_pairs")
+    same = overlapping_pairs([key, owner]).select(key, (-F.col("_pairs")).alias("_pairs"))
+    return every.unionByName(same).groupBy(key).agg(F.sum("_pairs").cast("decimal(38,0)").alias("conflicts"))
 
 
 _LEVELS = 12

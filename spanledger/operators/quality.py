@@ -66,17 +66,17 @@ def history_gaps(df: DataFrame, keys: Sequence[str], start: str, end: str) -> Da
     per key and distinct start.
     """
     per_start = df.groupBy(*keys, start).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_if(F.col(start) == F.col(end)).alias("empty"),
-        F.max(end).alias("last_end"),
+        F.count(F.lit(1)).alias("_n"),
+        F.count_if(F.col(start) == F.col(end)).alias("_empty"),
+        F.max(end).alias("_last_end"),
     )
     following = F.lead(start).over(Window.partitionBy(*keys).orderBy(F.col(start).asc_nulls_last()))
-    last_is_empty = F.coalesce(F.col("last_end") == F.col(start), F.lit(False)).cast("long")
+    last_is_empty = F.coalesce(F.col("_last_end") == F.col(start), F.lit(False)).cast("long")
     # a row before another with the same start is fine only if it is empty
-    inner = F.when(F.col(start).isNull(), 0).otherwise(F.col("n") - 1 - (F.col("empty") - last_is_empty))
-    outer = F.when(F.col("following").isNull(), 0).when(F.col("following") == F.col("last_end"), 0).otherwise(1)
+    inner = F.when(F.col(start).isNull(), 0).otherwise(F.col("_n") - 1 - (F.col("_empty") - last_is_empty))
+    outer = F.when(F.col("_following").isNull(), 0).when(F.col("_following") == F.col("_last_end"), 0).otherwise(1)
     return (
-        per_start.withColumn("following", following)
+        per_start.withColumn("_following", following)
         .agg(F.sum(inner + outer).cast("long").alias("result"))
     )
 

@@ -12,6 +12,7 @@ from spanledger.functions import ntz
 from spanledger.operators.change_data import capture_changes
 from spanledger.operators.intervals import coalesce_intervals, lead_in_slots
 from spanledger.scale import DEFAULT_POLICY, SkewPolicy, with_time_slot
+from spanledger.session import materialize
 
 
 def versions_from_changes(changes: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -40,6 +41,7 @@ def snapshot_history(
     versions = versions_from_changes(capture_changes(old, new, key, stamp), key)
     if history is not None:
         versions = history.unionByName(versions)
+    versions = materialize(versions, "snapshot-versions")
     attributes = [c for c in versions.columns if c not in ("valid_from_dttm", "valid_to_dttm")]
     slotted = with_time_slot(versions, list(key), "valid_from_dttm", policy)
     closed = lead_in_slots(slotted, list(key), "valid_from_dttm", "_next").withColumn(

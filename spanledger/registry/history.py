@@ -9,8 +9,11 @@ from spanledger.operators import change_data as D
 from spanledger.registry import sql_inputs  # noqa: F401
 from spanledger.registry.base import case
 from spanledger.registry.sql_inputs import HISTORY_COLUMNS, OPEN
+from spanledger.registry.tables import scratch_path
 from spanledger.session import materialize
 from spanledger.sources import fixtures as X
+from spanledger.sources.history_table import HistoryTable
+from spanledger.streaming.stage import load_available, read_stage, stage_available
 
 STAMP = "2024-02-01 00:00:00"
 
@@ -26,10 +29,10 @@ def staged(spark, sf):
 def batches(spark, sf):
     """The stage cut in two by stamp."""
     stage = staged(spark, sf)
-    return D.unprocessed_batch(D_first(stage)), stage.filter(F.col("stamp") >= ntz(X.SECOND_BATCH_FROM))
+    return before_cut(stage), stage.filter(F.col("stamp") >= ntz(X.SECOND_BATCH_FROM))
 
 
-def D_first(stage):
+def before_cut(stage):
     return stage.filter(F.col("stamp") < ntz(X.SECOND_BATCH_FROM))
 
 
@@ -143,7 +146,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     stage = staged(spark, sf)
-    marked = D.mark_processed(stage, D_first(stage))
+    marked = D.mark_processed(stage, before_cut(stage))
     return hex_key(marked).select("id", "operation", "stamp", "hash_key", "is_processed_flg")
 
 
@@ -163,6 +166,39 @@ def _(spark, sf):
     ).select(*D.HISTORY)
 
 
+def staged_by_stream(spark, sf) -> str:
+    """Write the feed as files in two drops and stage them with the streaming job."""
+    root = scratch_path(spark, "stream")
+    feed = X.feed(spark, sf).withColumn("drop", (F.col("stamp") >= ntz(X.SECOND_BATCH_FROM)).cast("int"))
+    feed.write.partitionBy("drop").parquet(f"{root}/feed")
+    for _ in range(2):
+        stage_available(spark, f"{root}/feed/*", f"{root}/stage", f"{root}/stage-checkpoint")
+    return root
+
+
+@case("stage_new_changes_stream", "SELECT id, operation, stamp, hash_key FROM keyed_feed")
+def _(spark, sf):
+    stage = read_stage(spark, f"{staged_by_stream(spark, sf)}/stage")
+    return hex_key(stage).select("id", "operation", "stamp", "hash_key")
+
+
+@case("load_history_stream", f"SELECT {HISTORY_COLUMNS} FROM once_history")
+def _(spark, sf):
+    root = staged_by_stream(spark, sf)
+    table = HistoryTable(spark, f"{root}/history", buckets=16)
+    load_available(table, f"{root}/stage", f"{root}/history-checkpoint")
+    return hex_key(table.read())
+
+
+@case("load_steps", """SELECT 'new entities' AS message, 0 AS category, 'insert' AS type_operation, count(*) AS count_row FROM once_new
+UNION ALL SELECT 'changes of known entities', 0, 'insert', count(*) FROM once_changes
+UNION ALL SELECT 'version ends', 0, 'update', count(*) FROM once_versions
+UNION ALL SELECT 'merged versions', 1, '', (SELECT count(*) FROM once_versions) - (SELECT count(*) FROM once_history)
+UNION ALL SELECT 'stage rows marked', 0, 'update', count(*) FROM once_batch""")
+def _(spark, sf):
+    return loaded(spark, sf).steps
+
+
 @case("current_state", "SELECT * FROM recovered")
 def _(spark, sf):
     return D.current_state(loaded(spark, sf).history)

@@ -11,7 +11,19 @@ from spanledger.session import build_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = build_session("tests", "local[8]", **{"spark.sql.shuffle.partitions": "4", "spark.driver.memory": "6g"})
+    # tiny inputs: most of the time would go into compiling and re-planning
+    session = build_session(
+        "tests",
+        "local[8]",
+        **{
+            "spark.sql.shuffle.partitions": "2",
+            "spark.driver.memory": "6g",
+            "spark.sql.codegen.wholeStage": "false",
+            "spark.sql.codegen.factoryMode": "NO_CODEGEN",
+            "spark.sql.adaptive.enabled": "false",
+            "spark.default.parallelism": "2",
+        },
+    )
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

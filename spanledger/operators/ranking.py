@@ -12,6 +12,9 @@ from spanledger.functions import row_digest
 from spanledger.scale import DEFAULT_POLICY, SkewPolicy, hot_keys, mark_hot
 
 
+COPIES_PER_TASK = 1_000_000
+
+
 def row_number_by(
     df: DataFrame,
     keys: Sequence[str],
@@ -19,40 +22,56 @@ def row_number_by(
     out: str,
     tie: str | None = None,
     policy: SkewPolicy = DEFAULT_POLICY,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """``row_number() over (partition by keys order by at, tie)``; ``tie`` defaults to a digest of the whole row.
 
-    A hot key is cut by (``at``, first digits of the digest), which follows the order; each cut starts from the number
-    of rows in the cuts before it.
+    ``counted``: a stored table with the same keys per row in which to look for hot keys, if ``df`` is not stored.
     """
     d = df
     if tie is None:
         d, tie = df.withColumn("_tie", row_digest(df.columns)), "_tie"
-    found = hot_keys(d, keys, policy)
-    if found is None:
-        number = F.row_number().over(Window.partitionBy(*keys).orderBy(at, tie))
-        return d.withColumn(out, number.cast("long")).select(*df.columns, out)
-    marked = mark_hot(d, found, keys)
-    hot = F.col("_pieces").isNotNull()
-    cut = marked.withColumn("_cut", F.when(hot, F.struct(F.col(at), F.substring(tie, 1, 3)))).drop("_pieces")
+    number = F.row_number().over(Window.partitionBy(*keys).orderBy(at, tie)).cast("long")
+    hot = hot_keys(d if counted is None else counted, keys, policy)
+    if hot is None:
+        return d.withColumn(out, number).select(*df.columns, out)
+    marked = mark_hot(d, hot, keys)
+    ordinary = marked.filter(F.col("_pieces").isNull()).withColumn(out, number).select(*df.columns, out)
+    split = _number_hot(marked.filter(F.col("_pieces").isNotNull()).drop("_pieces"), keys, at, tie, out)
+    return ordinary.unionByName(split.select(*df.columns, out))
+
+
+def _number_hot(df: DataFrame, keys: Sequence[str], at: str, tie: str, out: str) -> DataFrame:
+    """Rows of hot keys: copies are counted first, then each key is cut by (``at``, first digits of the digest), which
+    follows the order. A cut starts from the number of rows in the cuts before it."""
+    cut = F.struct(F.col(at), F.substring(tie, 1, 3)).alias("_cut")
+    distinct = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies")).select("*", cut)
     order = Window.partitionBy(*keys).orderBy("_cut").rowsBetween(Window.unboundedPreceding, -1)
     carried = (
-        cut.filter(F.col("_cut").isNotNull())
-        .groupBy(*keys, "_cut")
+        df.groupBy(*keys, cut)
         .agg(F.count(F.lit(1)).alias("_rows"))
-        .withColumn("_step", F.coalesce(F.sum("_rows").over(order), F.lit(0)))
-        .select(*keys, "_cut", "_step", F.lit(0).alias("_own"))
-    )
-    own = cut.withColumn("_step", F.lit(1).cast("long")).withColumn("_own", F.lit(1))
-    running = (
-        Window.partitionBy(*keys, "_cut").orderBy("_own", at, tie).rowsBetween(Window.unboundedPreceding, 0)
+        .withColumn("_copies", F.coalesce(F.sum("_rows").over(order), F.lit(0)))
+        .select(*keys, "_cut", "_copies", F.lit(0).alias("_own"))
     )
-    return (
-        own.unionByName(carried, allowMissingColumns=True)
-        .withColumn(out, F.sum("_step").over(running))
+    running = Window.partitionBy(*keys, "_cut").orderBy("_own", at, tie).rowsBetween(Window.unboundedPreceding, 0)
+    numbered = (
+        distinct.withColumn("_own", F.lit(1))
+        .unionByName(carried, allowMissingColumns=True)
+        .withColumn("_to", F.sum("_copies").over(running))
         .filter(F.col("_own") == 1)
-        .select(*df.columns, out)
+        .withColumn("_from", F.col("_to") - F.col("_copies") + 1)
+    )
+    # one row per copy again; very many copies are first cut into ranges that different tasks list
+    several = F.col("_copies") > COPIES_PER_TASK
+    few = numbered.filter(~several)
+    step = F.lit(COPIES_PER_TASK).cast("long")
+    many = (
+        numbered.filter(several)
+        .withColumn("_from", F.explode(F.sequence("_from", "_to", step)))
+        .repartition("_from")
+        .withColumn("_to", F.least(F.col("_from") + step - 1, F.col("_to")))
     )
+    return few.unionByName(many).withColumn(out, F.explode(F.sequence("_from", "_to")))
 
 
 def surrogate_key(new: DataFrame, existing: DataFrame | None, key: str, dense: bool, order: Sequence[str] = ()):

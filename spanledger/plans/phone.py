@@ -89,8 +89,9 @@ def rank_contacts(contacts: DataFrame, policy: SkewPolicy = DEFAULT_POLICY) -> D
     every criterion. Ties in the start date are broken by a digest of the row."""
     listed = contacts.filter(F.col("src_cd").isin(C.CONTACT_SOURCES))
     listed = listed.withColumn("_tie", row_digest(contacts.columns))
-    ranked = row_number_by(listed, ["contact_desc"], "effective_from_date", "rang_start_phone_num", "_tie", policy)
-    ranked = row_number_by(ranked, ["counterparty_rk"], "effective_from_date", "rang_start_client_num", "_tie", policy)
+    start = "effective_from_date"
+    ranked = row_number_by(listed, ["contact_desc"], start, "rang_start_phone_num", "_tie", policy)
+    ranked = row_number_by(ranked, ["counterparty_rk"], start, "rang_start_client_num", "_tie", policy, counted=listed)
     kind = F.col("contact_type_cd")
     return ranked.select(
         F.col("uniq_counterparty_rk").alias("mdm_customer_rk"),

@@ -12,6 +12,7 @@ from spanledger.plans.requests import correlation
 from spanledger.registry import sql_inputs  # noqa: F401
 from spanledger.registry.base import case
 from spanledger.registry.sql_inputs import weight_sql
+from spanledger.session import materialize
 from spanledger.sources import fixtures as X
 
 
@@ -359,7 +360,7 @@ def _(spark, sf):
     from spanledger.operators.intervals import next_point
     from spanledger.scale import DEFAULT_POLICY
 
-    points = X.feed(spark, sf).select("id", "stamp")
+    points = materialize(X.feed(spark, sf).select("id", "stamp"), "points")
     led = next_point(points, ["id"], "stamp", "next_stamp", DEFAULT_POLICY)
     return led.withColumn("next_stamp", F.coalesce("next_stamp", ntz(C.OPEN_END)))
 

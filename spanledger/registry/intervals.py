@@ -8,6 +8,7 @@ from spanledger.operators import intervals as iv
 from spanledger.registry import sql_inputs  # noqa: F401
 from spanledger.registry.base import CTES, case
 from spanledger.registry.sql_inputs import islands_sql
+from spanledger.session import materialize
 from spanledger.sources import fixtures as X
 
 START, END = "business_start_dt", "business_end_dt"
@@ -125,7 +126,7 @@ FROM weighted_pieces a""",
 )
 def _(spark, sf):
     weight = (F.length("phone_type_cd") + F.col("mdm_customer_rk") % 7).alias("weight")
-    pieces = iv.fragment(spans(spark, sf), ["phone_num"], START, END).select("*", weight)
+    pieces = materialize(iv.fragment(spans(spark, sf), ["phone_num"], START, END).select("*", weight), "pieces")
     return iv.best_in_overlap(pieces, ["phone_num"], START, END, "weight", "best_flg")
 
 

@@ -68,3 +68,12 @@ def test_surrogate_key(spark):
     assert {r.name: r.id for r in dense} == {"a": 8, "b": 9}
     loose = surrogate_key(names, None, "id", dense=False).collect()
     assert len({r.id for r in loose}) == 2
+
+
+def test_very_many_copies_are_listed_in_ranges(spark, monkeypatch):
+    from spanledger.operators import ranking
+
+    monkeypatch.setattr(ranking, "COPIES_PER_TASK", 4)
+    df = spark.createDataFrame([("a", 1)] * 11 + [("a", 0), ("b", 5)], "k string, w int")
+    got = sorted((r.k, r.w, r.n) for r in row_number_by(df, ["k"], "w", "n", policy=SPLIT).collect())
+    assert got == [("a", 0, 1)] + [("a", 1, n) for n in range(2, 13)] + [("b", 5, 1)]

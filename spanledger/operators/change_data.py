@@ -7,11 +7,18 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from spanledger import constants as C
 from spanledger.functions import entity_hash, ntz
-from spanledger.operators.intervals import coalesce_intervals, lead_in_slots
-from spanledger.scale import DEFAULT_POLICY, SkewPolicy, broadcast_if_small, with_time_slot
+from spanledger.operators.intervals import (
+    coalesce_in_slots,
+    coalesce_intervals,
+    coalesce_whole,
+    lead_in_slots,
+    next_value,
+)
+from spanledger.scale import DEFAULT_POLICY, SkewPolicy, broadcast_if_small, split_hot, time_slot
 from spanledger.session import materialize
 
 FEED = ["id", "status_nm", "create_dttm", "update_dttm", "operation", "stamp"]
@@ -128,31 +135,42 @@ def insert_changes(batch: DataFrame, known: DataFrame) -> DataFrame:
     )
 
 
-def close_versions(history: DataFrame, close: str = "open_only", policy: SkewPolicy = DEFAULT_POLICY) -> DataFrame:
-    """End each open version where the next one of its key starts. ``close="all"`` re-ends closed versions too, which
-    also repairs the neighbour of a late change. Keeps ``_slot`` if the input has it."""
-    given = "_slot" in history.columns
-    slotted = history if given else with_time_slot(history, ["hash_key"], "valid_from_dttm", policy)
-    led = lead_in_slots(slotted, ["hash_key"], "valid_from_dttm", "_next")
+FROM, TO = "valid_from_dttm", "valid_to_dttm"
+
+
+def _end_versions(led: DataFrame, close: str) -> DataFrame:
     ended = F.coalesce("_next", ntz(C.OPEN_END))
     if close == "open_only":
-        ended = F.when(F.col("valid_to_dttm") == ntz(C.OPEN_END), ended).otherwise(F.col("valid_to_dttm"))
-    result = led.withColumn("valid_to_dttm", ended).drop("_next")
-    return result if given else result.drop("_slot")
+        ended = F.when(F.col(TO) == ntz(C.OPEN_END), ended).otherwise(F.col(TO))
+    return led.withColumn(TO, ended).drop("_next")
+
+
+def close_versions(
+    history: DataFrame, close: str = "open_only", key: Sequence[str] = ("hash_key",), policy: SkewPolicy = DEFAULT_POLICY
+) -> DataFrame:
+    """End each open version where the next one of its key starts. ``close="all"`` re-ends closed versions too, which
+    also repairs the neighbour of a late change."""
+    return _end_versions(next_value(history, list(key), FROM, "_next", policy), close)
 
 
 def coalesce_versions(history: DataFrame, policy: SkewPolicy = DEFAULT_POLICY) -> DataFrame:
     """Merge touching or overlapping versions of a key with equal attributes."""
-    merged = coalesce_intervals(
-        history, VERSION, "valid_from_dttm", "valid_to_dttm", policy, slot_keys=["hash_key"]
-    )
-    return merged.select(*HISTORY)
+    return coalesce_intervals(history, VERSION, FROM, TO, policy, hot_by=["hash_key"]).select(*HISTORY)
 
 
-def close_and_coalesce(versions: DataFrame, close: str = "open_only", policy: SkewPolicy = DEFAULT_POLICY):
-    """Both history steps on one shuffle by key."""
-    slotted = with_time_slot(versions, ["hash_key"], "valid_from_dttm", policy)
-    return coalesce_versions(close_versions(slotted, close, policy), policy)
+def close_and_coalesce(
+    versions: DataFrame, close: str = "open_only", key: Sequence[str] = ("hash_key",), policy: SkewPolicy = DEFAULT_POLICY
+) -> DataFrame:
+    """Both steps; ordinary keys need one shuffle for them, hot keys go by time slots."""
+    keys = list(key)
+    attributes = [c for c in versions.columns if c not in (FROM, TO)]
+    ordinary, hot = split_hot(versions, keys, policy)
+    led = ordinary.withColumn("_next", F.lead(FROM).over(Window.partitionBy(*keys).orderBy(FROM)))
+    done = coalesce_whole(_end_versions(led, close), attributes, FROM, TO)
+    if hot is not None:
+        led = lead_in_slots(hot.withColumn("_slot", time_slot(FROM, policy)), keys, FROM, "_next")
+        done = done.unionByName(coalesce_in_slots(_end_versions(led, close), attributes, FROM, TO))
+    return done.select(*versions.columns)
 
 
 def current_state(history: DataFrame) -> DataFrame:
@@ -305,7 +323,7 @@ def load_history(
         .unionByName(changes.withColumn("_origin", F.lit("change"))),
         "versions",
     )
-    recomputed = close_and_coalesce(tagged.drop("_origin"), close, policy)
+    recomputed = close_and_coalesce(tagged.drop("_origin"), close, policy=policy)
     return LoadResult(
         history=recomputed if rest is None else rest.select(*HISTORY).unionByName(recomputed),
         recomputed=recomputed,

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from spanledger.scale import DEFAULT_POLICY, SkewPolicy, salted_join, with_time_slot
+from spanledger.scale import DEFAULT_POLICY, SkewPolicy, salted_join, split_hot, time_slot
 
 BEFORE = Window.unboundedPreceding
 AFTER = Window.unboundedFollowing
@@ -50,12 +50,23 @@ def temporal_join(
 # --- fragmenting ---------------------------------------------------------------------------------------------------
 
 
-def next_point(points: DataFrame, keys: Sequence[str], at: str, out: str, policy: SkewPolicy) -> DataFrame:
-    """Add the next larger ``at`` of the key. ``points`` must be distinct on key and ``at``."""
-    if isinstance(points.schema[at].dataType, T.DateType):
-        return points.withColumn(out, F.lead(at).over(Window.partitionBy(*keys).orderBy(at)))
-    slotted = with_time_slot(points, keys, at, policy)
-    return lead_in_slots(slotted, keys, at, out).drop("_slot")
+def next_value(
+    df: DataFrame, keys: Sequence[str], at: str, out: str, policy: SkewPolicy = DEFAULT_POLICY
+) -> DataFrame:
+    """Add the next larger ``at`` of the key. ``df`` must be distinct on key and ``at``."""
+    ordinary, hot = _by_heat(df, keys, at, policy)
+    done = ordinary.withColumn(out, F.lead(at).over(Window.partitionBy(*keys).orderBy(at)))
+    if hot is None:
+        return done
+    return done.unionByName(lead_in_slots(hot, keys, at, out).drop("_slot"))
+
+
+def _by_heat(df: DataFrame, keys: Sequence[str], at: str, policy: SkewPolicy) -> tuple[DataFrame, DataFrame | None]:
+    """Split off hot keys and give them ``_slot``. Distinct dates of a key are few whatever the number of rows."""
+    if isinstance(df.schema[at].dataType, T.DateType):
+        return df, None
+    ordinary, hot = split_hot(df, keys, policy)
+    return ordinary, None if hot is None else hot.withColumn("_slot", time_slot(at, policy))
 
 
 def lead_in_slots(slotted: DataFrame, keys: Sequence[str], at: str, out: str) -> DataFrame:
@@ -63,8 +74,7 @@ def lead_in_slots(slotted: DataFrame, keys: Sequence[str], at: str, out: str) ->
     slot before it, so no window ever holds a whole hot key."""
     per_key = Window.partitionBy(*keys).orderBy("_slot")
     borrowed = (
-        slotted.filter(F.col("_slot").isNotNull())
-        .groupBy(*keys, "_slot")
+        slotted.groupBy(*keys, "_slot")
         .agg(F.min(at).alias(at))
         .withColumn("_slot", F.lag("_slot").over(per_key))
         .filter(F.col("_slot").isNotNull())
@@ -89,7 +99,7 @@ def segments(
         .filter(F.col("seg_start").isNotNull())
         .distinct()
     )
-    return next_point(points, keys, "seg_start", "seg_end", policy).filter(F.col("seg_end").isNotNull())
+    return next_value(points, keys, "seg_start", "seg_end", policy).filter(F.col("seg_end").isNotNull())
 
 
 def fill_segments(
@@ -178,28 +188,30 @@ def coalesce_intervals(
     start: str,
     end: str,
     policy: SkewPolicy = DEFAULT_POLICY,
-    slot_keys: Sequence[str] | None = None,
+    hot_by: Sequence[str] | None = None,
 ) -> DataFrame:
     """Merge touching or overlapping intervals with equal ``keys`` (NULLs equal). Needs ``end >= start``, no NULLs.
 
-    ``slot_keys``: the subset of ``keys`` whose hot values are cut into time slots; if ``df`` already carries
-    ``_slot`` for them it is used as is.
+    ``hot_by``: the subset of ``keys`` whose hot values are cut into time slots (default: all).
     """
-    if isinstance(df.schema[start].dataType, T.DateType):
-        points = df.groupBy(*keys, start).agg(F.max(end).alias(end))
-        marked = _mark_islands(points, Window.partitionBy(*keys).orderBy(start), start, end)
-        return (
-            marked.groupBy(*keys, "_island")
-            .agg(F.min(start).alias(start), F.max(end).alias(end))
-            .select(*keys, start, end)
-        )
-    slotted = df if "_slot" in df.columns else with_time_slot(df, list(slot_keys or keys), start, policy)
-    return _coalesce_in_slots(slotted, keys, start, end)
+    ordinary, hot = _by_heat(df, list(hot_by or keys), start, policy)
+    done = coalesce_whole(ordinary, keys, start, end)
+    return done if hot is None else done.unionByName(coalesce_in_slots(hot, keys, start, end))
+
+
+def coalesce_whole(df: DataFrame, keys: Sequence[str], start: str, end: str) -> DataFrame:
+    points = df.groupBy(*keys, start).agg(F.max(end).alias(end))
+    marked = _mark_islands(points, Window.partitionBy(*keys).orderBy(start), start, end)
+    return (
+        marked.groupBy(*keys, "_island")
+        .agg(F.min(start).alias(start), F.max(end).alias(end))
+        .select(*keys, start, end)
+    )
 
 
-def _coalesce_in_slots(slotted: DataFrame, keys: Sequence[str], start: str, end: str) -> DataFrame:
+def coalesce_in_slots(slotted: DataFrame, keys: Sequence[str], start: str, end: str) -> DataFrame:
     points = slotted.groupBy(*keys, "_slot", start).agg(F.max(end).alias(end))
-    slots = points.filter(F.col("_slot").isNotNull()).groupBy(*keys, "_slot").agg(F.max(end).alias(end))
+    slots = points.groupBy(*keys, "_slot").agg(F.max(end).alias(end))
     order = Window.partitionBy(*keys).orderBy("_slot")
     # what earlier slots reach to enters each slot of a hot key as a row without a start
     carried = (

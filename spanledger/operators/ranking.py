@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from spanledger.functions import row_digest
-from spanledger.scale import DEFAULT_POLICY, SkewPolicy, hot_keys, mark_hot
+from spanledger.scale import DEFAULT_POLICY, SkewPolicy, split_hot
 
 
 COPIES_PER_TASK = 1_000_000
@@ -32,13 +32,11 @@ def row_number_by(
     if tie is None:
         d, tie = df.withColumn("_tie", row_digest(df.columns)), "_tie"
     number = F.row_number().over(Window.partitionBy(*keys).orderBy(at, tie)).cast("long")
-    hot = hot_keys(d if counted is None else counted, keys, policy)
+    ordinary, hot = split_hot(d, keys, policy, counted)
+    done = ordinary.withColumn(out, number).select(*df.columns, out)
     if hot is None:
-        return d.withColumn(out, number).select(*df.columns, out)
-    marked = mark_hot(d, hot, keys)
-    ordinary = marked.filter(F.col("_pieces").isNull()).withColumn(out, number).select(*df.columns, out)
-    split = _number_hot(marked.filter(F.col("_pieces").isNotNull()).drop("_pieces"), keys, at, tie, out)
-    return ordinary.unionByName(split.select(*df.columns, out))
+        return done
+    return done.unionByName(_number_hot(hot, keys, at, tie, out).select(*df.columns, out))
 
 
 def _number_hot(df: DataFrame, keys: Sequence[str], at: str, tie: str, out: str) -> DataFrame:

@@ -9,9 +9,8 @@ from pyspark.sql import functions as F
 
 from spanledger import constants as C
 from spanledger.functions import ntz
-from spanledger.operators.change_data import capture_changes
-from spanledger.operators.intervals import coalesce_intervals, lead_in_slots
-from spanledger.scale import DEFAULT_POLICY, SkewPolicy, with_time_slot
+from spanledger.operators.change_data import capture_changes, close_and_coalesce
+from spanledger.scale import DEFAULT_POLICY, SkewPolicy
 from spanledger.session import materialize
 
 
@@ -42,15 +41,4 @@ def snapshot_history(
     if history is not None:
         versions = history.unionByName(versions)
     versions = materialize(versions, "snapshot-versions")
-    attributes = [c for c in versions.columns if c not in ("valid_from_dttm", "valid_to_dttm")]
-    slotted = with_time_slot(versions, list(key), "valid_from_dttm", policy)
-    closed = lead_in_slots(slotted, list(key), "valid_from_dttm", "_next").withColumn(
-        "valid_to_dttm",
-        F.when(F.col("valid_to_dttm") == ntz(C.OPEN_END), F.coalesce("_next", ntz(C.OPEN_END))).otherwise(
-            F.col("valid_to_dttm")
-        ),
-    )
-    merged = coalesce_intervals(
-        closed.drop("_next"), attributes, "valid_from_dttm", "valid_to_dttm", policy, slot_keys=list(key)
-    )
-    return merged.select(*versions.columns)
+    return close_and_coalesce(versions, key=key, policy=policy)

@@ -340,15 +340,14 @@ FROM (SELECT contact_desc, effective_from_date AS pt FROM fx_contact
 WINDOW w AS (PARTITION BY contact_desc ORDER BY pt)""",
 )
 def _(spark, sf):
-    from spanledger.operators.intervals import next_point
-    from spanledger.scale import DEFAULT_POLICY
+    from spanledger.operators.intervals import next_value
 
     points = (
         X.contacts(spark, sf)
         .select("contact_desc", F.explode(F.array("effective_from_date", "effective_to_date")).alias("seg_start"))
         .distinct()
     )
-    return next_point(points, ["contact_desc"], "seg_start", "seg_end", DEFAULT_POLICY)
+    return next_value(points, ["contact_desc"], "seg_start", "seg_end")
 
 
 @case(
@@ -357,11 +356,10 @@ def _(spark, sf):
 FROM fx_feed""",
 )
 def _(spark, sf):
-    from spanledger.operators.intervals import next_point
-    from spanledger.scale import DEFAULT_POLICY
+    from spanledger.operators.intervals import next_value
 
     points = materialize(X.feed(spark, sf).select("id", "stamp"), "points")
-    led = next_point(points, ["id"], "stamp", "next_stamp", DEFAULT_POLICY)
+    led = next_value(points, ["id"], "stamp", "next_stamp")
     return led.withColumn("next_stamp", F.coalesce("next_stamp", ntz(C.OPEN_END)))
 
 

@@ -108,11 +108,22 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFra
     return F.broadcast(df) if df.count() <= max_rows else df
 
 
+def split_hot(
+    df: DataFrame, keys: Sequence[str], policy: SkewPolicy = DEFAULT_POLICY, counted: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame | None]:
+    """Rows of ordinary keys and rows of hot keys (None if there cannot be any), so that only the latter pay for
+    being split. ``counted``: a stored table with the same keys per row to look for hot keys in."""
+    hot = hot_keys(df if counted is None else counted, keys, policy)
+    if hot is None:
+        return df, None
+    marked = mark_hot(df, hot, keys)
+    is_hot = F.col("_pieces").isNotNull()
+    return marked.filter(~is_hot).drop("_pieces"), marked.filter(is_hot).drop("_pieces")
+
+
 _SLOT_TEXT = {"day": 10, "hour": 13, "minute": 16}
 
 
-def with_time_slot(df: DataFrame, keys: Sequence[str], at: str, policy: SkewPolicy = DEFAULT_POLICY) -> DataFrame:
-    """Add ``_slot``: NULL for ordinary keys, the time unit of ``at`` for hot ones. Slots follow the order of ``at``."""
-    marked = mark_hot(df, hot_keys(df, keys, policy), keys)
-    unit = F.substring(F.col(at).cast("string"), 1, _SLOT_TEXT[policy.slot])
-    return marked.withColumn("_slot", F.when(F.col("_pieces").isNotNull(), unit)).drop("_pieces")
+def time_slot(at: str, policy: SkewPolicy = DEFAULT_POLICY) -> Column:
+    """The time unit ``at`` falls into; slots sort like ``at``."""
+    return F.substring(F.col(at).cast("string"), 1, _SLOT_TEXT[policy.slot])

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,6 +13,25 @@ from spanledger.functions import ntz
 from spanledger.operators.change_data import capture_changes, close_and_coalesce
 from spanledger.scale import DEFAULT_POLICY, SkewPolicy
 from spanledger.session import materialize
+from spanledger.sources.tables import snapshot_transfer
+
+
+@dataclass(frozen=True)
+class SnapshotTable:
+    """A table copied as a whole on every run: the columns to copy and the key its history follows."""
+
+    columns: Sequence[str]
+    key: Sequence[str]
+
+    def transfer(self, source: DataFrame, target: str) -> DataFrame:
+        return snapshot_transfer(source, self.columns, target)
+
+    def history(self, history: DataFrame | None, old: DataFrame, new: DataFrame, stamp: Column) -> DataFrame:
+        return snapshot_history(history, old.select(*self.columns), new.select(*self.columns), self.key, stamp)
+
+
+DAG_CODE = SnapshotTable(C.DAG_CODE_COLUMNS, ["fileloc"])
+DAG_INFORMATION = SnapshotTable(C.DAG_INFORMATION_COLUMNS, ["dag_id"])
 
 
 def versions_from_changes(changes: DataFrame, key: Sequence[str]) -> DataFrame:

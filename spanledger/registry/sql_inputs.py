@@ -198,14 +198,14 @@ MART_KEYS = (
 
 
 def islands_sql(source: str, keys: str, start: str, end: str, partition: str = "") -> str:
+    """Islands by row order: a row opens one if nothing before it reaches its start. Then grouped by ``keys``."""
     by = f"PARTITION BY {partition} " if partition else ""
-    order = f"ORDER BY {start}, {end}, {keys}"
+    rows = f"({by}ORDER BY {start}, {end}, {keys} ROWS BETWEEN UNBOUNDED PRECEDING AND"
     return f"""
-SELECT min({start}) AS {start}, max({end}) AS {end}, {keys}
-FROM (SELECT *, sum(sog) OVER ({by}{order} ROWS UNBOUNDED PRECEDING) AS grp
-      FROM (SELECT *, CASE WHEN max({end}) OVER ({by}{order} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
-                             >= {start} THEN 0 ELSE 1 END AS sog FROM {source}) a) b
-GROUP BY grp, {keys}"""
+SELECT {keys}, min({start}) AS {start}, max({end}) AS {end}
+FROM (SELECT *, count(*) FILTER (WHERE reach IS NULL OR reach < {start}) OVER {rows} CURRENT ROW) AS island
+      FROM (SELECT *, max({end}) OVER {rows} 1 PRECEDING) AS reach FROM {source}) r) i
+GROUP BY island, {keys}"""
 
 
 CTES["merged_phones"] = islands_sql("flagged_pieces", PHONE_KEYS, "business_start_dt", "business_end_dt")

@@ -254,5 +254,16 @@ def test_snapshot_history_over_three_snapshots(spark, policy):
     )
 
 
+def test_metadata_table_from_copy_to_history(spark, tmp_path):
+    from spanledger.plans.metadata import DAG_CODE, DAG_INFORMATION
+
+    source = spark.createDataFrame([("a.py", "x = 1", 5)], "fileloc string, source_code string, size int")
+    old = DAG_CODE.transfer(source, f"{tmp_path}/old")
+    new = DAG_CODE.transfer(source.withColumn("source_code", F.lit("x = 2")), f"{tmp_path}/new")
+    history = DAG_CODE.history(None, old, new, ntz("2024-01-01 00:00:00")).collect()
+    assert [(r.fileloc, r.source_code, r.deleted_flg) for r in history] == [("a.py", "x = 2", False)]
+    assert len(DAG_INFORMATION.columns) == 23 and DAG_INFORMATION.key == ["dag_id"]
+
+
 def test_open_end_constant():
     assert datetime.fromisoformat(C.OPEN_END) == OPEN

@@ -1,7 +1,8 @@
 """Interval operators: intersection joins, fragmenting, coalescing, overlap tests.
 
 Intervals are half-open unless a function says otherwise. Windows run over *distinct points* of a key, not over its
-rows: for dates their number is bounded by the calendar, for timestamps hot keys are cut into time slots.
+rows: for dates their number is bounded by the calendar, for timestamps hot keys are cut into time slots. The overlap
+tests (``other_owner_*``, ``overlap_*``) rely on the calendar bound and are meant for dates.
 """
 
 from __future__ import annotations

@@ -9,8 +9,7 @@ from spanledger.operators import change_data as D
 from spanledger.registry import sql_inputs  # noqa: F401
 from spanledger.registry.base import case
 from spanledger.registry.sql_inputs import HISTORY_COLUMNS, OPEN
-from spanledger.registry.tables import scratch_path
-from spanledger.session import materialize
+from spanledger.session import materialize, scratch_path
 from spanledger.sources import fixtures as X
 from spanledger.sources.history_table import HistoryTable
 from spanledger.streaming.stage import load_available, read_stage, stage_available

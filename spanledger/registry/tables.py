@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from spanledger import constants as C
@@ -12,15 +10,11 @@ from spanledger.operators.calendar import date_series
 from spanledger.operators.ranking import surrogate_key
 from spanledger.registry import sql_inputs  # noqa: F401
 from spanledger.registry.base import case
-from spanledger.session import materialize, shared_folder
+from spanledger.session import materialize, scratch_path
 from spanledger.sources import fixtures as X
 from spanledger.sources import tables as S
 
 
-def scratch_path(spark, name: str) -> str:
-    return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
-
-
 @case("snapshot_transfer", "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders")
 def _(spark, sf):
     return S.snapshot_transfer(

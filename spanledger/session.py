@@ -41,6 +41,10 @@ def shared_folder(spark: SparkSession) -> str:
     return own
 
 
+def _own_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}"
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write an intermediate that several later steps read, and read it back.
 
@@ -48,6 +52,17 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     recomputing the joins behind them.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path in this application's part of the shared folder."""
+    return f"{_own_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def release_materialized(spark: SparkSession) -> None:
+    """Delete all intermediates of this application. Frames built on them cannot be read afterwards."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -223,3 +223,34 @@ def test_materialize_keeps_rows_and_types(spark):
     df = spark.createDataFrame([(1, datetime(2024, 1, 1), b"x")], "a int, t timestamp_ntz, b binary")
     kept = materialize(df, "kept")
     assert kept.dtypes == df.dtypes and kept.collect() == df.collect()
+
+
+def test_release_deletes_the_application_folder(tmp_path):
+    from types import SimpleNamespace
+
+    from spanledger import session
+
+    deleted = []
+    folder = SimpleNamespace(getFileSystem=lambda conf: SimpleNamespace(delete=lambda p, deep: deleted.append((p, deep))))
+    fake = SimpleNamespace(
+        conf=SimpleNamespace(get=lambda name, default: str(tmp_path)),
+        sparkContext=SimpleNamespace(applicationId="app-1", master="spark://x"),
+        _jvm=SimpleNamespace(
+            org=SimpleNamespace(apache=SimpleNamespace(hadoop=SimpleNamespace(fs=SimpleNamespace(Path=lambda p: folder))))
+        ),
+        _jsc=SimpleNamespace(hadoopConfiguration=lambda: None),
+    )
+    session.release_materialized(fake)
+    assert deleted == [(folder, True)]
+
+
+def test_cluster_without_shared_folder_is_refused():
+    from types import SimpleNamespace
+
+    from spanledger.session import shared_folder
+
+    fake = SimpleNamespace(
+        conf=SimpleNamespace(get=lambda name, default: None), sparkContext=SimpleNamespace(master="yarn")
+    )
+    with pytest.raises(RuntimeError):
+        shared_folder(fake)

@@ -303,9 +303,7 @@ def other_owner_spans(df: DataFrame, key: str, owner: str, start: str, end: str)
     )
 
 
-def other_owner_overlap(
-    df: DataFrame, key: str, owner: str, start: str, end: str, policy: SkewPolicy = DEFAULT_POLICY
-) -> DataFrame:
+def other_owner_overlap(df: DataFrame, key: str, owner: str, start: str, end: str) -> DataFrame:
     """Distinct (key, start, end) for which another owner holds the key at an overlapping time."""
     shared = other_owner_spans(df, key, owner, start, end).withColumnsRenamed({key: "_key"})
     rows = df.filter(F.col(owner).isNotNull()).select(key, start, end).distinct()

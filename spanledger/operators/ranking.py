@@ -72,16 +72,25 @@ def _number_hot(df: DataFrame, keys: Sequence[str], at: str, tie: str, out: str)
     return few.unionByName(many).withColumn(out, F.explode(F.sequence("_from", "_to")))
 
 
-def surrogate_key(new: DataFrame, existing: DataFrame | None, key: str, dense: bool, order: Sequence[str] = ()):
+def surrogate_key(
+    new: DataFrame,
+    existing: DataFrame | None,
+    key: str,
+    dense: bool,
+    order: Sequence[str] = (),
+    max_dense: int = 1_000_000,
+) -> DataFrame:
     """Number new rows after the largest existing key.
 
-    ``dense``: 1, 2, 3 .. in ``order``, for dictionaries only (one task numbers them all). Otherwise unique ascending
-    values with gaps, without a shuffle.
+    ``dense``: 1, 2, 3 .. in ``order``; one task numbers them all, so only dictionaries of at most ``max_dense`` rows
+    are taken. Otherwise unique ascending values with gaps, without a shuffle, for any size.
     """
     top = 0
     if existing is not None:
         top = existing.agg(F.max(key)).first()[0] or 0
     if dense:
+        if new.count() > max_dense:
+            raise ValueError(f"more than {max_dense} rows: use dense=False")
         number = F.row_number().over(Window.orderBy(*order))
     else:
         number = F.monotonically_increasing_id() + 1

@@ -281,7 +281,7 @@ def _(spark, sf):
 
 @case(
     "corr",
-    """SELECT l_returnflag, round(corr(l_quantity, l_extendedprice), 6) AS quantity_price,
+    """SELECT l_returnflag, round(corr(l_quantity, l_extendedprice), 6) + 0.0::DOUBLE AS quantity_price,
        CASE WHEN isnan(corr(l_quantity, 1.0)) THEN NULL ELSE corr(l_quantity, 1.0) END AS constant_side
 FROM lineitem GROUP BY l_returnflag""",
 )

@@ -100,7 +100,7 @@ def _corr_sql(strict: bool) -> str:
             if not strict and row == "canselled_per_day" and column.endswith("_during_day"):
                 left = "complited_per_day"
             value = f"corr({left}, {column})"
-            cells.append(f"round(CASE WHEN isnan({value}) THEN NULL ELSE {value} END, 6) AS {column}")
+            cells.append(f"round(CASE WHEN isnan({value}) THEN NULL ELSE {value} END, 6) + 0.0::DOUBLE AS {column}")
         where = " WHERE date_actual <= DATE '2024-01-20'" if strict or row == "paused_during_day" else ""
         rows.append(f"SELECT '{row}' AS agg_name, {', '.join(cells)} FROM work{where}")
     return "\nUNION\n".join(rows)

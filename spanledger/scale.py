@@ -95,14 +95,6 @@ def salted_join(
     )
 
 
-def aggregate_over(
-    df: DataFrame, keys: Sequence[str], aggs: Sequence[Column], policy: SkewPolicy = DEFAULT_POLICY
-) -> DataFrame:
-    """``agg() over (partition by keys)`` for groups of any size: partial aggregation, then a salted join back."""
-    stats = df.groupBy(*keys).agg(*aggs)
-    return salted_join(df, stats, keys, how="left", policy=policy)
-
-
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Broadcast hint only when the row count was checked; beyond the bound the join shuffles both sides."""
     return F.broadcast(df) if df.count() <= max_rows else df

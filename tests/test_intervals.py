@@ -135,7 +135,7 @@ def test_temporal_join_closed_and_half_open(spark):
 
 
 @pytest.mark.parametrize("seed", [6, 7])
-def test_other_owner_overlap(spark, policy, seed):
+def test_other_owner_overlap(spark, seed):
     rows = random_rows(seed, n=40, owners=2, longest=5) + [("k0", None, day(3), day(7)), (None, 1, day(0), day(9))]
     want = {
         (a[0], a[2], a[3])
@@ -143,7 +143,7 @@ def test_other_owner_overlap(spark, policy, seed):
         for b in rows
         if a[0] is not None and a[0] == b[0] and None not in (a[1], b[1]) and a[1] != b[1] and overlap(a, b)
     }
-    got = iv.other_owner_overlap(frame(spark, rows), "k", "o", "s", "e", policy)
+    got = iv.other_owner_overlap(frame(spark, rows), "k", "o", "s", "e")
     assert collect(got, "k", "s", "e") == sorted(want, key=repr)
 
 

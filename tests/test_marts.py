@@ -225,23 +225,15 @@ def test_materialize_keeps_rows_and_types(spark):
     assert kept.dtypes == df.dtypes and kept.collect() == df.collect()
 
 
-def test_release_deletes_the_application_folder(tmp_path):
-    from types import SimpleNamespace
+def test_release_deletes_intermediates(spark):
+    from pathlib import Path
 
-    from spanledger import session
+    from spanledger.session import release_materialized
 
-    deleted = []
-    folder = SimpleNamespace(getFileSystem=lambda conf: SimpleNamespace(delete=lambda p, deep: deleted.append((p, deep))))
-    fake = SimpleNamespace(
-        conf=SimpleNamespace(get=lambda name, default: str(tmp_path)),
-        sparkContext=SimpleNamespace(applicationId="app-1", master="spark://x"),
-        _jvm=SimpleNamespace(
-            org=SimpleNamespace(apache=SimpleNamespace(hadoop=SimpleNamespace(fs=SimpleNamespace(Path=lambda p: folder))))
-        ),
-        _jsc=SimpleNamespace(hadoopConfiguration=lambda: None),
-    )
-    session.release_materialized(fake)
-    assert deleted == [(folder, True)]
+    file = Path(materialize(spark.range(3), "gone").inputFiles()[0].removeprefix("file:").replace("///", "/"))
+    assert file.exists()
+    release_materialized(spark)
+    assert not file.exists()
 
 
 def test_cluster_without_shared_folder_is_refused():

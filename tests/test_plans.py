@@ -26,7 +26,7 @@ def operators(spark, policy):
     yield "segment_stats", iv.segment_stats(rows, keys, s, e, [F.max("mdm_customer_rk").alias("m")], policy)
     yield "coalesce_intervals", iv.coalesce_intervals(rows, keys, s, e, policy)
     yield "best_in_overlap", iv.best_in_overlap(rows, keys, s, e, "mdm_customer_rk", "best", policy)
-    yield "other_owner_overlap", iv.other_owner_overlap(rows, "phone_num", "mdm_customer_rk", s, e, policy)
+    yield "other_owner_overlap", iv.other_owner_overlap(rows, "phone_num", "mdm_customer_rk", s, e)
     yield "overlap_classify", iv.overlap_classify(rows, keys, s, e)
     yield "overlap_conflicts", iv.overlap_conflicts(rows, "phone_num", "mdm_customer_rk", s, e)
     yield "row_number_by", row_number_by(rows, keys, s, "n", policy=policy)

@@ -2,10 +2,11 @@
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from spanledger.operators.ranking import row_number_by, surrogate_key
-from spanledger.scale import SkewPolicy, aggregate_over, hot_keys, salted_join
+from spanledger.scale import SkewPolicy, hot_keys, salted_join
 from tests.conftest import PLAIN, SPLIT
 
 
@@ -31,15 +32,6 @@ def test_salted_join_kinds(spark):
             assert plain == split
 
 
-def test_aggregate_over(spark, policy):
-    df = spark.createDataFrame([r for r in rows() if r[0]], "k string, w int, id int")
-    got = aggregate_over(df, ["k"], [F.max("id").alias("top")], policy).collect()
-    top = {}
-    for k, _, i in rows():
-        top[k] = max(top.get(k, -1), i)
-    assert all(r.top == top[r.k] for r in got) and len(got) == df.count()
-
-
 def test_row_number_is_total_and_equal_in_both_plans(spark):
     df = spark.createDataFrame(rows(), "k string, w int, id int")
     plain, split = (
@@ -66,6 +58,8 @@ def test_surrogate_key(spark):
     old = spark.createDataFrame([(7,)], "id int")
     dense = surrogate_key(names, old, "id", dense=True, order=["name"]).collect()
     assert {r.name: r.id for r in dense} == {"a": 8, "b": 9}
+    with pytest.raises(ValueError):
+        surrogate_key(spark.range(20), None, "key", dense=True, order=["id"], max_dense=10)
     loose = surrogate_key(names, None, "id", dense=False).collect()
     assert len({r.id for r in loose}) == 2
 

@@ -7,7 +7,7 @@ tests (``other_owner_*``, ``overlap_*``) rely on the calendar bound and are mean
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -277,12 +277,11 @@ def coalesce_intervals_global(
 # --- overlap tests -------------------------------------------------------------------------------------------------
 
 
-def other_owner_spans(df: DataFrame, key: str, owner: str, start: str, end: str) -> DataFrame:
-    """Per key and day point: ``_shared_from``, the first point at or after it from which two owners overlap.
+def _owner_counts(valid: DataFrame, key: str, owner: str, start: str, end: str) -> DataFrame:
+    """Per key and start or end point of its rows: ``_owners``, how many distinct owners are active from ``_at`` on.
 
-    Owners' intervals are merged first, so a running sum of +1/-1 counts distinct owners. One row per key and point.
+    Owners' intervals are merged first, so a running sum of +1/-1 counts distinct owners.
     """
-    valid = df.filter((F.col(start) < F.col(end)) & F.col(key).isNotNull() & F.col(owner).isNotNull())
     merged = coalesce_intervals(valid.select(key, owner, start, end), [key, owner], start, end)
     steps = merged.select(
         key,
@@ -293,14 +292,19 @@ def other_owner_spans(df: DataFrame, key: str, owner: str, start: str, end: str)
             )
         ),
     )
-    asked = valid.select(key, F.col(start).alias("_at"), F.lit(0).alias("_step"))
+    asked = valid.select(key, F.explode(F.array(start, end)).alias("_at"), F.lit(0).alias("_step"))
     points = steps.unionByName(asked).groupBy(key, "_at").agg(F.sum("_step").alias("_step"))
-    window = Window.partitionBy(key).orderBy("_at")
-    return (
-        points.withColumn("_owners", F.sum("_step").over(window.rowsBetween(BEFORE, 0)))
-        .withColumn("_from", F.when(F.col("_owners") > 1, F.col("_at")))
-        .select(key, "_at", F.min("_from").over(window.rowsBetween(0, AFTER)).alias("_shared_from"))
-    )
+    upto = Window.partitionBy(key).orderBy("_at").rowsBetween(BEFORE, 0)
+    return points.select(key, "_at", F.sum("_step").over(upto).alias("_owners"))
+
+
+def other_owner_spans(df: DataFrame, key: str, owner: str, start: str, end: str) -> DataFrame:
+    """Per key and day point: ``_shared_from``, the first point at or after it from which two owners overlap."""
+    valid = df.filter((F.col(start) < F.col(end)) & F.col(key).isNotNull() & F.col(owner).isNotNull())
+    counts = _owner_counts(valid, key, owner, start, end)
+    following = Window.partitionBy(key).orderBy("_at").rowsBetween(0, AFTER)
+    shared = F.when(F.col("_owners") > 1, F.col("_at"))
+    return counts.select(key, "_at", F.min(shared).over(following).alias("_shared_from"))
 
 
 def other_owner_overlap(df: DataFrame, key: str, owner: str, start: str, end: str) -> DataFrame:
@@ -459,6 +463,112 @@ def overlap_classify(
     )
 
 
+# --- flagged fragments, merged per row -----------------------------------------------------------------------------
+
+
+def _day(name: str) -> Column:
+    return (F.unix_date(F.col(name)) + _DAY_SHIFT).cast("long")
+
+
+def _segment_flags(valid: DataFrame, key: str, start: str, end: str, weight: str, owner: str | None) -> DataFrame:
+    """Elementary segments that hold a row: ``_from``, ``_to``, ``_best`` (largest weight active), ``_shared`` (two
+    owners active). Rows are reduced to distinct intervals and cut into day blocks; segments look their blocks up."""
+    spans = valid.groupBy(key, start, end).agg(F.max(weight).alias("_w"))
+    covered = (
+        _cut_into_blocks(
+            spans.select(key, "_w", _day(start).alias("_first"), (_day(end) - 1).alias("_last")), "_first", "_last"
+        )
+        .groupBy(key, "level", "block")
+        .agg(F.max("_w").alias("_w"))
+    )
+    segs = segments(spans, [key], start, end).withColumnsRenamed({"seg_start": "_from", "seg_end": "_to"})
+    best = (
+        segs.select(key, "_from", "_to", _day("_from").alias("_day"), F.posexplode(_sizes()).alias("level", "_size"))
+        .withColumn("block", F.floor(F.col("_day") / F.col("_size")).cast("long"))
+        .join(covered, [key, "level", "block"])
+        .groupBy(key, "_from", "_to")
+        .agg(F.max("_w").alias("_best"))
+    )
+    if owner is None:
+        return best.withColumn("_shared", F.lit(False))
+    counts = _owner_counts(valid, key, owner, start, end).withColumnRenamed("_at", "_from")
+    return best.join(counts, [key, "_from"]).withColumn("_shared", F.col("_owners") > 1).drop("_owners")
+
+
+def merge_flagged(
+    rows: DataFrame,
+    key: str,
+    start: str,
+    end: str,
+    weight: str,
+    owner: str | None = None,
+    keep: Callable[[DataFrame], DataFrame] | None = None,
+    policy: SkewPolicy = DEFAULT_POLICY,
+) -> DataFrame:
+    """Fragment by ``key``, flag each fragment (``_shared``: another owner is active; ``_main``: no active row weighs
+    more) and merge the fragments of a row with equal flags to one interval, without listing fragments.
+
+    Each row gives at most four rows. Bounds come from equi joins with per-segment tables: the first and last segment
+    of a row that does not have it as best, with a pointer past those that do; and the segments where its weight is
+    best. ``keep`` stores the segment table between uses. Dates only; empty rows are dropped.
+    """
+    valid = rows.filter((F.col(start) < F.col(end)) & F.col(key).isNotNull())
+    segs = _segment_flags(valid, key, start, end, weight, owner)
+    segs = segs if keep is None else keep(segs)
+    alike = Window.partitionBy(key, "_shared").orderBy("_from")
+    pointed = (
+        segs.withColumn("_run_begins", ~F.col("_best").eqNullSafe(F.lag("_best").over(alike)))
+        .withColumn("_run_ends", ~F.col("_best").eqNullSafe(F.lead("_best").over(alike)))
+        .withColumn(
+            "_skip_on", F.min(F.when(F.col("_run_begins"), F.col("_from"))).over(alike.rowsBetween(1, AFTER))
+        )
+        .withColumn("_skip_back", F.max(F.when(F.col("_run_ends"), F.col("_to"))).over(alike.rowsBetween(BEFORE, -1)))
+    )
+    order = Window.partitionBy(key).orderBy("_from")
+    forward, backward = order.rowsBetween(0, AFTER), order.rowsBetween(BEFORE, 0)
+    on = F.struct(F.col("_from").alias("at"), F.col("_best").alias("best"), F.col("_skip_on").alias("skip"))
+    back = F.struct(F.col("_to").alias("at"), F.col("_best").alias("best"), F.col("_skip_back").alias("skip"))
+    kinds = [False] if owner is None else [False, True]
+    looked = pointed.select(
+        F.col(key).alias("_key"),
+        "_from",
+        "_to",
+        *[F.min(F.when(F.col("_shared") == x, on)).over(forward).alias(f"_on_{x}") for x in kinds],
+        *[F.max(F.when(F.col("_shared") == x, back)).over(backward).alias(f"_back_{x}") for x in kinds],
+    )
+    begins = looked.select(F.col("_key").alias(key), F.col("_from").alias(start), *[f"_on_{x}" for x in kinds])
+    ends = looked.select(F.col("_key").alias(key), F.col("_to").alias(end), *[f"_back_{x}" for x in kinds])
+    span = F.struct(F.col("_from").alias("a"), F.col("_to").alias("b"))
+    mains = (
+        segs.filter(F.col("_best").isNotNull())
+        .groupBy(F.col(key).alias("_key3"), F.col("_best").alias("_best3"))
+        .agg(*[F.collect_list(F.when(F.col("_shared") == x, span)).alias(f"_main_{x}") for x in kinds])
+    )
+    joined = salted_join(valid, begins, [key, start], policy=policy)
+    joined = salted_join(joined, ends, [key, end], policy=policy, counted=valid)
+    joined = joined.join(mains, (F.col(key) == F.col("_key3")) & (F.col(weight) == F.col("_best3")), "left")
+
+    def piece(x: bool, main: bool, low: Column, high: Column) -> Column:
+        made = F.struct(F.lit(x).alias("_shared"), F.lit(main).alias("_main"), low.alias("_low"), high.alias("_high"))
+        return F.when((low < F.col(end)) & (high > F.col(start)), made)
+
+    def other(pointer: str) -> Column:
+        at = F.col(pointer)
+        return F.when(F.coalesce(at["best"] == F.col(weight), F.lit(False)), at["skip"]).otherwise(at["at"])
+
+    pieces = []
+    for x in kinds:
+        own = F.filter(F.col(f"_main_{x}"), lambda d: (d["a"] >= F.col(start)) & (d["b"] <= F.col(end)))
+        pieces.append(piece(x, False, other(f"_on_{x}"), other(f"_back_{x}")))
+        pieces.append(
+            piece(x, True, F.array_min(F.transform(own, lambda d: d["a"])), F.array_max(F.transform(own, lambda d: d["b"])))
+        )
+    others = [c for c in rows.columns if c not in (start, end)]
+    return joined.select(
+        *others, F.inline(F.filter(F.array(*pieces), lambda p: p.isNotNull()))
+    ).select(*others, F.col("_low").alias(start), F.col("_high").alias(end), "_shared", "_main")
+
+
 # --- days ----------------------------------------------------------------------------------------------------------
 
 

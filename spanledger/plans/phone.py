@@ -10,6 +10,7 @@ from spanledger.functions import code_score, contact_weight, row_digest
 from spanledger.operators.intervals import (
     coalesce_intervals_global,
     fill_segments,
+    merge_flagged,
     segment_stats,
     temporal_join,
 )
@@ -156,14 +157,24 @@ def phone_fragments(ranked: DataFrame, segs: DataFrame, policy: SkewPolicy = DEF
     )
 
 
-def _spans(segs: DataFrame) -> DataFrame:
-    return segs.select(F.col("seg_start").alias(START), F.col("seg_end").alias(END))
+def phone_coalesce(ranked: DataFrame, keep=None, policy: SkewPolicy = DEFAULT_POLICY) -> DataFrame:
+    """Fragments merged over all their columns, islands taken over the whole table.
 
-
-def phone_coalesce(fragments: DataFrame, segs: DataFrame | None = None) -> DataFrame:
-    return coalesce_intervals_global(
-        fragments, FRAGMENT_KEYS, START, END, None if segs is None else _spans(segs)
-    )
+    The rank tells the versions of a phone apart, and one version lies in one island, so this merges the fragments of
+    each version with equal flags; no fragment has to be listed for it.
+    """
+    owned = ranked.filter(F.col("mdm_customer_rk").isNotNull())
+    weighed = owned.withColumn("_weight", _weight(F.lit(0), "rang_start_phone_num"))
+    merged = merge_flagged(weighed, "phone_num", START, END, "_weight", "mdm_customer_rk", keep, policy)
+    free = F.when(F.col("_shared"), 0).otherwise(1)
+    return merged.withColumns(
+        {
+            "duplication_flg": F.col("_shared"),
+            "range_duplication_num": free,
+            "weght_phone_num": _weight(free, "rang_start_phone_num"),
+            "main_dup_flg": F.col("_main"),
+        }
+    ).select(*FRAGMENT_KEYS, START, END)
 
 
 def client_segments(phones: DataFrame, policy: SkewPolicy = DEFAULT_POLICY) -> DataFrame:
@@ -186,12 +197,20 @@ def client_fragments(phones: DataFrame, segs: DataFrame, policy: SkewPolicy = DE
     )
 
 
-def publish(fragments: DataFrame, segs: DataFrame | None = None) -> DataFrame:
-    """Coalesce over the published columns. Islands are disjoint in time, so the result is distinct as it is."""
-    merged = coalesce_intervals_global(
-        fragments, PUBLISHED_KEYS, START, END, None if segs is None else _spans(segs)
-    )
-    return merged.select(
+def publish(phones: DataFrame, keep, policy: SkewPolicy = DEFAULT_POLICY) -> DataFrame:
+    """Best phone per customer, coalesced over the published columns. Islands are disjoint in time, so the result is
+    distinct as it is. ``keep`` stores the segment table, which also gives the islands."""
+    stored: list[DataFrame] = []
+
+    def keep_segments(segs: DataFrame) -> DataFrame:
+        stored.append(keep(segs))
+        return stored[0]
+
+    weighed = phones.withColumn("_weight", _weight(F.col("range_duplication_num"), "rang_start_client_num"))
+    merged = merge_flagged(weighed, "mdm_customer_rk", START, END, "_weight", None, keep_segments, policy)
+    spans = stored[0].select(F.col("_from").alias(START), F.col("_to").alias(END))
+    best = merged.withColumn("main_phone_flg", F.col("_main"))
+    return coalesce_intervals_global(best, PUBLISHED_KEYS, START, END, spans).select(
         "mdm_customer_rk",
         "phone_type_cd",
         START,
@@ -240,7 +259,10 @@ class PhoneMart:
         return phone_fragments(self.ranked(), self.phone_segments(), self.policy)
 
     def phones(self) -> DataFrame:
-        return self._keep("phones", lambda: phone_coalesce(self.phone_fragments(), self.phone_segments()))
+        def build():
+            return phone_coalesce(self.ranked(), lambda segs: self._keep("phone_flags", lambda: segs), self.policy)
+
+        return self._keep("phones", build)
 
     def client_segments(self) -> DataFrame:
         return self._keep("client_segments", lambda: client_segments(self.phones(), self.policy))
@@ -249,4 +271,4 @@ class PhoneMart:
         return client_fragments(self.phones(), self.client_segments(), self.policy)
 
     def mart(self) -> DataFrame:
-        return publish(self.client_fragments(), self.client_segments())
+        return publish(self.phones(), lambda segs: self._keep("client_flags", lambda: segs), self.policy)

@@ -67,13 +67,15 @@ def salted_join(
     residual: Column | None = None,
     how: str = "inner",
     policy: SkewPolicy = DEFAULT_POLICY,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Equi join (``inner``, ``left``, ``left_semi``, ``left_anti``) in which hot keys of ``left`` are cut into pieces.
 
     Each left row goes to one piece by a hash of its content; matching right rows go to every piece, so ``right``
-    should be small per key. ``residual`` may name any non-key column, which must differ between the sides.
+    should be small per key. ``residual`` may name any non-key column, which must differ between the sides. ``counted``:
+    a stored table with the same keys per row to look for hot keys in.
     """
-    hot = hot_keys(left, keys, policy)
+    hot = hot_keys(left if counted is None else counted, keys, policy)
     renamed = {k: f"_r_{k}" for k in keys}
     on = F.lit(True)
     for k in keys:

@@ -208,9 +208,15 @@ def publish(phones: DataFrame, keep, policy: SkewPolicy = DEFAULT_POLICY) -> Dat
 
     weighed = phones.withColumn("_weight", _weight(F.col("range_duplication_num"), "rang_start_client_num"))
     merged = merge_flagged(weighed, "mdm_customer_rk", START, END, "_weight", None, keep_segments, policy)
-    spans = stored[0].select(F.col("_from").alias(START), F.col("_to").alias(END))
-    best = merged.withColumn("main_phone_flg", F.col("_main"))
-    return coalesce_intervals_global(best, PUBLISHED_KEYS, START, END, spans).select(
+    return _published(merged.withColumn("main_phone_flg", F.col("_main")), _spans(stored[0], "_from", "_to"))
+
+
+def _spans(segs: DataFrame, first: str, last: str) -> DataFrame:
+    return segs.select(F.col(first).alias(START), F.col(last).alias(END))
+
+
+def _published(pieces: DataFrame, spans: DataFrame) -> DataFrame:
+    return coalesce_intervals_global(pieces, PUBLISHED_KEYS, START, END, spans).select(
         "mdm_customer_rk",
         "phone_type_cd",
         START,
@@ -258,8 +264,16 @@ class PhoneMart:
     def phone_fragments(self) -> DataFrame:
         return phone_fragments(self.ranked(), self.phone_segments(), self.policy)
 
+    def _small(self, rows: DataFrame) -> bool:
+        """So few rows that listing their fragments is cheaper than avoiding it; a footer count of a stored table."""
+        return rows.count() <= self.policy.hot_rows
+
     def phones(self) -> DataFrame:
         def build():
+            if self._small(self.ranked()):
+                return coalesce_intervals_global(
+                    self.phone_fragments(), FRAGMENT_KEYS, START, END, _spans(self.phone_segments(), "seg_start", "seg_end")
+                )
             return phone_coalesce(self.ranked(), lambda segs: self._keep("phone_flags", lambda: segs), self.policy)
 
         return self._keep("phones", build)
@@ -271,4 +285,7 @@ class PhoneMart:
         return client_fragments(self.phones(), self.client_segments(), self.policy)
 
     def mart(self) -> DataFrame:
+        if self._small(self.phones()):
+            spans = _spans(self.client_segments(), "seg_start", "seg_end")
+            return _published(self.client_fragments(), spans)
         return publish(self.phones(), lambda segs: self._keep("client_flags", lambda: segs), self.policy)

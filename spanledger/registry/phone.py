@@ -5,12 +5,17 @@ from __future__ import annotations
 from spanledger.plans import phone as P
 from spanledger.registry import sql_inputs  # noqa: F401
 from spanledger.registry.base import case
+from spanledger.scale import DEFAULT_POLICY, SkewPolicy
 from spanledger.sources import fixtures as X
 
 
-def mart(spark, sf) -> P.PhoneMart:
+def mart(spark, sf, policy: SkewPolicy = DEFAULT_POLICY) -> P.PhoneMart:
     return P.PhoneMart(
-        X.counterparties(spark, sf), X.counterparty_types(spark), X.contacts(spark, sf), X.cross_reference(spark, sf)
+        X.counterparties(spark, sf),
+        X.counterparty_types(spark),
+        X.contacts(spark, sf),
+        X.cross_reference(spark, sf),
+        policy,
     )
 
 
@@ -52,3 +57,9 @@ def _(spark, sf):
 @case("phone_mart", "SELECT * FROM mart_phones")
 def _(spark, sf):
     return mart(spark, sf).mart()
+
+
+@case("phone_mart_large", "SELECT * FROM mart_phones")
+def _(spark, sf):
+    """The plan a large table gets: nothing lists fragments and keys of more than 30 rows are split."""
+    return mart(spark, sf, SkewPolicy(hot_rows=30, max_pieces=4)).mart()

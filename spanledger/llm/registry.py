@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from spanledger.llm.bpe import bpe_round_trip
 from spanledger.llm.common import table
+from spanledger.llm.secret_scan import scan_secrets
+from spanledger.llm.token_files import token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -27,3 +29,13 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 @query("op10_bpe")
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_round_trip(table(spark, sf_dir, "documents"))
+
+
+@query("op4_token_files")
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files(table(spark, sf_dir, "documents"))
+
+
+@query("op7_secret_scan")
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_secrets(table(spark, sf_dir, "documents"))

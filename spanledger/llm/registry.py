@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from spanledger.llm.bpe import bpe_round_trip
 from spanledger.llm.common import table
+from spanledger.llm.quality import score_quality
 from spanledger.llm.secret_scan import scan_secrets
 from spanledger.llm.token_files import token_files
 
@@ -39,3 +40,8 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_secret_scan")
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(table(spark, sf_dir, "documents"))
+
+
+@query("op9_quality")
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

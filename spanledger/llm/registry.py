@@ -10,6 +10,7 @@ from spanledger.llm.bpe import bpe_round_trip
 from spanledger.llm.common import table
 from spanledger.llm.quality import score_quality
 from spanledger.llm.secret_scan import scan_secrets
+from spanledger.llm.simhash import near_duplicates
 from spanledger.llm.token_files import token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,3 +46,8 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_quality")
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op2_simhash")
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))

@@ -12,6 +12,7 @@ from spanledger.llm.quality import score_quality
 from spanledger.llm.secret_scan import scan_secrets
 from spanledger.llm.simhash import near_duplicates
 from spanledger.llm.token_files import token_files
+from spanledger.llm.top_k import top_k
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -51,3 +52,23 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_simhash")
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query(
+    "op5_top_k",
+    """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+    FROM embeddings WHERE list_aggregate(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)), 'bool_and')
+), s AS (
+    SELECT a.vec_id AS query_id, b.vec_id,
+           CAST(list_sum(list_transform(list_zip(a.q, b.q), lambda p: p[1] * p[2])) AS BIGINT) AS score
+    FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0
+), r AS (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5
+""",
+)
+def op5_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"))

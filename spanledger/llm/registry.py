@@ -13,6 +13,7 @@ from spanledger.llm.secret_scan import scan_secrets
 from spanledger.llm.simhash import near_duplicates
 from spanledger.llm.token_files import token_files
 from spanledger.llm.top_k import top_k
+from spanledger.llm.vector_join import near_vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -72,3 +73,31 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank
 )
 def op5_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings"))
+
+
+@query(
+    "op8_near_vectors",
+    """
+WITH RECURSIVE v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings
+), u AS (
+    SELECT vec_id, e, sqrt(list_sum(list_transform(e, lambda x: x * x))) AS size FROM v
+    WHERE list_aggregate(list_transform(e, lambda x: x IS NOT NULL AND isfinite(x)), 'bool_and')
+), links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.vec_id <> b.vec_id
+    WHERE a.size > 0 AND b.size > 0
+      AND list_sum(list_transform(list_zip(a.e, b.e), lambda p: p[1] * p[2])) / (a.size * b.size) >= 0.9
+), reach AS (
+    SELECT vec_id AS a, vec_id AS b FROM v
+    UNION
+    SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b
+), least_of AS (
+    SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a
+)
+SELECT vec_id, (SELECT count(*) FROM links WHERE links.a = least_of.vec_id) AS n_links, component_id,
+       vec_id = component_id AS kept
+FROM least_of
+""",
+)
+def op8_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"))

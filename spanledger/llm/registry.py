@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from spanledger.llm.bpe import bpe_round_trip
 from spanledger.llm.common import table
+from spanledger.llm.mixing import MixTarget, mix_sources
 from spanledger.llm.quality import score_quality
 from spanledger.llm.secret_scan import scan_secrets
 from spanledger.llm.simhash import near_duplicates
@@ -101,3 +103,16 @@ FROM least_of
 )
 def op8_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+#: Weights at 98 percent of the largest entropy, all tokens once as budget.
+MIX = MixTarget(entropy=0.98)
+
+
+@query("op6_mixing")
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return mix_sources(docs, MIX).select(
+        "doc_id", "source", F.col("mix_tokens").alias("n_tokens"), F.col("mix_copies").alias("copies"),
+        F.col("mix_weight").alias("weight"),
+    )

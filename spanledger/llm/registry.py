@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from spanledger.llm.bpe import bpe_round_trip
 from spanledger.llm.common import table
+from spanledger.llm.disclosure import private_digest
 from spanledger.llm.mixing import MixTarget, mix_sources
 from spanledger.llm.quality import score_quality
 from spanledger.llm.secret_scan import scan_secrets
@@ -116,3 +117,8 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "source", F.col("mix_tokens").alias("n_tokens"), F.col("mix_copies").alias("copies"),
         F.col("mix_weight").alias("weight"),
     )
+
+
+@query("op1_private_data")
+def op1_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return private_digest(table(spark, sf_dir, "documents"))

@@ -26,7 +26,7 @@ def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
 def arrow_schema(schema: T.StructType) -> pa.Schema:
     kinds = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string(), "boolean": pa.bool_(),
              "double": pa.float64(), "binary": pa.binary(), "array<string>": pa.list_(pa.string()),
-             "array<bigint>": pa.list_(pa.int64())}
+             "array<bigint>": pa.list_(pa.int64()), "array<binary>": pa.list_(pa.binary())}
     return pa.schema([(f.name, kinds[f.dataType.simpleString()]) for f in schema])
 
 

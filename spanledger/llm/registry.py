@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from spanledger.llm.bpe import bpe_round_trip
 from spanledger.llm.common import table
 from spanledger.llm.disclosure import private_digest
+from spanledger.llm.language_model import score_texts
 from spanledger.llm.mixing import MixTarget, mix_sources
 from spanledger.llm.quality import score_quality
 from spanledger.llm.secret_scan import scan_secrets
@@ -122,3 +123,8 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_private_data")
 def op1_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return private_digest(table(spark, sf_dir, "documents"))
+
+
+@query("op3_language_model")
+def op3_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(table(spark, sf_dir, "documents"))

@@ -188,3 +188,9 @@ def score_quality(docs: DataFrame, labels: DataFrame, params: QualityParams = Qu
                 quality_score(model, F.col("text")).alias("score"))
         .withColumn("predicted", F.when(F.col("score") >= params.threshold, 1).otherwise(0))
     )
+
+
+def keep_quality(docs: DataFrame, labels: DataFrame, params: QualityParams = QualityParams()) -> DataFrame:
+    """The rows of ``docs`` that the classifier accepts, with all their columns."""
+    model = train_quality(docs, labels, params)
+    return docs.filter(quality_score(model, F.col("text")) >= params.threshold)

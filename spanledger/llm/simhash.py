@@ -48,15 +48,18 @@ def fingerprint(text: str, words_each: int = 4, seed: int = 42) -> int:
     return int.from_bytes(np.packbits(2 * counts > shingles).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
-    """doc_id, fp (the unsigned fingerprint as a signed long)."""
+def fingerprints(docs: DataFrame, keep_row: bool = False) -> DataFrame:
+    """doc_id, fp (the unsigned fingerprint as a signed long), with ``keep_row`` the column row as well."""
 
     def rows(batches):
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            others = [batch.column(k).to_pylist() for k in range(batch.num_columns - 1)]
+            for *names, text in zip(*others, batch.column(batch.num_columns - 1)):
                 value = fingerprint(text.as_py())
-                yield doc_id, value - (1 << 64) if value >> 63 else value
+                yield (names[0], value - (1 << 64) if value >> 63 else value, *names[1:])
 
+    if keep_row:
+        return map_rows(docs.select("doc_id", "row", "text"), rows, "doc_id bigint, fp bigint, row bigint")
     return map_rows(texts(docs), rows, "doc_id bigint, fp bigint")
 
 
@@ -188,6 +191,13 @@ def hamming_links(fps: DataFrame, split_rows: int = SPLIT_ROWS) -> DataFrame:
     return ordered.mapInArrow(_links_of, "a long, b long")
 
 
+def _classes(marked: DataFrame) -> DataFrame:
+    """fp, root (one fingerprint of its group) for every distinct fingerprint."""
+    fps = materialize(marked.select("fp").distinct(), "distinct-fingerprints")
+    roots = connected_components(hamming_links(fps))
+    return fps.join(roots, fps.fp == roots.node, "left").select("fp", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id (smallest doc_id reachable) for every row of ``docs``.
 
@@ -196,11 +206,27 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     columns are not read. Copies are one fingerprint; only distinct fingerprints are compared.
     """
     marked = materialize(fingerprints(docs), "fingerprints")
-    fps = materialize(marked.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct-fingerprints")
-    roots = connected_components(hamming_links(fps.select("fp")))
-    rooted = fps.join(roots, fps.fp == roots.node, "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
-    smallest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    classes = materialize(rooted.join(smallest, "root").select("fp", "component_id"), "classes")
-    return marked.join(classes, "fp").select(
+    classes = materialize(_classes(marked), "classes")
+    least = marked.groupBy("fp").agg(F.min("doc_id").alias("first")).join(classes, "fp")
+    smallest = least.groupBy("root").agg(F.min("first").alias("component_id"))
+    named = materialize(classes.join(smallest, "root").select("fp", "component_id"), "named-classes")
+    return marked.join(named, "fp").select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
+
+
+def keep_one_of_each(docs: DataFrame, broadcast_rows: int = 1_000_000) -> DataFrame:
+    """``docs`` with one row of each group of near duplicates: the smallest doc_id, nulls last, of repeated ids the first row.
+
+    ``docs`` must be a stored table (doc_id, text, any other columns), whose rows keep their order between reads.
+    """
+    numbered = docs.withColumn("_row", F.monotonically_increasing_id())
+    keyed = texts(docs).select("doc_id", F.monotonically_increasing_id().alias("row"), "text")
+    marked = materialize(fingerprints(keyed, keep_row=True), "fingerprints")
+    classes = materialize(_classes(marked), "classes")
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row")
+    first = marked.groupBy("fp").agg(F.min(order).alias("first")).join(classes, "fp")
+    kept = first.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.row").alias("row"))
+    gone = materialize(marked.select("row").join(kept, "row", "left_anti").withColumnRenamed("row", "_row"), "duplicates")
+    small = F.broadcast(gone) if gone.count() <= broadcast_rows else gone
+    return numbered.join(small, "_row", "left_anti").select(*docs.columns)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from spanledger.operators.ranking import surrogate_key
+
 LOG_SCHEMA = (
     "id bigint, category int, source string, destination string, message string, type_operation string, "
     "count_row bigint, stamp timestamp_ntz"
@@ -58,6 +60,27 @@ def write_audit(
     return True
 
 
+def append_audit(spark: SparkSession, path: str, rows: DataFrame) -> None:
+    """Append the rows of ``audit_rows`` in one write; ids ascend after the largest in the log, with gaps."""
+    log = spark.read.schema(LOG_SCHEMA).parquet(path) if _exists(spark, path) else None
+    numbered = surrogate_key(rows, log, "id", dense=False)
+    numbered.select(*[f.split()[0] for f in LOG_SCHEMA.split(", ")]).write.mode("append").parquet(path)
+
+
+def load_log(steps: DataFrame, checks: DataFrame, source: str, destination: str) -> DataFrame:
+    """A load as steps for ``audit_rows``: its start, its steps, its checks that found something, its end."""
+    names = ["message", "category", "type_operation", "count_row"]
+    zero = F.lit(0).cast("long").alias("count_row")
+    edge = steps.sparkSession.range(1).select(F.lit(0).alias("category"), F.lit("").alias("type_operation"), zero)
+    found = checks.filter(F.col("n") > 0).select(
+        F.col("check_name").alias("message"), "category", F.lit("").alias("type_operation"), F.col("n").alias("count_row")
+    )
+    every = edge.withColumn("message", F.lit("start")).select(names)
+    for part in (steps, found, edge.withColumn("message", F.lit("stop"))):
+        every = every.unionByName(part.select(names))
+    return every.withColumn("source", F.lit(source)).withColumn("destination", F.lit(destination))
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     from spanledger.sources.tables import path_exists
 

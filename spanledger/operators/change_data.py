@@ -18,6 +18,7 @@ from spanledger.operators.intervals import (
     lead_in_slots,
     next_value,
 )
+from spanledger.operators.quality import duplicate_keys
 from spanledger.scale import DEFAULT_POLICY, SkewPolicy, broadcast_if_small, split_hot, time_slot
 from spanledger.session import materialize
 
@@ -168,7 +169,7 @@ def close_and_coalesce(
     led = ordinary.withColumn("_next", F.lead(FROM).over(Window.partitionBy(*keys).orderBy(FROM)))
     done = coalesce_whole(_end_versions(led, close), attributes, FROM, TO)
     if hot is not None:
-        led = lead_in_slots(hot.withColumn("_slot", time_slot(FROM, policy)), keys, FROM, "_next")
+        led = lead_in_slots(hot.withColumn("_slot", time_slot(hot, FROM, policy)), keys, FROM, "_next")
         done = done.unionByName(coalesce_in_slots(_end_versions(led, close), attributes, FROM, TO))
     return done.select(*versions.columns)
 
@@ -301,7 +302,8 @@ def load_history(
     """One load of unprocessed stage rows into the history.
 
     ``recompute="touched"`` recomputes only keys in the batch (and in ``also``, meant for ``unsettled_keys`` of the
-    load before) and passes all other versions through; with ``also`` kept up, results equal ``"all"``.
+    load before) and passes all other versions through; with ``also`` kept up, results equal ``"all"``. Two versions of
+    one key from the same stamp are an error, since which of them comes last would be arbitrary.
     """
     batch = unprocessed_batch(stage)
     old = history.select(*HISTORY)
@@ -310,7 +312,7 @@ def load_history(
         touched = batch.select("hash_key")
         if also is not None:
             touched = touched.unionByName(also.select("hash_key"))
-        touched = broadcast_if_small(touched.distinct())
+        touched = broadcast_if_small(materialize(touched.distinct(), "touched"))
         rest = old.join(touched, "hash_key", "left_anti")
         old = old.join(touched, "hash_key", "left_semi")
     known = history_keys(old)
@@ -323,6 +325,9 @@ def load_history(
         .unionByName(changes.withColumn("_origin", F.lit("change"))),
         "versions",
     )
+    double = duplicate_keys(tagged, ["hash_key", FROM]).limit(1).count()
+    if double:
+        raise ValueError("a key has two versions from the same stamp")
     recomputed = close_and_coalesce(tagged.drop("_origin"), close, policy=policy)
     return LoadResult(
         history=recomputed if rest is None else rest.select(*HISTORY).unionByName(recomputed),

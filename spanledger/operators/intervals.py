@@ -64,10 +64,11 @@ def next_value(
 
 def _by_heat(df: DataFrame, keys: Sequence[str], at: str, policy: SkewPolicy) -> tuple[DataFrame, DataFrame | None]:
     """Split off hot keys and give them ``_slot``. Distinct dates of a key are few whatever the number of rows."""
+    slot = time_slot(df, at, policy)  # refuses other types at any size
     if isinstance(df.schema[at].dataType, T.DateType):
         return df, None
     ordinary, hot = split_hot(df, keys, policy)
-    return ordinary, None if hot is None else hot.withColumn("_slot", time_slot(at, policy))
+    return ordinary, None if hot is None else hot.withColumn("_slot", slot)
 
 
 def lead_in_slots(slotted: DataFrame, keys: Sequence[str], at: str, out: str) -> DataFrame:
@@ -218,7 +219,7 @@ def coalesce_in_slots(slotted: DataFrame, keys: Sequence[str], start: str, end:
     carried = (
         slots.withColumn("_carry", F.max(end).over(order.rowsBetween(BEFORE, -1)))
         .withColumn("_later", F.lead("_slot").over(order).isNotNull())
-        .select(*keys, "_slot", F.lit(None).cast("timestamp_ntz").alias(start), F.col("_carry").alias(end), "_later")
+        .select(*keys, "_slot", F.lit(None).cast(slotted.schema[start].dataType).alias(start), F.col("_carry").alias(end), "_later")
     )
     both = points.withColumn("_later", F.lit(False)).unionByName(carried)
     in_slot = Window.partitionBy(*keys, "_slot")
@@ -510,9 +511,11 @@ def merge_flagged(
 
     Each row gives at most four rows. Bounds come from equi joins with per-segment tables: the first and last segment
     of a row that does not have it as best, with a pointer past those that do; and the segments where its weight is
-    best. ``keep`` stores the segment table between uses. Dates only; empty rows are dropped.
+    best. ``keep`` stores the segment table between uses. Dates only; empty rows are dropped. A NULL bound, which
+    ``fragment`` takes as open, is an error: a row without one has no last segment to end with.
     """
-    valid = rows.filter((F.col(start) < F.col(end)) & F.col(key).isNotNull())
+    bounded = F.when(F.col(start).isNull() | F.col(end).isNull(), F.raise_error(F.lit("a bound is NULL")).cast("boolean"))
+    valid = rows.filter(F.coalesce(bounded, F.col(start) < F.col(end)) & F.col(key).isNotNull())
     segs = _segment_flags(valid, key, start, end, weight, owner)
     segs = segs if keep is None else keep(segs)
     alike = Window.partitionBy(key, "_shared").orderBy("_from")

@@ -10,6 +10,7 @@ from pyspark.sql.window import Window
 
 from spanledger.functions import row_digest
 from spanledger.scale import DEFAULT_POLICY, SkewPolicy, split_hot
+from spanledger.session import materialize
 
 
 COPIES_PER_TASK = 1_000_000
@@ -31,7 +32,8 @@ def row_number_by(
     d = df
     if tie is None:
         d, tie = df.withColumn("_tie", row_digest(df.columns)), "_tie"
-    number = F.row_number().over(Window.partitionBy(*keys).orderBy(at, tie)).cast("long")
+    # equal digests of different rows are told apart by the rows themselves
+    number = F.row_number().over(Window.partitionBy(*keys).orderBy(at, tie, *df.columns)).cast("long")
     ordinary, hot = split_hot(d, keys, policy, counted)
     done = ordinary.withColumn(out, number).select(*df.columns, out)
     if hot is None:
@@ -51,7 +53,7 @@ def _number_hot(df: DataFrame, keys: Sequence[str], at: str, tie: str, out: str)
         .withColumn("_copies", F.coalesce(F.sum("_rows").over(order), F.lit(0)))
         .select(*keys, "_cut", "_copies", F.lit(0).alias("_own"))
     )
-    running = Window.partitionBy(*keys, "_cut").orderBy("_own", at, tie).rowsBetween(Window.unboundedPreceding, 0)
+    running = Window.partitionBy(*keys, "_cut").orderBy("_own", at, tie, *[c for c in df.columns if c not in (at, tie)]).rowsBetween(Window.unboundedPreceding, 0)
     numbered = (
         distinct.withColumn("_own", F.lit(1))
         .unionByName(carried, allowMissingColumns=True)
@@ -73,25 +75,28 @@ def _number_hot(df: DataFrame, keys: Sequence[str], at: str, tie: str, out: str)
 
 
 def surrogate_key(
-    new: DataFrame,
-    existing: DataFrame | None,
-    key: str,
-    dense: bool,
-    order: Sequence[str] = (),
-    max_dense: int = 1_000_000,
+    new: DataFrame, existing: DataFrame | None, key: str, dense: bool, order: Sequence[str] = ()
 ) -> DataFrame:
     """Number new rows after the largest existing key.
 
-    ``dense``: 1, 2, 3 .. in ``order``; one task numbers them all, so only dictionaries of at most ``max_dense`` rows
-    are taken. Otherwise unique ascending values with gaps, without a shuffle, for any size.
+    ``dense``: 1, 2, 3 .. in ``order`` (rows equal in it by their other columns): rows are range-partitioned and numbered within
+    their partition, from the number of rows in the partitions before it. Otherwise unique ascending values with gaps, without
+    a shuffle.
     """
     top = 0
     if existing is not None:
         top = existing.agg(F.max(key)).first()[0] or 0
-    if dense:
-        if new.count() > max_dense:
-            raise ValueError(f"more than {max_dense} rows: use dense=False")
-        number = F.row_number().over(Window.orderBy(*order))
-    else:
-        number = F.monotonically_increasing_id() + 1
-    return new.withColumn(key, number.cast("long") + F.lit(top))
+    if not dense:
+        return new.withColumn(key, (F.monotonically_increasing_id() + 1).cast("long") + F.lit(top))
+    every = [*order, *[c for c in new.columns if c not in order]]
+    parts = int(new.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # stored, so that the counts and the numbers see the same partitions
+    ranged = materialize(new.repartitionByRange(parts, *every).withColumn("_part", F.spark_partition_id()), "ranged")
+    # one row per partition
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows")).select(
+        "_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before")
+    )
+    number = F.row_number().over(Window.partitionBy("_part").orderBy(*every))
+    numbered = ranged.join(F.broadcast(offsets), "_part").withColumn(key, number.cast("long") + F.col("_before") + F.lit(top))
+    return numbered.select(*new.columns, key)

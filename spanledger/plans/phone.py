@@ -264,16 +264,8 @@ class PhoneMart:
     def phone_fragments(self) -> DataFrame:
         return phone_fragments(self.ranked(), self.phone_segments(), self.policy)
 
-    def _small(self, rows: DataFrame) -> bool:
-        """So few rows that listing their fragments is cheaper than avoiding it; a footer count of a stored table."""
-        return rows.count() <= self.policy.hot_rows
-
     def phones(self) -> DataFrame:
         def build():
-            if self._small(self.ranked()):
-                return coalesce_intervals_global(
-                    self.phone_fragments(), FRAGMENT_KEYS, START, END, _spans(self.phone_segments(), "seg_start", "seg_end")
-                )
             return phone_coalesce(self.ranked(), lambda segs: self._keep("phone_flags", lambda: segs), self.policy)
 
         return self._keep("phones", build)
@@ -285,7 +277,4 @@ class PhoneMart:
         return client_fragments(self.phones(), self.client_segments(), self.policy)
 
     def mart(self) -> DataFrame:
-        if self._small(self.phones()):
-            spans = _spans(self.client_segments(), "seg_start", "seg_end")
-            return _published(self.client_fragments(), spans)
         return publish(self.phones(), lambda segs: self._keep("client_flags", lambda: segs), self.policy)

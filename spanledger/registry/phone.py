@@ -61,5 +61,5 @@ def _(spark, sf):
 
 @case("phone_mart_large", "SELECT * FROM mart_phones")
 def _(spark, sf):
-    """The plan a large table gets: nothing lists fragments and keys of more than 30 rows are split."""
-    return mart(spark, sf, SkewPolicy(hot_rows=30, max_pieces=4)).mart()
+    """The same plan with every key of more than 30 rows split."""
+    return mart(spark, sf, SkewPolicy(hot_rows=30)).mart()

@@ -7,14 +7,14 @@ from pyspark.sql import functions as F
 from spanledger import constants as C
 from spanledger.functions import ntz
 from spanledger.operators import change_data as D
-from spanledger.operators.audit import audit_rows, audit_view
+from spanledger.operators.audit import LOG_SCHEMA, append_audit, audit_rows, audit_view
 from spanledger.operators.calendar import dim_date
 from spanledger.plans import requests as R
 from spanledger.plans.accounts import describe_accounts
 from spanledger.registry import sql_inputs  # noqa: F401
 from spanledger.registry.base import case
 from spanledger.registry.history import hex_key, loaded
-from spanledger.session import materialize
+from spanledger.session import materialize, scratch_path
 from spanledger.sources import fixtures as X
 
 HOLIDAYS = ["2024-01-01", "2024-02-23", "2024-05-09"]
@@ -54,7 +54,10 @@ FROM (SELECT valid_from_dttm AS day, status_nm AS m FROM day_history WHERE statu
 )
 def _(spark, sf):
     history = R.history_day_grain(loaded(spark, sf).history)
-    first, last = "2024-01-01", "2024-12-31"
+    days = F.array(F.to_date("valid_from_dttm"), F.to_date("deleted_dttm"))
+    # one row: the days on which anything starts or is deleted
+    bounds = history.agg(F.min(F.array_min(days)), F.max(F.array_max(days))).first()
+    first, last = (str(d or "1970-01-01") for d in bounds)
     starts = [m for m in C.MEASURES if m.endswith("_per_day")]
     daily = R.daily_measures(history, first, last).select(
         "day", *[F.col(m).alias(m.removesuffix("_per_day")) for m in starts]
@@ -163,7 +166,9 @@ def _(spark, sf):
 WHERE NOT (type_operation IN ('insert', 'update', 'delete') AND count_row = 0)""",
 )
 def _(spark, sf):
-    return audit_rows(X.audit_log(spark, sf), ntz(X.AS_OF + " 00:00:00"))
+    path = scratch_path(spark, "log")
+    append_audit(spark, path, audit_rows(X.audit_log(spark, sf), ntz(X.AS_OF + " 00:00:00")))
+    return spark.read.schema(LOG_SCHEMA).parquet(path).drop("id")
 
 
 @case("audit_view", r"SELECT * FROM fx_log WHERE source NOT LIKE 'oltp_src_system.mod_%' ORDER BY id DESC")

@@ -11,18 +11,19 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 @dataclass(frozen=True)
 class SkewPolicy:
-    """``hot_rows``: rows of one key that one task may hold. ``max_hot``: size bound of the list of hot keys; a key
-    outside the longest ``max_hot`` has less than ``1/max_hot`` of all rows. ``max_pieces``: pieces of one key in a
-    join. ``slot``: time unit that splits a hot key in a window over timestamps."""
+    """``hot_rows``: rows of one key that one task may hold. ``share``: a key with less than one in ``share`` of all rows is never
+    hot, so there are at most ``share`` hot keys. ``slot``: time unit that splits a hot key in a window over timestamps;
+    ``slot_width``: the same for whole numbers."""
 
     hot_rows: int = 1_000_000
-    max_hot: int = 4096
-    max_pieces: int = 1024
+    share: int = 10_000
     slot: str = "hour"
+    slot_width: int = 3600
 
 
 DEFAULT_POLICY = SkewPolicy()
@@ -30,28 +31,29 @@ BROADCAST_ROWS = 1_000_000
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], policy: SkewPolicy = DEFAULT_POLICY) -> DataFrame | None:
-    """The at most ``max_hot`` largest keys above ``hot_rows`` rows, with the number of pieces to cut them into.
+    """Keys with more than ``hot_rows`` rows and more than one in ``share`` of all, with the number of pieces to cut them
+    into, each of at most ``hot_rows`` rows.
 
-    None if the whole table is no larger than ``hot_rows``; for a stored table that count comes from file footers.
-    ``df`` is read again by what follows, so it should be a stored table or a narrow projection of one.
+    None if the whole table is no larger than ``hot_rows``, so that there can be none; for a stored table that count comes
+    from file footers. ``df`` is read again by what follows, so it should be a stored table or a narrow projection of one.
     """
-    if df.count() <= policy.hot_rows:
+    total = df.count()
+    if total <= policy.hot_rows:
         return None
+    least = max(policy.hot_rows, total // policy.share)
     return (
         df.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") > policy.hot_rows)
-        .orderBy(F.desc("_n"), *keys)
-        .limit(policy.max_hot)
+        .filter(F.col("_n") > least)
         .select(
             *[F.col(k).alias(f"_hot_{k}") for k in keys],
-            F.least(F.ceil(F.col("_n") / policy.hot_rows), F.lit(policy.max_pieces)).cast("int").alias("_pieces"),
+            F.ceil(F.col("_n") / policy.hot_rows).cast("int").alias("_pieces"),
         )
     )
 
 
 def mark_hot(df: DataFrame, hot: DataFrame | None, keys: Sequence[str]) -> DataFrame:
-    """Add ``_pieces`` (NULL for ordinary keys). The broadcast list is bounded by ``max_hot``."""
+    """Add ``_pieces`` (NULL for ordinary keys). The broadcast list is bounded by the policy's ``share``."""
     if hot is None:
         return df.withColumn("_pieces", F.lit(None).cast("int"))
     same = F.lit(True)
@@ -115,9 +117,13 @@ def split_hot(
     return marked.filter(~is_hot).drop("_pieces"), marked.filter(is_hot).drop("_pieces")
 
 
-_SLOT_TEXT = {"day": 10, "hour": 13, "minute": 16}
-
-
-def time_slot(at: str, policy: SkewPolicy = DEFAULT_POLICY) -> Column:
-    """The time unit ``at`` falls into; slots sort like ``at``."""
-    return F.substring(F.col(at).cast("string"), 1, _SLOT_TEXT[policy.slot])
+def time_slot(df: DataFrame, at: str, policy: SkewPolicy = DEFAULT_POLICY) -> Column:
+    """The part of its range ``at`` falls into; slots sort like ``at``. Timestamps, dates and whole numbers only."""
+    kind = df.schema[at].dataType
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return F.date_trunc(policy.slot, F.col(at)).cast(kind)
+    if isinstance(kind, T.DateType):
+        return F.trunc(F.col(at), "month")
+    if isinstance(kind, T.IntegralType):
+        return F.floor(F.col(at) / F.lit(policy.slot_width)).cast("long")
+    raise TypeError(f"{at} is {kind.simpleString()}: only timestamps, dates and whole numbers are cut into slots")

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -34,7 +37,7 @@ def shared_folder(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
-    if not spark.sparkContext.master.startswith("local"):
+    if spark.sparkContext.master.split("[")[0] != "local":
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     own = tempfile.mkdtemp(prefix="spanledger-")
     spark.conf.set("spark.checkpoint.dir", own)
@@ -54,9 +57,25 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
+    if getattr(_kept, "paths", None):
+        _kept.paths[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+_kept = threading.local()
+
+
+@contextmanager
+def intermediates(spark: SparkSession) -> Iterator[None]:
+    """Deletes what ``materialize`` wrote within the block, in this thread, when the block ends."""
+    _kept.paths = [*getattr(_kept, "paths", []), []]
+    try:
+        yield
+    finally:
+        for path in _kept.paths.pop():
+            _delete(spark, path)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path in this application's part of the shared folder."""
     return f"{_own_folder(spark)}/{name}-{uuid.uuid4().hex}"
@@ -64,5 +83,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def release_materialized(spark: SparkSession) -> None:
     """Delete all intermediates of this application. Frames built on them cannot be read afterwards."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    _delete(spark, _own_folder(spark))
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -12,13 +12,14 @@ from pyspark.sql import functions as F
 
 from spanledger.operators.change_data import HISTORY, load_history, unsettled_keys
 from spanledger.scale import DEFAULT_POLICY, SkewPolicy
+from spanledger.session import intermediates
 from spanledger.sources.tables import path_exists
 
 SCHEMA = (
     "id bigint, status_nm string, create_dttm timestamp_ntz, hash_key binary, valid_from_dttm timestamp_ntz, "
     "valid_to_dttm timestamp_ntz, deleted_flg boolean, deleted_dttm timestamp_ntz, bucket int"
 )
-MANIFEST = "bucket int, version bigint, row_count bigint, unsettled boolean"
+MANIFEST = "bucket int, version bigint, row_count bigint, unsettled boolean, stream string, batch bigint"
 
 
 class HistoryTable:
@@ -54,27 +55,37 @@ class HistoryTable:
             return self.spark.createDataFrame([], SCHEMA).select(*HISTORY)
         return self.spark.read.schema(SCHEMA).option("basePath", f"{self.root}/data").parquet(*paths).select(*HISTORY)
 
-    def load(self, stage: DataFrame, version: int | None = None) -> int:
-        """Load unprocessed ``stage`` rows as ``version`` (default: the next). A version already there is skipped, so
-        a repeated batch changes nothing."""
+    def last_batch(self, stream: str) -> int:
+        """Number of the last batch of ``stream`` that was loaded, -1 if none was."""
+        path = f"{self.root}/manifest"
+        if not path_exists(self.spark, path):
+            return -1
+        seen = self.spark.read.schema(MANIFEST).parquet(path).filter(F.col("stream") == stream)
+        last = seen.agg(F.max("batch")).first()[0]
+        return -1 if last is None else last
+
+    def load(self, stage: DataFrame, stream: str | None = None, batch_number: int | None = None) -> int:
+        """Load unprocessed ``stage`` rows as the next version. A batch of a stream is known by the stream's id and its number
+        and loaded once; other streams and loads by hand have numbers of their own."""
         manifest = self._manifest()
         current = max((v for v, _, _ in manifest.values()), default=0)
-        version = current + 1 if version is None else version
-        if version <= current:
+        if stream is not None and batch_number <= self.last_batch(stream):
             return current
+        version = current + 1
         batch = {r.bucket for r in stage.select(self._bucket().alias("bucket")).distinct().collect()}
         touched = batch | {b for b, (_, _, unsettled) in manifest.items() if unsettled}
         if not touched:
             return current
-        result = load_history(self.read(touched), stage, policy=self.policy)
         target = f"{self.root}/data/version={version}"
-        rows = result.recomputed.withColumn("id", F.col("id").cast("long")).withColumn("bucket", self._bucket())
-        # one file per bucket where that is enough, several where a bucket is large
-        rows.hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(target)
-        self._publish(target, version, touched)
+        with intermediates(self.spark):
+            result = load_history(self.read(touched), stage, policy=self.policy)
+            rows = result.recomputed.withColumn("id", F.col("id").cast("long")).withColumn("bucket", self._bucket())
+            # one file per bucket where that is enough, several where a bucket is large
+            rows.hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(target)
+        self._publish(target, version, touched, stream, batch_number)
         return version
 
-    def _publish(self, target: str, version: int, touched: set[int]) -> None:
+    def _publish(self, target: str, version: int, touched: set[int], stream: str | None, batch_number: int | None) -> None:
         written = self.spark.read.schema(SCHEMA).parquet(target)
         late = unsettled_keys(written).select(self._bucket().alias("bucket")).distinct().withColumn("late", F.lit(True))
         counted = written.groupBy("bucket").agg(F.count(F.lit(1)).alias("row_count"))
@@ -84,4 +95,6 @@ class HistoryTable:
             F.lit(version).cast("long").alias("version"),
             F.coalesce("row_count", F.lit(0).cast("long")).alias("row_count"),
             F.coalesce("late", F.lit(False)).alias("unsettled"),
+            F.lit(stream).cast("string").alias("stream"),
+            F.lit(batch_number).cast("long").alias("batch"),
         ).coalesce(1).write.mode("append").parquet(f"{self.root}/manifest")

@@ -79,9 +79,14 @@ def append_rows(df: DataFrame, target: str) -> None:
 
 
 def update_from(target: DataFrame, source: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """Rows of ``target`` with ``columns`` replaced where ``source`` has the key. ``source`` is unique on ``keys``."""
-    new = source.select(
-        *[F.col(k).alias(f"_k_{k}") for k in keys], F.struct(*columns).alias("_new")
+    """Rows of ``target`` with ``columns`` replaced where ``source`` has the key. A key twice in ``source`` is an error."""
+    once = F.when(F.count(F.lit(1)) > 1, F.raise_error(F.lit("a key occurs twice in the source")).cast("boolean"))
+    matchable = source.dropna(subset=list(keys))  # a NULL key matches nothing
+    new = (
+        matchable.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys])
+        .agg(F.first(F.struct(*columns)).alias("_new"), once.alias("_once"))
+        .filter(F.col("_once").isNull())
+        .drop("_once")
     )
     on = F.lit(True)
     for k in keys:

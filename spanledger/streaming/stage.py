@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,16 +25,19 @@ def read_stage(spark: SparkSession, path: str) -> DataFrame:
 def append_unseen(batch: DataFrame, stage_path: str) -> None:
     """Append rows of the batch not yet staged; a repeated batch appends nothing.
 
-    A staged row can only match on an equal stamp, so of the stage, partitioned by day, just the batch's days are read.
+    A staged row can only match on an equal stamp, so of the stage, partitioned by day, just the batch's days are read. A row
+    without a stamp is an error.
     """
     spark = batch.sparkSession
-    first, last = batch.agg(F.min("stamp"), F.max("stamp")).first()
-    if first is None:
+    # one row per day of the batch
+    days = [r.day for r in batch.select(F.to_date("stamp").alias("day")).distinct().collect()]
+    if None in days:
+        raise ValueError("a row of the feed has no stamp")
+    if not days:
         return
     seen = None
     if path_exists(spark, stage_path):
-        days = F.col("stamp_day").between(F.lit(first.date()), F.lit(last.date()))
-        seen = spark.read.schema(STAGE_SCHEMA).parquet(stage_path).filter(days)
+        seen = spark.read.schema(STAGE_SCHEMA).parquet(stage_path).filter(F.col("stamp_day").isin(days))
     fresh = stage_new_changes(batch, seen).withColumn("stamp_day", F.to_date("stamp"))
     fresh.write.mode("append").partitionBy("stamp_day").parquet(stage_path)
 
@@ -50,12 +55,14 @@ def stage_available(spark: SparkSession, feed_path: str, stage_path: str, checkp
 
 
 def load_available(table: HistoryTable, stage_path: str, checkpoint: str, **options: str) -> None:
-    """Load all stage files that arrived since the last run. The checkpoint stands in for the processed flag; the
-    batch number is the version of the load, so a repeated batch is skipped."""
+    """Load all stage files that arrived since the last run. The checkpoint stands in for the processed flag; the table
+    remembers the batches of the checkpoint's stream id, so a repeated batch is skipped and no other is."""
     stage = table.spark.readStream.schema(STAGE_SCHEMA).options(**options).parquet(stage_path)
+    started, identity = threading.Event(), []
 
     def load(batch: DataFrame, number: int) -> None:
-        table.load(batch.drop("stamp_day"), number + 1)
+        started.wait()
+        table.load(batch.drop("stamp_day"), identity[0], number)
 
     query = (
         stage.writeStream.foreachBatch(load)
@@ -63,4 +70,6 @@ def load_available(table: HistoryTable, stage_path: str, checkpoint: str, **opti
         .trigger(availableNow=True)
         .start()
     )
+    identity.append(str(query.id))
+    started.set()
     query.awaitTermination()

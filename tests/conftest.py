@@ -31,7 +31,7 @@ def spark():
 
 # one policy that never splits, one that splits nearly every key
 PLAIN = SkewPolicy()
-SPLIT = SkewPolicy(hot_rows=3, max_pieces=5, slot="hour")
+SPLIT = SkewPolicy(hot_rows=3, slot="hour", slot_width=4)
 
 
 @pytest.fixture(params=[PLAIN, SPLIT], ids=["plain", "split"])

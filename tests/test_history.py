@@ -267,3 +267,9 @@ def test_metadata_table_from_copy_to_history(spark, tmp_path):
 
 def test_open_end_constant():
     assert datetime.fromisoformat(C.OPEN_END) == OPEN
+
+
+def test_a_load_refuses_one_stamp_twice(spark):
+    stage = staged(spark, [change(1, "accepted", "I", 0), change(1, "paused", "U", 1), change(1, "executed", "U", 1)])
+    with pytest.raises(ValueError, match="same stamp"):
+        D.load_history(empty_history(spark), stage)

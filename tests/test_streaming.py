@@ -1,9 +1,13 @@
 """Streaming loads give the batch result, also when a batch is repeated."""
 
+import os
+
+import pytest
 from pyspark.sql import functions as F
 
 from spanledger.operators import change_data as D
 from spanledger.sources.fixtures import empty_history
+from spanledger.session import shared_folder
 from spanledger.sources.history_table import HistoryTable
 from spanledger.streaming import stage as S
 from tests.test_history import FEED, at, change, random_feed, versions
@@ -29,10 +33,40 @@ def test_stream_equals_batch(spark, tmp_path):
     S.append_unseen(spark.createDataFrame(second, FEED), stage)
     assert S.read_stage(spark, stage).count() == len(first) + len(second)
     before = versions(table.read())
-    table.load(S.read_stage(spark, stage), 2)
+    S.load_available(table, stage, f"{tmp_path}/c2")
     assert versions(table.read()) == before
 
 
+def test_batches_are_known_by_their_stream(spark, tmp_path):
+    """A second stream, a new checkpoint and a load by hand lose nothing; a repeated batch changes nothing."""
+    table = HistoryTable(spark, f"{tmp_path}/history", buckets=4)
+    for name, ids in (("one", (1, 2)), ("two", (3, 4))):
+        drop(spark, [change(i, "accepted", "I", i) for i in ids], f"{tmp_path}/{name}", 0)
+        S.stage_available(spark, f"{tmp_path}/{name}/*", f"{tmp_path}/stage-{name}", f"{tmp_path}/c-{name}")
+        S.load_available(table, f"{tmp_path}/stage-{name}", f"{tmp_path}/l-{name}")
+        by_hand = spark.createDataFrame([change(10 + ids[0], "accepted", "I", 9)], FEED)
+        table.load(D.stage_new_changes(by_hand, None))
+    assert {v[0] for v in versions(table.read())} == {1, 2, 3, 4, 11, 13}
+    before = table.version()
+    assert table.load(S.read_stage(spark, f"{tmp_path}/stage-one"), "s", 0) == before + 1
+    assert table.load(S.read_stage(spark, f"{tmp_path}/stage-one"), "s", 0) == before + 1
+
+
+def test_rows_without_a_stamp_are_refused(spark, tmp_path):
+    rows = [(5, "accepted", at(0), at(0), "I", None)]
+    with pytest.raises(ValueError):
+        S.append_unseen(spark.createDataFrame(rows, FEED), f"{tmp_path}/stage")
+
+
+def test_a_load_leaves_no_intermediates(spark, tmp_path):
+    held = spark.conf.get("spark.checkpoint.dir", None) or shared_folder(spark)
+    found = f"{held.removeprefix('file://').removeprefix('file:')}/{spark.sparkContext.applicationId}"
+    before = set(os.listdir(found)) if os.path.isdir(found) else set()
+    feed = [change(i, "accepted", "I", 0) for i in range(5)]
+    HistoryTable(spark, f"{tmp_path}/h", buckets=2).load(D.stage_new_changes(spark.createDataFrame(feed, FEED), None))
+    assert set(os.listdir(found)) == before
+
+
 def test_only_touched_buckets_are_rewritten(spark, tmp_path):
     table = HistoryTable(spark, str(tmp_path), buckets=8)
     feed = [change(i, "accepted", "I", 0) for i in range(12)]

@@ -569,12 +569,23 @@ def _(spark, sf):
     )
 
 
-@case("clock_functions")
+@case(
+    "clock_functions",
+    "SELECT c_custkey, TRUE AS dated_today, TRUE AS one_stamp, TRUE AS has_user, FALSE AS deleted_flg FROM customer",
+)
 def _(spark, sf):
-    """Rows stamped with the real clock and user, so there is nothing fixed to compare with."""
+    """Rows stamped with the real clock and user: what holds of the stamps whenever the query runs."""
     from spanledger.sources.tables import apply_defaults, technical_defaults
 
-    return apply_defaults(X.table(spark, sf, "customer").select("c_custkey"), technical_defaults())
+    stamped = apply_defaults(X.table(spark, sf, "customer").select("c_custkey"), technical_defaults())
+    now = F.current_timestamp().cast("timestamp_ntz")
+    return stamped.select(
+        "c_custkey",
+        (F.to_date("processed_dttm") == F.current_date()).alias("dated_today"),
+        (F.col("processed_dttm") == now).alias("one_stamp"),
+        F.col("user").isNotNull().alias("has_user"),
+        "deleted_flg",
+    )
 
 
 @case(

@@ -171,25 +171,23 @@ def _(spark, sf):
 
 CTES["fx_sparse"] = """
 SELECT 'p' || CAST(o_custkey % 40 AS VARCHAR) AS phone_num,
-       CAST(o_orderdate AS DATE) AS business_start_dt,
-       CAST(o_orderdate AS DATE) + CAST(o_orderkey % 3 AS INTEGER) AS business_end_dt
-FROM orders WHERE date_part('day', o_orderdate) < 20"""
+       sparse_day AS business_start_dt,
+       sparse_day + CAST(o_orderkey % 3 AS INTEGER) AS business_end_dt
+FROM (SELECT *, CAST(date_trunc('month', o_orderdate) AS DATE) + CAST(date_part('day', o_orderdate) AS INTEGER) % 19 AS sparse_day
+      FROM orders) o"""
 
 
 @case("coalesce_intervals_global", islands_sql("fx_sparse", "phone_num", START, END))
 def _(spark, sf):
-    """Short intervals of a few phones, so that the table has gaps: whole-table islands differ from per-key ones."""
+    """Short intervals of a few phones, all moved into the first 19 days of their month, so that the table has gaps: whole-table
+    islands differ from per-key ones."""
     return iv.coalesce_intervals_global(sparse_spans(spark, sf), ["phone_num"], START, END)
 
 
 def sparse_spans(spark, sf):
-    day = F.to_date("o_orderdate")
-    return (
-        X.table(spark, sf, "orders")
-        .filter(F.dayofmonth("o_orderdate") < 20)
-        .select(
-            F.concat(F.lit("p"), (F.col("o_custkey") % 40).cast("string")).alias("phone_num"),
-            day.alias(START),
-            F.date_add(day, (F.col("o_orderkey") % 3).cast("int")).alias(END),
-        )
+    day = F.date_add(F.trunc(F.to_date("o_orderdate"), "month"), F.dayofmonth("o_orderdate") % 19)
+    return X.table(spark, sf, "orders").select(
+        F.concat(F.lit("p"), (F.col("o_custkey") % 40).cast("string")).alias("phone_num"),
+        day.alias(START),
+        F.date_add(day, (F.col("o_orderkey") % 3).cast("int")).alias(END),
     )

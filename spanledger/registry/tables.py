@@ -58,10 +58,20 @@ def _(spark, sf):
     return surrogate_key(fresh, existing, "key", dense=True, order=["priority"]).select("key", "priority")
 
 
-@case("surrogate_key_distributed")
+@case(
+    "surrogate_key_distributed",
+    "SELECT count(*) AS key_count, count(*) AS distinct_keys, TRUE AS above_existing FROM lineitem",
+)
 def _(spark, sf):
+    """The keys themselves follow the partitions, so their properties are compared."""
     rows = X.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber")
-    return surrogate_key(rows, None, "key", dense=False)
+    existing = X.table(spark, sf, "orders").select(F.col("o_orderkey").alias("key"))
+    top = existing.agg(F.max("key")).first()[0]
+    return surrogate_key(rows, existing, "key", dense=False).agg(
+        F.count("key").alias("key_count"),
+        F.countDistinct("key").alias("distinct_keys"),
+        (F.min("key") > F.lit(top)).alias("above_existing"),
+    )
 
 
 @case(
@@ -91,11 +101,11 @@ def _(spark, sf):
     return spark.read.parquet(target)
 
 
-@case("full_refresh", "SELECT o_orderkey, o_orderstatus FROM fx_new_snapshot")
+@case("full_refresh", "SELECT o_orderkey, o_orderstatus FROM orders")
 def _(spark, sf):
     target = scratch_path(spark, "refresh")
     S.append_rows(X.old_snapshot(spark, sf).select("o_orderkey", "o_orderstatus"), target)
-    return S.snapshot_transfer(X.new_snapshot(spark, sf), ["o_orderkey", "o_orderstatus"], target)
+    return S.snapshot_transfer(X.table(spark, sf, "orders"), ["o_orderkey", "o_orderstatus"], target)
 
 
 @case(
@@ -110,11 +120,11 @@ def _(spark, sf):
 
 @case(
     "temp_relation",
-    "SELECT o_orderstatus, count(*) AS n FROM fx_new_snapshot GROUP BY o_orderstatus",
+    "SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY o_orderstatus",
 )
 def _(spark, sf):
-    X.new_snapshot(spark, sf).createOrReplaceTempView("temp_new_snapshot")
-    return spark.sql("SELECT o_orderstatus, count(*) AS n FROM temp_new_snapshot GROUP BY o_orderstatus")
+    X.table(spark, sf, "orders").createOrReplaceTempView("temp_orders")
+    return spark.sql("SELECT o_orderstatus, count(*) AS n FROM temp_orders GROUP BY o_orderstatus")
 
 
 @case(

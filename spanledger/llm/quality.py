@@ -6,6 +6,8 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
+from operator import eq
 
 import numpy as np
 import pandas as pd
@@ -25,7 +27,7 @@ class QualityParams:
     dimensions: int = 8
     grams: tuple[int, ...] = (3, 4)
     sample_docs: int = 6000
-    rounds: int = 5
+    rounds: int = 8
     workers: int = 6
     rate: float = 0.08
     folds: int = 5
@@ -42,6 +44,14 @@ class QualityModel:
     bias: float
 
 
+#: Stands for a word pair of twice the same word.
+REPEAT = "\x01again\x01"
+
+
+def repeats(words: list[str]) -> int:
+    return sum(map(eq, words, islice(words, 1, None)))
+
+
 def word_features(word: str, params: QualityParams) -> list[int]:
     """Buckets of a word and of its character n-grams, with marks at both ends."""
     marked = f"<{word}>".encode()
@@ -76,9 +86,11 @@ def _featured(docs: DataFrame, labels: DataFrame, params: QualityParams) -> Data
             features = WordCache(lambda w: word_features(w, params))
             for doc_id, quality, text in zip(*(c.to_pylist() for c in batch.columns)):
                 counts: Counter = Counter()
-                for word, times in Counter(text.split()).items():
+                words = text.split()
+                for word, times in [*Counter(words).items(), (REPEAT, repeats(words))]:
                     for f in features[word]:
                         counts[f] += times
+                counts = +counts
                 ids = np.fromiter(counts.keys(), "<u4", len(counts))
                 times = np.fromiter(counts.values(), "<u4", len(counts))
                 yield doc_id, quality, ids.tobytes(), times.tobytes()
@@ -122,7 +134,7 @@ def _learner(sent, params: QualityParams, turn: int):
 
 
 def train_quality(docs: DataFrame, labels: DataFrame, params: QualityParams = QualityParams()) -> QualityModel:
-    """Hashed word and n-gram vectors, averaged per document, softmax output.
+    """Hashed vectors of words, their character n-grams and repeated-word pairs, averaged per document, softmax output.
 
     Each round, every worker takes stochastic gradient steps over its share of the sample from the same start, and the
     results are averaged with the numbers of documents as weights; what comes to the driver is ``workers`` models of fixed size.
@@ -166,8 +178,9 @@ def quality_score(model: QualityModel, text: Column) -> Column:
         cached = WordCache(value).__getitem__
         for part in parts:
             odds = []
-            for words in part:
-                both = sum(map(cached, words.split()), 0j)
+            for text in part:
+                words = text.split()
+                both = sum(map(cached, words), 0j) + repeats(words) * cached(REPEAT)
                 odds.append(model.bias + (both.real / both.imag if both.imag else 0.0))
             yield pd.Series(1.0 / (1.0 + np.exp(-np.clip(np.array(odds, float), -500, 500))))
 

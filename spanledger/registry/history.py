@@ -75,6 +75,53 @@ def _(spark, sf):
     return snapshot_history(materialize(first, "metadata"), old, new, ["o_orderkey"], ntz(STAMP))
 
 
+def _metadata_sql(table: str, value: str) -> str:
+    pick = f"SELECT 'f' || CAST(o_orderkey AS VARCHAR) AS k, {value} AS v FROM"
+    return f"""SELECT '{table}' AS table_name, k, v, valid_from_dttm,
+       lead(valid_from_dttm, 1, {OPEN}) OVER (PARTITION BY k ORDER BY valid_from_dttm) AS valid_to_dttm, deleted_flg
+FROM (SELECT k, v, TIMESTAMP '2024-01-01' AS valid_from_dttm, FALSE AS deleted_flg FROM ({pick} fx_old_snapshot) a
+      UNION ALL
+      SELECT coalesce(n.k, o.k), n.v, TIMESTAMP '2024-02-01', n.k IS NULL
+      FROM ({pick} fx_old_snapshot) o FULL JOIN ({pick} fx_new_snapshot) n ON o.k = n.k
+      WHERE n.k IS NULL OR o.k IS NULL OR o.v IS DISTINCT FROM n.v) versions"""
+
+
+@case(
+    "metadata_tables_history",
+    _metadata_sql("dag_code", "coalesce(o_orderstatus, '-') || ':' || o_orderpriority")
+    + "\nUNION ALL\n"
+    + _metadata_sql("dag_information", "CAST(o_custkey AS VARCHAR) || coalesce(o_orderstatus, '-')"),
+)
+def _(spark, sf):
+    """Both metadata tables from two copies of the source to their history."""
+    from spanledger import constants as C
+    from spanledger.plans.metadata import DAG_CODE, DAG_INFORMATION
+
+    key = F.concat(F.lit("f"), F.col("o_orderkey").cast("string"))
+    status = F.coalesce("o_orderstatus", F.lit("-"))
+    other = {c: F.lit(None).cast("string") for c in C.DAG_INFORMATION_COLUMNS}
+    filled = {
+        "dag_code": (DAG_CODE, {"fileloc": key, "source_code": F.concat(status, F.lit(":"), "o_orderpriority")}, "source_code"),
+        "dag_information": (
+            DAG_INFORMATION, other | {"dag_id": key, "owners": F.concat(F.col("o_custkey").cast("string"), status)}, "owners"
+        ),
+    }
+    parts = []
+    for name, (table, columns, value) in filled.items():
+        old, new = (
+            table.transfer(frame.select(*[c.alias(n) for n, c in columns.items()]), scratch_path(spark, name))
+            for frame in (X.old_snapshot(spark, sf), X.new_snapshot(spark, sf))
+        )
+        first = materialize(table.history(None, old.limit(0), old, ntz("2024-01-01 00:00:00")), name)
+        parts.append(
+            table.history(first, old, new, ntz(STAMP)).select(
+                F.lit(name).alias("table_name"), F.col(table.key[0]).alias("k"), F.col(value).alias("v"),
+                "valid_from_dttm", "valid_to_dttm", "deleted_flg",
+            )
+        )
+    return parts[0].unionByName(parts[1])
+
+
 @case(
     "null_aware_anti",
     """SELECT o_orderkey, o_custkey, o_orderstatus FROM fx_new_snapshot

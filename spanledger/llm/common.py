@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -74,3 +74,19 @@ class WordCache(dict):
             self.clear()
         self[word] = value
         return value
+
+
+def sample_by_dim(vectors: DataFrame, sizes: dict[int, int], wanted: int, id_col: str, columns: list[str]) -> list:
+    """At most ``wanted`` rows of each vector length ``dim``, those with the smallest hash of ``id_col``, for the driver.
+
+    A threshold on the hash first leaves about twice as many of each length, whatever its number of rows (``sizes``).
+    """
+    if not sizes:
+        return []
+    bounds = {d: min(1 << 30, max(1, (1 << 30) * 2 * wanted // n)) for d, n in sizes.items()}
+    bound = F.element_at(F.create_map(*[F.lit(x) for pair in bounds.items() for x in pair]), F.col("dim"))
+    by_chance = Window.partitionBy("dim").orderBy(F.xxhash64(id_col), id_col)
+    return (
+        vectors.filter(F.pmod(F.xxhash64(id_col), F.lit(1 << 30)) <= bound)
+        .withColumn("_place", F.row_number().over(by_chance)).filter(F.col("_place") <= wanted).select(*columns).collect()
+    )

@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from spanledger.llm.common import sample_by_dim
 from spanledger.session import materialize
 
 
@@ -156,12 +157,7 @@ def top_k(vectors: DataFrame, params: TopKParams = TopKParams()) -> DataFrame:
     counts = numbered.groupBy("dim").agg(F.count("*").alias("n"), F.count_if("asks").alias("asks"))
     # one row for each length of vectors
     sizes = {r.dim: (r.n, r.asks) for r in counts.collect()}
-    by_chance = Window.partitionBy("dim").orderBy(F.xxhash64("row"), "row")
-    some = (
-        numbered.filter(F.pmod(F.xxhash64("row"), F.lit(1 << 20)) <= F.lit(_share(sizes, params.pivot_sample)))
-        .withColumn("place", F.row_number().over(by_chance)).filter(F.col("place") <= params.pivot_sample)
-        .select("dim", "row", "v").collect()
-    )
+    some = sample_by_dim(numbered, {d: n for d, (n, _) in sizes.items()}, params.pivot_sample, "row", ["dim", "row", "v"])
     sample = {d: np.array([r.v for r in some if r.dim == d], np.int64).reshape(-1, d) for d in sizes}
     sample_rows = {d: np.array([r.row for r in some if r.dim == d], np.int64) for d in sizes}
     pivots = {d: choose_pivots(x.astype(np.float64), params.pivots) for d, x in sample.items()}
@@ -191,9 +187,3 @@ def top_k(vectors: DataFrame, params: TopKParams = TopKParams()) -> DataFrame:
     best = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id", "row")
     ranked = found.withColumn("rank", F.row_number().over(best).cast("int")).filter(F.col("rank") <= params.k)
     return ranked.select("query_id", "rank", "vec_id", "score")
-
-
-def _share(sizes: dict[int, tuple[int, int]], wanted: int) -> int:
-    """Bound of a hash of 20 bits below which about twice the wanted rows of the rarest length fall."""
-    rarest = min((n for n, _ in sizes.values()), default=1)
-    return min(1 << 20, max(1, (1 << 20) * 2 * wanted // rarest))

@@ -11,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from spanledger.llm.common import sample_by_dim
 from spanledger.llm.components import connected_components
 from spanledger.session import materialize
 
@@ -248,13 +249,7 @@ def near_vectors(vectors: DataFrame, params: JoinParams = JoinParams(), id_col:
     )
     # one row for each length of vectors
     sizes = {r.dim: r.n for r in different.groupBy("dim").agg(F.count("*").alias("n")).collect()}
-    by_chance = Window.partitionBy("dim").orderBy(F.xxhash64("node"), "node")
-    bound = min(1 << 20, max(1, (1 << 20) * 2 * params.axis_sample // min(sizes.values(), default=1)))
-    some = (
-        different.filter(F.pmod(F.xxhash64("node"), F.lit(1 << 20)) <= F.lit(bound))
-        .withColumn("place", F.row_number().over(by_chance)).filter(F.col("place") <= params.axis_sample)
-        .select("dim", "v").collect()
-    )
+    some = sample_by_dim(different, sizes, params.axis_sample, "node", ["dim", "v"])
     axes = {
         d: principal_axes(_unit(np.array([r.v for r in some if r.dim == d], np.float64).reshape(-1, d)), params.axes)
         for d in sizes

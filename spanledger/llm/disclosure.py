@@ -137,11 +137,21 @@ def _joined(left: DataFrame, right: DataFrame, key: str, how: str, params: Discl
     return left.join(F.broadcast(right) if right.count() <= params.broadcast_rows else right, key, how)
 
 
+def _disclosure(total: int) -> Column:
+    """Share of a value's information, from the columns both, entity_docs and term_docs."""
+    bits = -F.log2(F.col("entity_docs") / F.lit(total))
+    # two windows of one document can hold the pair twice
+    shared = F.least(F.col("both"), F.col("entity_docs"), F.col("term_docs"))
+    return (F.log2(shared / F.col("term_docs")) + bits) / bits
+
+
 def revealing_terms(found: DataFrame, keyed: DataFrame, params: DisclosureParams) -> tuple[DataFrame, DataFrame]:
     """(terms, uses): term and its largest disclosure; key of a text and term for texts that hold one.
 
     A term t discloses PMI(t; e) / IC(e) of a value e, with IC(e) = -log2 p(e) and PMI = log2 p(e|t) / p(e), p over documents. Candidates
-    are the terms that stood near e in enough different contexts; their document counts come from all texts.
+    are the terms that stood near e in enough different contexts; their document counts come from all texts. The texts in which a
+    term stands near any value bound its count from below and its disclosure from above, so terms that fall short already
+    there, as common words do, are not counted in all texts.
     """
     total = max(1, found.count())
     per_doc = found.filter(F.size("near") > 0).select(F.explode(F.array_distinct("near")).alias("n"))
@@ -149,24 +159,27 @@ def revealing_terms(found: DataFrame, keyed: DataFrame, params: DisclosureParams
         per_doc.groupBy("n.entity", "n.term", "n.context").agg(F.count("*").alias("docs"))
         .groupBy("entity", "term").agg(F.sum("docs").alias("both"), F.count("*").alias("contexts"))
     )
-    pairs = materialize(together.filter(F.col("contexts") >= params.contexts), "term-pairs")
     entities = (
         found.filter(F.size("near") > 0).select(F.explode(F.array_distinct(F.col("near.entity"))).alias("entity"))
         .groupBy("entity").agg(F.count("*").alias("entity_docs"))
     )
+    near_value = (
+        found.filter(F.size("near") > 0).select(F.explode(F.array_distinct(F.col("near.term"))).alias("term"))
+        .groupBy("term").agg(F.count("*").alias("term_docs"))
+    )
+    known = together.filter(F.col("contexts") >= params.contexts).join(entities, "entity").filter(F.col("entity_docs") < total)
+    pairs = materialize(
+        known.join(near_value, "term").filter(_disclosure(total) >= params.generalise).drop("term_docs"), "term-pairs"
+    )
     candidates = materialize(pairs.select("term").distinct(), "terms")
     words = keyed.select("key", F.explode(F.array_distinct(_terms(F.col("text")))).alias("term"))
-    uses = materialize(
-        _joined(words, candidates, "term", "inner", params).groupBy("key", "term").agg(F.count("*").alias("docs")), "term-uses"
-    )
-    counts = uses.groupBy("term").agg(F.sum("docs").alias("term_docs"))
-    entity_bits = -F.log2(F.col("entity_docs") / F.lit(total))
-    # two windows of one document can hold the pair twice
-    shared = F.least(F.col("both"), F.col("entity_docs"), F.col("term_docs"))
-    pointwise = F.log2(shared / F.col("term_docs")) + entity_bits
-    judged = pairs.join(entities, "entity").join(counts, "term").filter(F.col("entity_docs") < total)
-    terms = judged.groupBy("term").agg(F.max(pointwise / entity_bits).alias("disclosure")).filter(F.col("disclosure") >= params.generalise)
-    return materialize(terms, "revealing-terms"), uses
+    # counted first, within each task before the shuffle, and joined afterwards: a row per term, not per use
+    counts = _joined(words.groupBy("term").agg(F.count("*").alias("term_docs")), candidates, "term", "inner", params)
+    judged = pairs.join(counts, "term")
+    terms = judged.groupBy("term").agg(F.max(_disclosure(total)).alias("disclosure")).filter(F.col("disclosure") >= params.generalise)
+    terms = materialize(terms, "revealing-terms")
+    uses = _joined(words, terms.select("term"), "term", "inner", params).select("key", "term").distinct()
+    return terms, materialize(uses, "term-uses")
 
 
 def _added(docs: DataFrame, terms: DataFrame, uses: DataFrame, params: DisclosureParams) -> DataFrame:

@@ -3,81 +3,151 @@
 from __future__ import annotations
 
 import os
-import re
 import zlib
+from array import array
+from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from spanledger.llm.common import TOKENIZER_FOLDER, WordCache, map_rows, texts
+from spanledger.llm.common import TOKENIZER_FOLDER, map_rows, texts
 from spanledger.llm.packed_blocks import ShardReader, ShardWriter
 from spanledger.session import materialize, scratch_path
 
 WORD_BPE = f"{TOKENIZER_FOLDER}/word_bpe_49k.json"
 END_ID = 2
-SHARD_IDS = 4_000_000
-# blanks between which this vocabulary's tokenizer keeps no context
-_WORDS = re.compile(r"[^ \t-\r]+").findall
+SHARD_BYTES = 16_000_000
+_GROUP_BYTES = 1_000_000
 
 
-def tokenize(docs: DataFrame, vocabulary: str = WORD_BPE, end_id: int = END_ID) -> DataFrame:
-    """doc_id, row (a distinct number), n_tokens, ids (unsigned 32-bit little-endian, ``end_id`` last).
+class WordIds:
+    """Ids, as unsigned 32-bit little-endian bytes, of the words of a group of texts.
 
-    The library encodes each distinct word between blanks once per cache turn; a text's ids are those of its words.
+    Words are what stands between ASCII blanks, which this vocabulary's tokenizer drops and across which it keeps no context; the
+    library encodes the new ones of a group in a few calls. Two generations of at most ``limit`` words and a group's are held.
     """
 
-    def rows(batches):
+    def __init__(self, vocabulary: str, limit: int = 300_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        tokenizer = Tokenizer.from_file(vocabulary)
-        tokenizer.no_truncation()
-        tokenizer.no_padding()
-
-        def encode(word: str) -> bytes:
-            return np.array(tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
-
-        cached = WordCache(encode).__getitem__
-        end = np.array([end_id], "<u4").tobytes()
-        for batch in batches:
-            for doc_id, row, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
-                ids = b"".join([*map(cached, _WORDS(text.as_py())), end])
-                yield doc_id, row, len(ids) // 4, ids
-
-    numbered = texts(docs).select("doc_id", F.monotonically_increasing_id().alias("row"), "text")
-    return map_rows(numbered, rows, "doc_id bigint, row bigint, n_tokens bigint, ids binary")
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+
+        self.tokenizer, self.letters = Tokenizer.from_file(vocabulary), Tokenizer.from_file(vocabulary)
+        for each in (self.tokenizer, self.letters):
+            each.no_truncation()
+            each.no_padding()
+        # lower-case ASCII letters are left as they are by normalizing and are one piece
+        self.letters.normalizer = normalizers.Sequence([])
+        self.letters.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        vocab = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.ends = np.zeros(max(vocab.values(), default=0) + 1, bool)
+        self.ends[[i for token, i in vocab.items() if token.endswith("</w>")]] = True
+        self.one = vocab["1</w>"]
+        self.limit, self.now, self.old = limit, {}, {}
+
+    def of(self, words: list[bytes]) -> list[bytes]:
+        """Ids of each word."""
+        found = list(map(self.now.get, words))
+        missing = {word for word, ids in zip(words, found) if ids is None}
+        if not missing:
+            return found
+        new = {word: ids for word in missing if (ids := self.old.get(word)) is not None}
+        fresh = [word for word in missing if word not in new]
+        letters = [w for w in fresh if w.isalpha()]
+        others = [w for w in fresh if not w.isalpha() and b"1" not in w]
+        rest = [w for w in fresh if b"1" in w]
+        for group, encode in ((letters, self._letters), (others, self._divided)):
+            known = encode(group)
+            if known is None:
+                rest += group
+            else:
+                new.update(zip(group, known))
+        encodings = self.tokenizer.encode_batch_fast([w.decode() for w in rest], add_special_tokens=False)
+        new.update((w, array("I", e.ids).tobytes()) for w, e in zip(rest, encodings))
+        if len(self.now) + len(new) > self.limit:
+            self.old, self.now = self.now, {}
+        self.now.update(new)
+        return [new[word] if ids is None else ids for word, ids in zip(words, found)]
+
+    def _letters(self, words: list[bytes]) -> list[bytes] | None:
+        """Words of ASCII letters in one text: the last id of each ends a word. None if that doesn't hold."""
+        text = b" ".join(words).lower().decode()
+        ids = np.array(self.letters.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+        return _cut(ids, (np.flatnonzero(self.ends[ids]) + 1).tolist(), 0, len(words))
+
+    def _divided(self, words: list[bytes]) -> list[bytes] | None:
+        """Words without the digit 1 in one text, each followed by this digit, which is always one id of its own."""
+        text = (b" 1 ".join(words) + b" 1").decode() if words else ""
+        ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+        return _cut(ids, (np.flatnonzero(ids == self.one) + 1).tolist(), 1, len(words))
+
+
+def _cut(ids: np.ndarray, stops: list[int], drop: int, count: int) -> list[bytes] | None:
+    """The bytes between stops without the last ``drop`` ids of each; None if there are not ``count``."""
+    if len(stops) != count:
+        return None
+    raw = ids.tobytes()
+    return [raw[4 * start : 4 * (stop - drop)] for start, stop in zip([0, *stops], stops)]
+
+
+@lru_cache(maxsize=2)
+def word_ids(vocabulary: str) -> WordIds:
+    """One for all tasks of a Python process."""
+    return WordIds(vocabulary)
+
+
+def _grouped(batches) -> Iterator[list[tuple[int | None, bytes]]]:
+    group, size = [], 0
+    for batch in batches:
+        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            raw = text.as_buffer().to_pybytes()
+            group.append((doc_id, raw))
+            size += len(raw)
+            if size >= _GROUP_BYTES:
+                yield group
+                group, size = [], 0
+    if group:
+        yield group
 
 
 def write_token_files(
-    docs: DataFrame, folder: str, vocabulary: str = WORD_BPE, end_id: int = END_ID, shard_ids: int = SHARD_IDS
+    docs: DataFrame, folder: str, vocabulary: str = WORD_BPE, end_id: int = END_ID, shard_bytes: int = SHARD_BYTES
 ) -> DataFrame:
     """Encode ``docs`` (doc_id, text) and write their ids in ascending doc_id order into shards under ``folder``.
 
-    Returns the stored manifest: shard, path, n_docs, n_ids, start (ids in all shards before). Texts are encoded once
-    into a stored table; its rows are range-partitioned by (doc_id, row), so one repeated doc_id is spread as well.
-    A shard is written under a name of its task attempt and counts only if the manifest lists it, so retries and
-    lost executors leave at most an unlisted file. ``folder`` is any URI that Arrow opens.
+    Returns the stored manifest: shard, path, n_docs, n_ids, start (ids in all shards before). Texts are range-partitioned by
+    (doc_id, row), so one repeated doc_id is spread as well, and encoded where they are written. A shard is written under a name
+    of its task attempt and counts only if the manifest lists it, so retries and lost executors leave at most an unlisted
+    file. ``folder`` is any URI that Arrow opens.
     """
-    encoded = materialize(tokenize(docs, vocabulary, end_id), "token-ids")
-    total = encoded.agg(F.sum("n_tokens")).first()[0] or 0
-    shards = max(1, -(-total // shard_ids))
+    numbered = texts(docs).select("doc_id", F.monotonically_increasing_id().alias("row"), "text")
+    total = numbered.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    shards = max(1, -(-total // shard_bytes))
 
     def rows(batches):
         context = TaskContext.get()
         path = f"{folder}/shard-{context.partitionId():06d}-{context.taskAttemptId()}.pfb"
-        writer = None
-        for batch in batches:
-            for doc_id, ids in zip(batch.column(0).to_pylist(), batch.column(1)):
-                writer = writer or ShardWriter(path)
-                writer.add(doc_id, np.frombuffer(ids.as_buffer(), "<u4"))
+        known, writer, end = word_ids(vocabulary), None, array("I", [end_id]).tobytes()
+        for group in _grouped(batches):
+            words, counts = [], []
+            for _, raw in group:
+                own = raw.split()
+                words += own
+                counts.append(len(own))
+            ids = known.of(words)
+            writer = writer or ShardWriter(path)
+            at = 0
+            for (doc_id, _), count in zip(group, counts):
+                writer.add(doc_id, np.frombuffer(b"".join([*ids[at : at + count], end]), "<u4"))
+                at += count
         if writer:
             writer.close()
             yield context.partitionId(), path, len(writer.docs), writer.ids
 
     ordered = (
-        encoded.repartitionByRange(shards, "doc_id", "row").sortWithinPartitions("doc_id", "row").select("doc_id", "ids")
+        numbered.repartitionByRange(shards, "doc_id", "row").sortWithinPartitions("doc_id", "row").select("doc_id", "text")
     )
     written = materialize(map_rows(ordered, rows, "shard bigint, path string, n_docs bigint, n_ids bigint"), "shards")
     # one row per shard

@@ -52,7 +52,7 @@ def test_table_of_odd_rows(spark, library, tmp_path):
     rows += [(100 + k, "".join(rng.choice(alphabet) for _ in range(rng.randint(0, 12)))) for k in range(400)]
     rows += [(700, "a<|endoftext|>b <|startoftext|>")]
     docs = spark.createDataFrame([(a, b, 1) for a, b in rows], "doc_id long, text string, start int")
-    manifest = write_token_files(docs, str(tmp_path / "out"), shard_ids=5000)
+    manifest = write_token_files(docs, str(tmp_path / "out"), shard_bytes=20_000)
     assert manifest.count() > 3
     got = read_token_files(manifest, keep_ids=True).orderBy("start").collect()
     want = {}

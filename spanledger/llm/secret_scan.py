@@ -7,6 +7,7 @@ import binascii
 import hashlib
 import json
 import re
+from bisect import bisect_right
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,10 +24,15 @@ _HEX = re.compile(r"[0-9a-f]{16,}")
 KINDS = ("assign", "access", "hex", "signed_token", "private_key", "encoded_key")
 
 _SIGNED = re.compile(r"(?<![A-Za-z0-9_.-])ey[A-Za-z0-9_-]{6,}\.[A-Za-z0-9_-]{2,}\.[A-Za-z0-9_-]*")
-_ARMOURED = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----([A-Za-z0-9+/=\s,:-]*?)-----END \1-----")
-# base64 of a DER sequence starts with M, of the OpenSSH magic with b3Blb; hex of a sequence with 30
-_BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])(?:M[A-Za-z0-9+/_-]{31,}|b3BlbnNzaC1rZXktdjE[A-Za-z0-9+/_-]*)={0,2}")
-_HEX_KEY = re.compile(r"(?<![0-9a-fA-F])30(?:[0-9a-f]{62,}|[0-9A-F]{62,})(?![0-9a-fA-F])")
+_MARK = re.compile(r"-----(BEGIN|END) ([A-Z0-9 ]*PRIVATE KEY)-----")
+_PLAIN = re.compile(r"[A-Za-z0-9+/=\s,:\x01-]*")
+_REST = re.compile(r"(?:\s*+[A-Za-z0-9-]++:[^\n]*+\n)*+[A-Za-z0-9+/=\s\x01]*+")
+_LINE = re.compile(r"[A-Za-z0-9+/\x01]+={0,2}")
+# base64 of 32 or more on the first line, with the lines that follow it; hex as well
+_RUNS = re.compile(r"[A-Za-z0-9+/_\x01-]{32,}+(?:[\x20\t\r]*+\n\s*+[A-Za-z0-9+/_\x01-]++)*+={0,2}")
+_HEX_RUNS = re.compile(r"[0-9a-fA-F]{64,}+(?:[\x20\t\r]*+\n\s*+[0-9a-fA-F]++(?![A-Za-z0-9+/_-]))*+")
+_WORD = re.compile(r"[^\s=]+")
+_ESCAPE = re.compile(r"\\+(?:[rnt/]|u00[0-9a-fA-F]{2})")
 _OPENSSH = b"openssh-key-v1\0"
 
 
@@ -127,26 +133,145 @@ def base_spans(text: str) -> list[tuple[int, str, int]]:
     return spans
 
 
-def structural_spans(text: str) -> list[tuple[int, str, int]]:
-    """Spans whose decoded form parses as a key or a signed token."""
+def _unescaped(text: str) -> str:
+    """The text with written escapes (of line breaks, tabs, slashes, base64 characters) as what they stand for, every character at its
+    place: \x01 fills."""
+
+    def plain(m):
+        what = m[0].lstrip("\\")
+        if what in "rt":
+            return " " * len(m[0])
+        char = "\n" if what == "n" else "/" if what == "/" else chr(int(what[1:], 16))
+        return char.rjust(len(m[0]), " " if char == "\n" else "\x01") if char in "\n/+=-" else m[0]
+
+    return _ESCAPE.sub(plain, text) if "\\" in text else text
+
+
+def _size(data: bytes) -> int:
+    """Bytes of the DER value or OpenSSH key that ``data`` begins with, as its lengths say; 0 if it begins with neither."""
+    if data.startswith(_OPENSSH):
+        at = len(_OPENSSH)
+        for k in range(3):
+            at += 4 + int.from_bytes(data[at : at + 4], "big")
+        at += 4
+        for _ in range(int.from_bytes(data[at - 4 : at], "big") % 17 + 1):  # the public keys and the private part
+            at += 4 + int.from_bytes(data[at : at + 4], "big")
+        return at if at <= len(data) else len(data)
+    if len(data) < 2 or data[0] != 0x30:
+        return 0
+    count = data[1] & 0x7F if data[1] & 0x80 else 0
+    if count > 4 or data[1] == 0x80:
+        return 0
+    return 2 + count + (int.from_bytes(data[2 : 2 + count], "big") if count else data[1])
+
+
+def _begins_key(head: bytes) -> bool:
+    """An OpenSSH key, or a DER sequence that begins with a number of one byte."""
+    at = 2 + (head[1] & 0x7F if len(head) > 1 and head[1] & 0x80 else 0)
+    return head.startswith(_OPENSSH) or (_size(head) > 0 and head[at : at + 2] == b"\x02\x01")
+
+
+def _base64_part(chars: str) -> tuple[bytes, int, int]:
+    """(decoded bytes, characters, bytes that they stand for) of base64 that may go on with other words."""
+    chars = chars.split("=")[0]
+    return _decode(chars[: len(chars) - (len(chars) % 4 == 1)]) or b"", 4, 3
+
+
+def _hex_part(chars: str) -> tuple[bytes, int, int]:
+    return bytes.fromhex(chars[: len(chars) // 2 * 2]), 2, 1
+
+
+def _armoured(view: str) -> list[tuple[int, int]]:
+    """Keys in armour; the end line may be missing, then the key's own lengths tell its end."""
+    found = []
+    marks = list(_MARK.finditer(view)) if "-----BEGIN " in view else []
+    for m, after in zip(marks, [*marks[1:], None]):
+        if m[1] != "BEGIN":
+            continue
+        closed = after is not None and after[1] == "END" and after[2] == m[2]
+        stop = after.start() if after is not None else len(view)
+        body = view[m.end() : stop] if closed else _REST.match(view, m.end(), stop)[0]
+        legacy = "ENCRYPTED" in body
+        places, at = [], m.end()
+        for line in body.split("\n"):
+            if ":" not in line:
+                places += [at + k for k, c in enumerate(line) if c.isascii() and (c.isalnum() or c in "+/=")]
+            at += len(line) + 1
+        chars = "".join([view[k] for k in places])
+        data, _, _ = _base64_part(chars)
+        size = _size(data)
+        part = data[:size] if size else data
+        whole = bool(size) and size <= len(data) and _der_items(part, 0, len(part)) is not None
+        if closed:
+            if is_key(part) or (_PLAIN.fullmatch(body) and data and (legacy or (whole and "ENCRYPTED" in m[2]))):
+                found.append((m.start(), after.end()))
+        elif is_key(part) or (whole and "ENCRYPTED" in m[2]):
+            end = places[-(-len(part) * 4 // 3) - 1] + 1
+            found.append((m.start(), end + len(re.match("={0,2}", view[end : end + 2])[0])))
+        elif legacy:
+            # nothing tells its end but the first line that is not base64
+            end = at = m.end()
+            for line in body.split("\n"):
+                if _LINE.fullmatch(line.strip()) and (len(line.strip()) >= 32 or end > m.end()):
+                    end = at + len(line.rstrip())
+                elif end > m.end():
+                    break
+                at += len(line) + 1
+            if end > m.end():
+                found.append((m.start(), end))
+    return found
+
+
+def _encoded(view: str, pattern: re.Pattern, decoded, nested: bool):
+    """(start, end) of keys in the encoded runs, and of runs that hold a text with keys; any line of a run may be the first of a key."""
+    for run in pattern.finditer(view):
+        words = [(w.start(), w.end()) for w in _WORD.finditer(view, run.start(), run.end())]
+        done = 0
+        for k, (start, end) in enumerate(words):
+            if start < done or end - start < 32:
+                continue
+            head, each, bytes_each = decoded(view[start : min(end, start + 64)].replace("\x01", ""))
+            pem = head.startswith(b"-----BEGIN ") or (k == 0 and not nested)
+            if not _begins_key(head) and not pem:
+                continue
+            # as many lines as the lengths ask for
+            need = None if pem or head.startswith(_OPENSSH) else -(-_size(head) * each // bytes_each)
+            places: list[int] = []
+            for a, b in words[k:]:
+                places += [x for x in range(a, b) if view[x] != "\x01"]
+                if need is not None and len(places) >= need:
+                    break
+            data, _, _ = decoded("".join([view[x] for x in places]))
+            size = _size(data)
+            if size and is_key(data[:size]):
+                last = places[-(-size * each // bytes_each) - 1] + 1
+            elif pem and not nested and b"PRIVATE KEY-----" in data:
+                inner = [e for _, kind, e in structural_spans(data.decode("latin-1"), True) if kind == "private_key"]
+                if not inner:
+                    continue
+                at = places[-(-max(inner) * each // bytes_each) - 1]
+                last = next(b for a, b in words if a <= at < b)
+            else:
+                continue
+            done = last + len(re.match("={0,2}", view[last : last + 2])[0])
+            yield start, done
+
+
+def structural_spans(text: str, nested: bool = False) -> list[tuple[int, str, int]]:
+    """Spans whose decoded form parses as a key or a signed token, or is a text that holds an armoured key (``nested``: the text is
+    such a decoded one)."""
     spans = []
     if "ey" in text and "." in text:
         spans += [(m.start(), "signed_token", m.end()) for m in _SIGNED.finditer(text) if is_signed_token(m[0])]
-    armoured = []
-    if "-----BEGIN " in text:
-        for m in _ARMOURED.finditer(text):
-            body = "".join(x for x in m[2].split("\n") if ":" not in x)
-            encrypted = "ENCRYPTED" in m[1] or "ENCRYPTED" in m[2]
-            data = _decode(re.sub(r"\s", "", body))
-            whole = bool(data) and _der_items(data, 0, len(data)) is not None
-            if is_key(data) or (encrypted and bool(data) and (whole or "ENCRYPTED" in m[2])):
-                armoured.append((m.start(), m.end()))
-        spans += [(a, "private_key", b) for a, b in armoured]
-    found = [(m, _decode(m[0])) for m in _BASE64.finditer(text)]
-    found += [(m, bytes.fromhex(m[0])) for m in _HEX_KEY.finditer(text) if len(m[0]) % 2 == 0]
-    for m, data in found:
-        if is_key(data) and not any(a <= m.start() < b for a, b in armoured):
-            spans.append((m.start(), "encoded_key", m.end()))
+    view = _unescaped(text)
+    armoured = _armoured(view)
+    spans += [(a, "private_key", b) for a, b in armoured]
+    starts = [a for a, _ in armoured]
+    keys = sorted({*_encoded(view, _RUNS, _base64_part, nested), *_encoded(view, _HEX_RUNS, _hex_part, nested)})
+    for start, end in keys:
+        k = bisect_right(starts, start) - 1
+        if k < 0 or start >= armoured[k][1]:
+            spans.append((start, "encoded_key", end))
     return spans
 
 

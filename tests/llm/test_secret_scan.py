@@ -78,3 +78,32 @@ def test_table_of_odd_rows(spark):
     clean = sorted((tuple(r) for r in redact_secrets(docs).collect()), key=repr)
     assert (1, None, 3) in clean and (5, "clean text", 10) in clean and (3, "[signed_token]", 14) in clean and len(clean) == 7
     assert (4, "ab " * 50000 + "[assign]", 150008) in clean
+
+
+def lines(text, width=64):
+    return [text[k : k + width] for k in range(0, len(text), width)]
+
+
+def test_keys_in_other_forms():
+    pem = "\n".join(["-----BEGIN PRIVATE KEY-----", *lines(b64(PKCS8)), "-----END PRIVATE KEY-----", ""])
+    ssh = "\n".join(["-----BEGIN OPENSSH PRIVATE KEY-----", *lines(b64(SSH), 70), "-----END OPENSSH PRIVATE KEY-----"])
+    bare = "\n".join(lines(b64(PKCS8), 76))
+    twice = b64(pem.encode())
+    for kind, secret in [
+        ("private_key", json.dumps(pem)[1:-1].removesuffix("\\n")),
+        ("private_key", pem.replace("\n", "\\r\\n").removesuffix("\\r\\n")),
+        ("private_key", json.dumps(json.dumps(ssh)[1:-1])[1:-1]),
+        ("private_key", pem.split("\n-----END")[0]),
+        ("private_key", ssh.split("\n-----END")[0]),
+        ("encoded_key", twice), ("encoded_key", "\n".join(lines(twice, 76))), ("encoded_key", pem.encode().hex()),
+        ("encoded_key", bare), ("encoded_key", bare.replace("\n", "\r\n")), ("encoded_key", json.dumps(bare)[1:-1]),
+        ("encoded_key", b64(PKCS8).replace("/", "\\/")), ("encoded_key", "\n".join(lines(RSA.hex()))),
+    ]:
+        for before, after in (('{"key": "', '", "id": 1}'), ("see\n", "\nmore words here\n"), ("x" * 41 + "\n", ""), ("a\\n", "\\nend")):
+            text = f"{before}{secret}{after}"
+            at = len(before)
+            assert (at, kind, at + len(secret)) in structural_spans(text), (kind, before, secret[:40], structural_spans(text))
+            assert len(structural_spans(text)) == 1
+    for clean in (b64(b"plain text of some length, no key in it at all"), "word/" * 2000, "ab" * 5000, "\n".join(["M" * 64] * 300),
+                  "-----BEGIN PRIVATE KEY-----\nnot a key\n", "C:\\new\\table\\run", b64(b"-----BEGIN CERTIFICATE-----" * 3)):
+        assert structural_spans(clean) == []

@@ -41,14 +41,15 @@ def word_count(text: Column) -> Column:
 
 def _marked(docs: DataFrame, target: MixTarget, source_col: str, text_col: str, id_col: str) -> DataFrame:
     """Adds _source (null is a source of its own), _tokens, _at (place in its block's permutation), _block and _turn (the block's place
-    in its source's permutation). Rows must come in a stable order, as from a stored table."""
+    in its source's permutation). Stored, as the place depends on the row's number, which another read may deal differently."""
     source = F.struct(F.col(source_col).isNull().alias("missing"), F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("name"))
     at = F.xxhash64(F.lit(target.seed), F.col(id_col), F.monotonically_increasing_id())
-    return (
+    marked = (
         docs.withColumn("_source", source).withColumn("_tokens", word_count(F.col(text_col))).withColumn("_at", at)
         .withColumn("_block", F.pmod(F.shiftright("_at", 20), F.lit(target.blocks)))
         .withColumn("_turn", F.xxhash64(F.lit(target.seed + 1), "_source", "_block"))
     )
+    return materialize(marked, "marked-documents")
 
 
 def find_exponent(shares: DataFrame, target: MixTarget) -> tuple[float, float]:

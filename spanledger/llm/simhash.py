@@ -218,10 +218,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def keep_one_of_each(docs: DataFrame, broadcast_rows: int = 1_000_000) -> DataFrame:
     """``docs`` with one row of each group of near duplicates: the smallest doc_id, nulls last, of repeated ids the first row.
 
-    ``docs`` must be a stored table (doc_id, text, any other columns), whose rows keep their order between reads.
+    ``docs`` holds doc_id, text and any other columns. Its rows are numbered once and stored with their numbers, so that reads dealt
+    differently over tasks cannot change them.
     """
-    numbered = docs.withColumn("_row", F.monotonically_increasing_id())
-    keyed = texts(docs).select("doc_id", F.monotonically_increasing_id().alias("row"), "text")
+    numbered = materialize(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered-documents")
+    text = F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
+    keyed = numbered.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("_row").alias("row"), text)
     marked = materialize(fingerprints(keyed, keep_row=True), "fingerprints")
     classes = materialize(_classes(marked), "classes")
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row")

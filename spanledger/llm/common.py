@@ -48,7 +48,7 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
 
 def map_rows(df: DataFrame, rows_of, ddl: str) -> DataFrame:
     """``rows_of``: from an iterator of Arrow batches to result tuples; runs per partition with bounded batches."""
-    schema = T._parse_datatype_string(ddl)
+    schema = T.StructType.fromDDL(ddl)
     arrow = arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

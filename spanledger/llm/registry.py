@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from spanledger.llm.bpe import bpe_round_trip
 from spanledger.llm.common import table
 from spanledger.llm.disclosure import private_digest
+from spanledger.llm.hard_negatives import hard_negatives
 from spanledger.llm.language_model import score_texts
 from spanledger.llm.mixing import MixTarget, mix_sources
 from spanledger.llm.quality import score_quality
@@ -17,6 +18,7 @@ from spanledger.llm.secret_scan import scan_secrets
 from spanledger.llm.simhash import near_duplicates
 from spanledger.llm.token_files import token_files
 from spanledger.llm.top_k import top_k
+from spanledger.llm.toxicity import score_toxicity
 from spanledger.llm.vector_join import near_vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -128,3 +130,37 @@ def op1_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_language_model")
 def op3_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_texts(table(spark, sf_dir, "documents"))
+
+
+@query("op13_toxicity")
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query(
+    "op11_hard_negatives",
+    """
+WITH v AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+    FROM embeddings
+    WHERE label IS NOT NULL
+      AND list_aggregate(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)), 'bool_and')
+), s AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+           CAST(list_sum(list_transform(list_zip(a.q, b.q), lambda p: p[1] * p[2])) AS BIGINT) AS score
+    FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0
+), p AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id,
+       CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank,
+       s.vec_id AS negative_id, positive_score, s.score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT s.same AND 30 * positive_score <= 100 * s.score AND 100 * s.score <= 90 * positive_score
+QUALIFY rank <= 10
+""",
+)
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives(table(spark, sf_dir, "embeddings"))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from spanledger.llm.bpe import bpe_round_trip
 from spanledger.llm.common import table
+from spanledger.llm.conversations import repair_damaged
 from spanledger.llm.disclosure import private_digest
 from spanledger.llm.hard_negatives import hard_negatives
 from spanledger.llm.language_model import score_texts
@@ -164,3 +165,84 @@ QUALIFY rank <= 10
 )
 def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
+@query(
+    "op12_conversation_repair",
+    r"""
+WITH RECURSIVE bits(i, k, v) AS (
+    SELECT i, 0, CAST(i AS BIGINT) FROM range(256) r(i)
+    UNION ALL
+    SELECT i, k + 1, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END FROM bits WHERE k < 8
+), sums AS (
+    SELECT list(v ORDER BY i) AS t FROM bits WHERE k = 8
+), source AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+           xor(list_reduce(
+               list_transform(string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''),
+                              lambda c: CAST(ascii(c) AS BIGINT)),
+               lambda a, b: xor(t[(xor(a, b) & 255) + 1], a >> 8), CAST(4294967295 AS BIGINT)), 4294967295) % 20 AS chance
+    FROM conversations, sums
+), damaged AS (
+    SELECT conv_id, turn, CASE WHEN chance = 4 THEN 'user' ELSE role END AS role,
+           CASE WHEN chance = 1 THEN '' WHEN chance = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+    FROM source, range(CASE chance WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)
+), placed AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS place,
+           regexp_replace(text, '[\x20\x09-\x0D]+$', '') AS spoken
+    FROM damaged
+), faulty AS (
+    SELECT *, left(role, 1) AS initial,
+           left(role, 1) IN ('s', 'u', 'a') AS known,
+           CASE WHEN spoken = '' THEN 'b'
+                WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY place) > 1 THEN 'd'
+                WHEN right(spoken, 1) NOT IN ('.', '!', '?') THEN 't' ELSE '' END AS fault,
+           lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY place) || left(role, 1) AS pair
+    FROM placed
+), counts AS (
+    SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+           count(*) FILTER (fault = 'b') AS blank, count(*) FILTER (fault = 'd') AS duplicate,
+           count(*) FILTER (fault = 't') AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal,
+           count(*) AS n
+    FROM faulty GROUP BY conv_id
+), ins(state, letters, lines, cost, next) AS (
+    VALUES (0, '', CAST([] AS VARCHAR[]), 0, 0), (0, 'I', ['user:'], 3, 2), (0, 'II', ['user:', 'assistant:'], 6, 3),
+           (1, '', CAST([] AS VARCHAR[]), 0, 1), (1, 'I', ['user:'], 3, 2), (1, 'II', ['user:', 'assistant:'], 6, 3),
+           (2, '', CAST([] AS VARCHAR[]), 0, 2), (2, 'I', ['assistant:'], 3, 3),
+           (3, '', CAST([] AS VARCHAR[]), 0, 3), (3, 'I', ['user:'], 3, 2)
+), reads(state, letter, initial, role, cost, next) AS (
+    VALUES (0, 'K', 's', NULL, 0, 1), (0, 'K', 'u', NULL, 0, 2), (1, 'K', 'u', NULL, 0, 2), (2, 'K', 'a', NULL, 0, 3),
+           (3, 'K', 'u', NULL, 0, 2), (0, 'R', NULL, 'user', 3, 2), (1, 'R', NULL, 'user', 3, 2),
+           (2, 'R', NULL, 'assistant', 3, 3), (3, 'R', NULL, 'user', 3, 2), (0, 'D', NULL, NULL, 4, 0),
+           (1, 'D', NULL, NULL, 4, 1), (2, 'D', NULL, NULL, 4, 2), (3, 'D', NULL, NULL, 4, 3)
+), paths(conv_id, place, state, best) AS (
+    SELECT conv_id, CAST(0 AS BIGINT), 0, {'cost': CAST(0 AS BIGINT), 'audit': '', 'lines': CAST([] AS VARCHAR[])} FROM counts
+    UNION ALL
+    SELECT p.conv_id, p.place + 1, r.next,
+           min({'cost': p.best.cost + i.cost + r.cost + CASE WHEN f.fault = 't' AND r.letter <> 'D' THEN 3 ELSE 0 END,
+                'audit': p.best.audit || i.letters || r.letter,
+                'lines': list_concat(list_concat(p.best.lines, i.lines), CASE r.letter WHEN 'D' THEN CAST([] AS VARCHAR[])
+                    WHEN 'K' THEN [f.role || ':' || f.text] ELSE [r.role || ':' || f.text] END)})
+    FROM paths p
+    JOIN faulty f ON f.conv_id IS NOT DISTINCT FROM p.conv_id AND f.place = p.place + 1
+    JOIN ins i ON i.state = p.state
+    JOIN reads r ON r.state = i.next AND (r.initial IS NULL OR r.initial = f.initial)
+    WHERE r.letter = 'D' OR f.fault NOT IN ('b', 'd')
+    GROUP BY p.conv_id, p.place, r.next
+), ended AS (
+    SELECT p.conv_id, min({'cost': p.best.cost + i.cost, 'audit': p.best.audit || i.letters,
+                           'lines': list_concat(p.best.lines, i.lines)}) AS best
+    FROM paths p JOIN counts c ON c.conv_id IS NOT DISTINCT FROM p.conv_id AND c.n = p.place
+    JOIN ins i ON i.state = p.state AND i.next IN (0, 3)
+    GROUP BY p.conv_id
+)
+SELECT s.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(coalesce(best.cost, 0) AS BIGINT) AS cost,
+       coalesce(best.audit, '') AS audit, sha256(coalesce(array_to_string(best.lines, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) s
+LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM s.conv_id
+LEFT JOIN ended e ON e.conv_id IS NOT DISTINCT FROM s.conv_id
+""",
+)
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_damaged(table(spark, sf_dir, "conversations"))

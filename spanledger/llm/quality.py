@@ -44,6 +44,8 @@ class QualityModel:
     bias: float
 
 
+#: Parts of the weights that are averaged apart.
+_CHUNKS = 16
 #: Stands for a word pair of twice the same word.
 REPEAT = "\x01again\x01"
 
@@ -68,7 +70,8 @@ def held_out(id_col: str, folds: int, fold: int) -> Column:
 
 
 def _featured(docs: DataFrame, labels: DataFrame, params: QualityParams) -> DataFrame:
-    """Distinct features of each sampled labelled document and how often they occur."""
+    """Distinct features of each sampled labelled document (once, however often its rows repeat; of several texts the smallest) and
+    how often they occur."""
     known = (
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("long").alias("quality"))
         .filter(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1))
@@ -79,7 +82,8 @@ def _featured(docs: DataFrame, labels: DataFrame, params: QualityParams) -> Data
         .limit(params.sample_docs)
     )
     # at most sample_docs pairs of numbers
-    sampled = texts(docs).join(F.broadcast(known), "doc_id").select("doc_id", "quality", "text")
+    found = texts(docs).join(F.broadcast(known), "doc_id")
+    sampled = found.groupBy("doc_id", "quality").agg(F.min("text").alias("text"))
 
     def rows(batches):
         for batch in batches:
@@ -128,16 +132,28 @@ def _learner(sent, params: QualityParams, turn: int):
             counts = np.frombuffer(times, "<u4").astype(np.float32)
             docs.append((int(quality), np.frombuffer(ids, "<u4"), counts / max(1.0, counts.sum())))
         new = _train_part(docs, sent.value, params, turn)
-        return pd.DataFrame({"n": [len(docs)], "state": [b"".join(x.tobytes() for x in new)]})
+        parts = np.array_split(np.concatenate([x.ravel() for x in new]), _CHUNKS)
+        return pd.DataFrame(
+            {"chunk": range(_CHUNKS), "share": frame.share.iloc[0], "n": len(docs), "state": [x.tobytes() for x in parts]}
+        )
 
     return learn
 
 
+def _averaged(frame: pd.DataFrame) -> pd.DataFrame:
+    """The mean of the workers' states of one chunk, by numbers of documents."""
+    frame = frame.sort_values("share")
+    total = frame.n.sum()
+    mean = sum(np.frombuffer(x, np.float32).astype(np.float64) * (n / total) for x, n in zip(frame.state, frame.n))
+    return pd.DataFrame({"chunk": [frame.chunk.iloc[0]], "state": [mean.astype(np.float32).tobytes()]})
+
+
 def train_quality(docs: DataFrame, labels: DataFrame, params: QualityParams = QualityParams()) -> QualityModel:
     """Hashed vectors of words, their character n-grams and repeated-word pairs, averaged per document, softmax output.
 
     Each round, every worker takes stochastic gradient steps over its share of the sample from the same start, and the
-    results are averaged with the numbers of documents as weights; what comes to the driver is ``workers`` models of fixed size.
+    results are averaged chunk by chunk on the executors, with the numbers of documents as weights; one model of fixed size comes to
+    the driver.
     Without labelled documents the model scores every text 0.5.
     """
     spark = docs.sparkSession
@@ -151,15 +167,14 @@ def train_quality(docs: DataFrame, labels: DataFrame, params: QualityParams = Qu
     )
     for turn in range(params.rounds):
         sent = spark.sparkContext.broadcast(state)
-
-        parts = dealt.groupBy("share").applyInPandas(_learner(sent, params, turn), "n long, state binary").collect()
-        if not parts:
+        parts = dealt.groupBy("share").applyInPandas(_learner(sent, params, turn), "chunk long, share long, n long, state binary")
+        found = parts.groupBy("chunk").applyInPandas(_averaged, "chunk long, state binary").collect()
+        sent.destroy()
+        if not found:
             return QualityModel(params, np.zeros(params.buckets), 0.0)
-        total = sum(p.n for p in parts)
-        mean = sum(np.frombuffer(p.state, np.float32).astype(np.float64) * (p.n / total) for p in parts)
+        mean = np.concatenate([np.frombuffer(r.state, np.float32) for r in sorted(found, key=lambda r: r.chunk)])
         cuts = np.cumsum([x.size for x in state])[:-1]
-        state = tuple(x.reshape(s.shape).astype(np.float32) for x, s in zip(np.split(mean, cuts), state))
-        sent.unpersist()
+        state = tuple(x.reshape(s.shape) for x, s in zip(np.split(mean, cuts), state))
     vectors, _, out, bias = state
     return QualityModel(params, (vectors @ (out[:, 1] - out[:, 0])).astype(np.float64), float(bias[1] - bias[0]))
 
@@ -192,7 +207,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, params: QualityParams = Qu
 
     Labels, language, source and ids are no inputs of the score: equal texts get equal scores. Null and empty texts get the
     score without evidence; a null id is never held out; repeated rows give repeated rows; several labels of one document count as
-    the lowest; labels other than 0 and 1 are ignored; an empty table gives an empty one.
+    the lowest, repeated rows are learned from once; labels other than 0 and 1 are ignored; an empty table gives an empty one.
     """
     model = train_quality(docs, labels, params)
     return (
@@ -204,6 +219,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, params: QualityParams = Qu
 
 
 def keep_quality(docs: DataFrame, labels: DataFrame, params: QualityParams = QualityParams()) -> DataFrame:
-    """The rows of ``docs`` that the classifier accepts, with all their columns."""
+    """The rows of ``docs`` that the classifier accepts, with all their columns, which are not touched. Null and empty texts score
+    as a text without evidence; repeated rows are kept or dropped alike; an empty table gives an empty one."""
     model = train_quality(docs, labels, params)
     return docs.filter(quality_score(model, F.col("text")) >= params.threshold)

@@ -35,6 +35,11 @@ def test_learns_and_holds_out(spark):
     assert len(right) > 20 and sum(right) / len(right) > 0.95
     assert len({r.score for r in got if r.doc_id in (900, 901)}) == 1
 
+    # repeated labelled rows are learned from once
+    twice, _ = frames(spark, rows + rows[:50] * 3, [])
+    once = {r.doc_id: r.score for r in score_quality(frames(spark, rows, [])[0], known, FAST).collect()}
+    assert {r.doc_id: r.score for r in score_quality(twice, known, FAST).collect()} == once
+
     # labels of the held-out fold change nothing
     flipped = [(k, 1 - q if zlib.crc32(str(k).encode()) % 5 == 0 else q, 0) for k, q, _ in labels]
     again = score_quality(docs, frames(spark, rows, flipped)[1], FAST).collect()

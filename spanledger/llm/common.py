@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,6 +23,11 @@ def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     )
 
 
+def whole_row(docs: DataFrame, name: str = "doc") -> Column:
+    """All columns of ``docs`` in one struct, so that no name of theirs clashes with a column added beside it."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(name)
+
+
 def arrow_schema(schema: T.StructType) -> pa.Schema:
     kinds = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string(), "boolean": pa.bool_(),
              "double": pa.float64(), "binary": pa.binary(), "array<string>": pa.list_(pa.string()),

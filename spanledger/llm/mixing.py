@@ -8,11 +8,14 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from spanledger.llm.common import whole_row
 from spanledger.session import materialize
 
 #: One pass over the source table tries this many exponents, which halves the interval five times.
 _TRIES = 31
 _PASSES = 8
+#: Exponents beyond 1 sharpen the weights; powers of any share stay above the least double.
+_LARGEST = 32.0
 #: Sources beyond this are joined by a shuffle instead of a broadcast.
 BROADCAST_SOURCES = 100_000
 
@@ -40,12 +43,13 @@ def word_count(text: Column) -> Column:
 
 
 def _marked(docs: DataFrame, target: MixTarget, source_col: str, text_col: str, id_col: str) -> DataFrame:
-    """Adds _source (null is a source of its own), _tokens, _at (place in its block's permutation), _block and _turn (the block's place
-    in its source's permutation). Stored, as the place depends on the row's number, which another read may deal differently."""
+    """doc (the row), _source (null is a source of its own), _tokens, _at (place in its block's permutation), _block and _turn (the
+    block's place in its source's permutation). Stored, as the place depends on the row's number, which another read may deal
+    differently."""
     source = F.struct(F.col(source_col).isNull().alias("missing"), F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("name"))
     at = F.xxhash64(F.lit(target.seed), F.col(id_col), F.monotonically_increasing_id())
     marked = (
-        docs.withColumn("_source", source).withColumn("_tokens", word_count(F.col(text_col))).withColumn("_at", at)
+        docs.select(whole_row(docs), source.alias("_source"), word_count(F.col(text_col).cast("string")).alias("_tokens"), at.alias("_at"))
         .withColumn("_block", F.pmod(F.shiftright("_at", 20), F.lit(target.blocks)))
         .withColumn("_turn", F.xxhash64(F.lit(target.seed + 1), "_source", "_block"))
     )
@@ -55,11 +59,11 @@ def _marked(docs: DataFrame, target: MixTarget, source_col: str, text_col: str,
 def find_exponent(shares: DataFrame, target: MixTarget) -> tuple[float, float]:
     """(exponent, sum of the powers) for ``shares`` (share > 0 per source).
 
-    The weights p^a / sum p^a get more even as a goes from 1 to 0: their entropy rises, and so do the epochs of small sources.
-    Bisection finds the largest exponent that reaches the entropy, or the smallest within the limit of epochs; a target that
-    even 0 or 1 cannot meet gives that end.
+    The weights p^a / sum p^a get more even as a falls: their entropy rises, and so do the epochs of small sources. Bisection
+    finds the exponent from 0 to ``_LARGEST`` at which the entropy equals its target (the largest that reaches it), or the smallest from 0 to 1
+    within the limit of epochs; a target that neither end can meet gives the nearer one.
     """
-    low, high = 0.0, 1.0
+    low, high = 0.0, 1.0 if target.entropy is None else _LARGEST
     for _ in range(_PASSES):
         tries = [low + (high - low) * k / (_TRIES + 1) for k in range(_TRIES + 2)]
         rows = _tried(shares, tries).collect()  # one row per exponent tried
@@ -151,17 +155,7 @@ def _small(sources: DataFrame) -> DataFrame:
     return F.broadcast(sources) if sources.count() <= BROADCAST_SOURCES else sources
 
 
-def mix_sources(docs: DataFrame, target: MixTarget, source_col: str = "source", text_col: str = "text",
-                id_col: str = "doc_id") -> DataFrame:
-    """``docs`` with mix_copies (how often each row occurs in the mix), mix_tokens, mix_weight (of its source) and mix_turn
-    (order of its block in the permutation); rows with no copies are kept with 0.
-
-    Token shares are tempered to the target; a source's budget gives every row its whole epochs, and the rest goes to blocks in a
-    seeded permutation, and within the block where the budget ends to rows in a seeded order, so that a source misses its
-    budget by less than one document. A null source is a source of its own; null and empty texts cost nothing, and a source
-    of only such texts, or a table without any token, is kept once; repeated rows are rows of their own; an empty table gives an
-    empty one. A source of any size is dealt over all tasks: windows see its block sums, and the rows of one block of many.
-    """
+def _mixed(docs: DataFrame, target: MixTarget, source_col: str = "source", text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     marked = _marked(docs, target, source_col, text_col, id_col)
     plan = materialize(source_plan(marked, target), "source-plan")
     taken = (
@@ -172,13 +166,30 @@ def mix_sources(docs: DataFrame, target: MixTarget, source_col: str = "source",
     )
     more = F.when((F.col("_extra") > 0) & taken, 1).otherwise(0)
     return marked.join(_small(plan), "_source").select(
-        *[marked[c] for c in docs.columns], (F.col("_full") + more).alias("mix_copies"), F.col("_tokens").alias("mix_tokens"),
+        "doc", (F.col("_full") + more).alias("mix_copies"), F.col("_tokens").alias("mix_tokens"),
         F.col("weight").alias("mix_weight"), F.col("_turn").alias("mix_turn"),
     )
 
 
+def mix_sources(docs: DataFrame, target: MixTarget, **columns: str) -> DataFrame:
+    """``docs`` with mix_copies (how often each row occurs in the mix), mix_tokens, mix_weight (of its source) and mix_turn
+    (order of its block in the permutation), which replace columns of these names; rows with no copies are kept with 0.
+    ``columns``: source_col, text_col, id_col.
+
+    Token shares are tempered to the target; a source's budget gives every row its whole epochs, and the rest goes to blocks in a
+    seeded permutation, and within the block where the budget ends to rows in a seeded order, so that a source misses its
+    budget by less than one document. A null source is a source of its own; null and empty texts cost nothing, and a source
+    of only such texts, or a table without any token, is kept once; repeated rows are rows of their own; an empty table gives an
+    empty one. A source of any size is dealt over all tasks: windows see its block sums, and the rows of one block of many.
+    """
+    mixed = _mixed(docs, target, **columns)
+    added = mixed.columns[1:]
+    return mixed.select(*[F.col(f"doc.`{c}`") for c in docs.columns if c.lower() not in added], *added)
+
+
 def mixed_documents(docs: DataFrame, target: MixTarget, **columns: str) -> DataFrame:
-    """The mix itself: every row of ``docs`` as often as ``mix_sources`` says, with the columns of ``docs``."""
-    mixed = mix_sources(docs, target, **columns).filter("mix_copies > 0")
+    """The mix itself: every row of ``docs`` as often as ``mix_sources`` says, with the columns of ``docs``, whatever their names.
+    Null and empty texts, null sources, repeated rows and empty tables as there."""
+    mixed = _mixed(docs, target, **columns).filter("mix_copies > 0")
     copies = F.explode(F.sequence(F.lit(1), F.col("mix_copies").cast("int")))
-    return mixed.withColumn("_copy", copies).select(*docs.columns)
+    return mixed.select("doc", copies).select("doc.*")

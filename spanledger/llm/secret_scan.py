@@ -12,7 +12,7 @@ from bisect import bisect_right
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spanledger.llm.common import map_rows, texts
+from spanledger.llm.common import map_rows, texts, whole_row
 
 # fixed values: the base patterns
 _ASSIGN = re.compile(
@@ -321,15 +321,18 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def redact_secrets(docs: DataFrame, text_col: str = "text", count_col: str | None = "n_chars") -> DataFrame:
-    """``docs`` with every secret replaced by its kind in brackets, all rows and columns kept; a null text stays null.
-    ``count_col``, if present, becomes the new number of characters where the text changed."""
+    """``docs`` with every secret replaced by its kind in brackets, all rows and columns kept; a null text stays null, an
+    empty one empty; repeated rows are redacted alike; an empty table gives an empty one. ``count_col``, if present, becomes the new
+    number of characters where the text changed."""
 
     @F.pandas_udf("string")
     def cleaned(column):
         return column.map(lambda t: t if t is None else redact(t, base_spans(t) + structural_spans(t)))
 
-    new = docs.withColumn("_cleaned", cleaned(F.col(text_col)))
-    if count_col in docs.columns:
-        changed = ~F.col("_cleaned").eqNullSafe(F.col(text_col))
-        new = new.withColumn(count_col, F.when(changed, F.length("_cleaned").cast("long")).otherwise(F.col(count_col)))
-    return new.withColumn(text_col, F.col("_cleaned")).select(*docs.columns)
+    pairs = docs.select(whole_row(docs), cleaned(F.col(text_col).cast("string")).alias("cleaned"))
+    old, new = F.col(f"doc.`{text_col}`"), F.col("cleaned")
+    columns = {c: F.col(f"doc.`{c}`") for c in docs.columns} | {text_col: new.alias(text_col)}
+    if count_col in columns:
+        counted = F.when(~new.eqNullSafe(old), F.length(new).cast("long")).otherwise(columns[count_col])
+        columns[count_col] = counted.alias(count_col)
+    return pairs.select(*columns.values())

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spanledger.llm.common import map_rows, texts
+from spanledger.llm.common import map_rows, texts, whole_row
 from spanledger.llm.components import connected_components
 from spanledger.session import materialize
 
@@ -218,17 +218,18 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def keep_one_of_each(docs: DataFrame, broadcast_rows: int = 1_000_000) -> DataFrame:
     """``docs`` with one row of each group of near duplicates: the smallest doc_id, nulls last, of repeated ids the first row.
 
-    ``docs`` holds doc_id, text and any other columns. Its rows are numbered once and stored with their numbers, so that reads dealt
-    differently over tasks cannot change them.
+    ``docs`` holds doc_id, text and any other columns, which keep their values. Its rows are numbered once and stored with their
+    numbers, so that reads dealt differently over tasks cannot change them. Null and empty texts are near duplicates of each other; of
+    repeated rows one stays; an empty table gives an empty one.
     """
-    numbered = materialize(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered-documents")
-    text = F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
-    keyed = numbered.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("_row").alias("row"), text)
+    numbered = materialize(docs.select(whole_row(docs), F.monotonically_increasing_id().alias("row")), "numbered-documents")
+    text = F.coalesce(F.col("doc.text").cast("string"), F.lit("")).alias("text")
+    keyed = numbered.select(F.col("doc.doc_id").cast("long").alias("doc_id"), "row", text)
     marked = materialize(fingerprints(keyed, keep_row=True), "fingerprints")
     classes = materialize(_classes(marked), "classes")
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row")
     first = marked.groupBy("fp").agg(F.min(order).alias("first")).join(classes, "fp")
     kept = first.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.row").alias("row"))
-    gone = materialize(marked.select("row").join(kept, "row", "left_anti").withColumnRenamed("row", "_row"), "duplicates")
+    gone = materialize(marked.select("row").join(kept, "row", "left_anti"), "duplicates")
     small = F.broadcast(gone) if gone.count() <= broadcast_rows else gone
-    return numbered.join(small, "_row", "left_anti").select(*docs.columns)
+    return numbered.join(small, "row", "left_anti").select("doc.*")

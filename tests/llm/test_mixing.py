@@ -90,3 +90,35 @@ def test_odd_tables(spark):
     assert [r.mix_copies for r in mix_sources(one, target).collect()] == [1, 1, 1]
     with pytest.raises(ValueError):
         MixTarget()
+
+
+def test_sharper_than_the_sources(spark):
+    rows, k = [], 0
+    for source, docs in (("a", 300), ("b", 280), ("c", 260), ("d", 240)):
+        for _ in range(docs):
+            rows.append((k, "w " * 10, source))
+            k += 1
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mix_sources(df, MixTarget(entropy=0.9)).collect()
+    weights = {r.source: r.mix_weight for r in got}
+    assert entropy(weights) == pytest.approx(0.9, abs=1e-6)
+    power = {s: math.log(weights[s]) - math.log(weights["d"]) for s in weights}
+    size = {"a": 300, "b": 280, "c": 260, "d": 240}
+    exponents = {power[s] / math.log(size[s] / size["d"]) for s in "abc"}
+    assert max(exponents) - min(exponents) < 1e-6 and min(exponents) > 1
+    copies = {s: sum(r.mix_copies for r in got if r.source == s) for s in size}
+    assert all(abs(copies[s] - weights[s] * 1080) < 1.001 for s in size) and {r.mix_copies for r in got} >= {0, 1, 2}
+
+
+def test_columns_of_any_name(spark):
+    names = ["mix_copies", "_tokens", "_source", "_at", "_block", "_turn", "doc", "_copy", "col"]
+    df = documents(spark).drop("mix_copies")
+    for name in names:
+        df = df.withColumn(name, F.concat(F.lit(name), F.col("doc_id").cast("string")))
+    target = MixTarget(max_epochs=2.5, least_epochs=1.0)
+    whole = mixed_documents(df, target)
+    assert whole.columns == df.columns
+    assert all(r[n] == f"{n}{r.doc_id}" for r in whole.collect() for n in names)
+    counted = mix_sources(df, target)
+    assert counted.columns == [*[c for c in df.columns if c != "mix_copies"], "mix_copies", "mix_tokens", "mix_weight", "mix_turn"]
+    assert sum(r.mix_copies for r in counted.collect()) == whole.count()

@@ -107,3 +107,13 @@ def test_keys_in_other_forms():
     for clean in (b64(b"plain text of some length, no key in it at all"), "word/" * 2000, "ab" * 5000, "\n".join(["M" * 64] * 300),
                   "-----BEGIN PRIVATE KEY-----\nnot a key\n", "C:\\new\\table\\run", b64(b"-----BEGIN CERTIFICATE-----" * 3)):
         assert structural_spans(clean) == []
+
+
+def test_redaction_keeps_columns_of_any_name(spark):
+    rows = [(1, "password=abcdefghijkl1 x", "mine", "row", 3), (2, None, "mine", "row", 4), (3, "", "mine", "row", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _cleaned string, doc string, n_chars long")
+    got = {r.doc_id: r for r in redact_secrets(docs).collect()}
+    assert redact_secrets(docs).columns == docs.columns
+    assert {(r._cleaned, r.doc) for r in got.values()} == {("mine", "row")}
+    assert "abcdefghijkl1" not in got[1].text and got[1].n_chars == len(got[1].text)
+    assert (got[2].text, got[2].n_chars, got[3].text, got[3].n_chars) == (None, 4, "", 0)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -243,6 +243,115 @@ def history_checks(batch: DataFrame, history: DataFrame) -> DataFrame:
     ).select("c.*")
 
 
+# --- one pass over stored and arriving versions --------------------------------------------------------------------
+
+#: Counts that ``merge_load`` observes: what its steps did, and the load checks with their categories.
+CHECK_CATEGORIES = {
+    "check_new_status": 2,
+    "check_update_finished": 2,
+    "check_delete_unfinished": 2,
+    "check_unknown_entity": 3,
+}
+
+
+def merge_load(
+    history: DataFrame,
+    batch: DataFrame,
+    close: str = "open_only",
+    arrived: Observation | None = None,
+    closed: Observation | None = None,
+) -> DataFrame:
+    """The history after a load of ``batch``, read once and without joins: stored and arriving versions are one relation, and
+    windows over ``hash_key`` decide which arrivals count, end the open versions and merge equal neighbours.
+
+    Where both sides are partitioned by ``hash_key`` alike (a bucketed table, a batch repartitioned to its buckets), nothing is
+    shuffled beyond that. Results are those of ``load_history``. A change that the history already holds (same start, same
+    attributes) is left out, so a repeated batch changes nothing; another version from the same stamp is an error.
+
+    ``arrived`` and ``closed`` observe the counts of steps and checks while the result is written, so none is computed apart.
+    """
+    op, open_end = F.col("_op"), ntz(C.OPEN_END)
+    deleted = F.col("operation") == "D"
+    # a column of its own for the key: only then does the union see that both sides are partitioned alike
+    columns = [F.col(c).alias(c) if c == "hash_key" else F.col(c) for c in HISTORY]
+    stored = history.select(*columns, F.lit(None).cast("string").alias("_op"), F.lit(None).cast("string").alias("_said"))
+    incoming = batch.select(
+        F.col("id").cast(history.schema["id"].dataType).alias("id"),
+        F.when(~deleted, F.col("status_nm")).alias("status_nm"),
+        "create_dttm",
+        "hash_key",
+        F.col("stamp").alias(FROM),
+        open_end.alias(TO),
+        F.coalesce(deleted, F.lit(False)).alias("deleted_flg"),
+        F.when(deleted, F.col("stamp")).alias("deleted_dttm"),
+        F.col("operation").alias("_op"),
+        F.col("status_nm").alias("_said"),
+    )
+    old, finished = op.isNull(), F.col("_said").isin(*C.FINISHED)
+    good = F.coalesce((op == "I") & (F.col("_said") == C.ACCEPTED), F.lit(False))
+    over = old & F.coalesce(F.col("status_nm"), F.lit(C.COMPLITED)).isin(*C.FINISHED) & (F.col(TO) == open_end)
+    per_key, per_version = Window.partitionBy("hash_key"), Window.partitionBy("hash_key", FROM, "status_nm", "deleted_flg")
+    marked = (
+        stored.unionByName(incoming)
+        .withColumn("_held", F.max(old).over(per_key) & F.col("hash_key").isNotNull())
+        .withColumn("_opened", F.max(good).over(per_key))
+        .withColumn("_over", F.count_if(over).over(per_key))
+        .withColumn("_again", F.max(old).over(per_version) & ~old)
+    )
+    held, known = F.col("_held"), F.col("_held") | F.col("_opened")
+    change = F.coalesce(op.isin("U", "D"), F.lit(False))
+    new = good & ~held
+    if arrived is not None:
+        marked = marked.observe(
+            arrived,
+            F.count_if(new).alias("new"),
+            F.count_if(change & known & F.col("hash_key").isNotNull()).alias("change"),
+            F.count_if(~old).alias("processed"),
+            F.count_if((op == "I") & (F.col("_said") != C.ACCEPTED) & ~held).alias("check_new_status"),
+            F.sum(F.when((op == "U") & held, F.col("_over")).otherwise(0)).alias("check_update_finished"),
+            F.count_if((op == "D") & ~finished & known).alias("check_delete_unfinished"),
+            F.count_if(change & ~known).alias("check_unknown_entity"),
+        )
+    kept = marked.filter(old | new | (change & known & F.col("hash_key").isNotNull() & ~F.col("_again"))).select(*HISTORY)
+    twice = F.raise_error(F.lit("a key has two versions from the same stamp")).cast("timestamp_ntz")
+    following = F.lead(FROM).over(Window.partitionBy("hash_key").orderBy(FROM))
+    led = kept.withColumn("_next", following).withColumn(
+        "_next", F.when(F.col("_next") == F.col(FROM), twice).otherwise(F.col("_next"))
+    )
+    if closed is not None:
+        led = led.observe(closed, F.count(F.lit(1)).alias("versions"), F.count_if(F.col(TO) == open_end).alias("open"))
+    return coalesce_whole(_end_versions(led, close), VERSION, FROM, TO).select(*HISTORY)
+
+
+def unseen_changes(batch: DataFrame, history: DataFrame) -> DataFrame:
+    """Rows of the batch whose version (key, start, attributes) the history does not hold yet."""
+    held = history.select(
+        F.col("hash_key").alias("_key"), F.col(FROM).alias("_at"), F.col("status_nm").alias("_status"), F.col("deleted_flg").alias("_dead")
+    )
+    dead = F.coalesce(F.col("operation") == "D", F.lit(False))
+    status = F.when(~dead, F.col("status_nm"))
+    same = (F.col("hash_key") == F.col("_key")) & (F.col("stamp") == F.col("_at"))
+    return batch.join(held, same & (dead == F.col("_dead")) & status.eqNullSafe(F.col("_status")), "left_anti")
+
+
+def observed_steps(spark: SparkSession, arrived: dict, closed: dict, rows: int) -> DataFrame:
+    """The steps of a ``merge_load`` from its observed counts, in the form of ``LoadResult.steps``."""
+    counts = [
+        ("new entities", 0, "insert", arrived["new"]),
+        ("changes of known entities", 0, "insert", arrived["change"]),
+        ("version ends", 0, "update", closed["open"]),
+        ("merged versions", 1, "", closed["versions"] - rows),
+        ("stage rows marked", 0, "update", arrived["processed"]),
+    ]
+    return spark.createDataFrame(counts, "message string, category int, type_operation string, count_row long")
+
+
+def observed_checks(spark: SparkSession, arrived: dict) -> DataFrame:
+    """The checks of a ``merge_load`` from its observed counts, in the form of ``history_checks``."""
+    found = [(name, category, arrived[name] or 0) for name, category in CHECK_CATEGORIES.items()]
+    return spark.createDataFrame(found, "check_name string, category int, n long")
+
+
 @dataclass
 class LoadResult:
     history: DataFrame

@@ -75,7 +75,10 @@ def dim_work(calendar: DataFrame, day_history: DataFrame) -> DataFrame:
     The calendar's bounds are read first (one row). Its day-sized join and running sums are bounded by the calendar.
     """
     first, last = calendar.agg(F.min("date_actual"), F.max("date_actual")).first()
-    daily = daily_measures(day_history, first, last)
+    return _on_calendar(calendar, daily_measures(day_history, first, last))
+
+
+def _on_calendar(calendar: DataFrame, daily: DataFrame) -> DataFrame:
     # full outer: a step on a day the calendar leaves out still counts for the days after it
     joined = calendar.join(daily, F.col("date_actual") == F.col("day"), "full_outer")
     running = Window.orderBy(F.coalesce("date_actual", "day")).rowsBetween(Window.unboundedPreceding, 0)
@@ -86,6 +89,40 @@ def dim_work(calendar: DataFrame, day_history: DataFrame) -> DataFrame:
     ).filter(F.col("date_actual").isNotNull())
 
 
+def step_totals(day_history: DataFrame) -> DataFrame:
+    """(day, measure, step): all that versions add to the daily measures, clipped to no calendar, summed to one row per day and
+    measure. Such totals of parts of a history add up to those of the whole, so they can be kept up; ``work_from_steps`` makes the
+    mart of them."""
+    every = day_history.filter(F.col("hash_key").isNotNull())
+    return _total(every.select(F.explode(_events(C.FIRST_DATE, C.LAST_DATE)).alias("e")).select("e.*"))
+
+
+def _total(steps: DataFrame) -> DataFrame:
+    summed = steps.groupBy("day", "measure").agg(F.sum("step").cast("long").alias("step"))
+    return summed.filter((F.col("step") != 0) & F.col("day").isNotNull())
+
+
+def keep_up_steps(totals: DataFrame, before: DataFrame, after: DataFrame) -> DataFrame:
+    """``step_totals`` of a changed history from those before the change: what the changed keys' versions ``before`` added is taken
+    back, what their versions ``after`` it add is added. Reads only these versions and one row per day and measure."""
+    taken = step_totals(before).withColumn("step", -F.col("step"))
+    return _total(totals.unionByName(taken).unionByName(step_totals(after)))
+
+
+def work_from_steps(calendar: DataFrame, totals: DataFrame) -> DataFrame:
+    """``dim_work`` of the history behind ``step_totals``."""
+    first, last = calendar.agg(F.min("date_actual"), F.max("date_actual")).first()
+    spans = set(SPAN_MEASURE.values())
+    # what began before the calendar lasts into its first day
+    lasting = F.col("measure").isin(*spans)
+    day = F.when(lasting, F.greatest("day", F.lit(first).cast("date"))).otherwise(F.col("day"))
+    clipped = totals.withColumn("day", day).filter(F.col("day").between(F.lit(first).cast("date"), F.lit(last).cast("date")))
+    daily = clipped.groupBy("day").agg(
+        *[F.sum(F.when(F.col("measure") == m, F.col("step")).otherwise(0)).cast("long").alias(m) for m in C.MEASURES]
+    )
+    return _on_calendar(calendar, daily)
+
+
 def agg_per_week(work: DataFrame) -> DataFrame:
     """Sums by ISO weekday; four names lose their suffix."""
     return (

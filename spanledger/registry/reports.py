@@ -13,7 +13,7 @@ from spanledger.plans import requests as R
 from spanledger.plans.accounts import describe_accounts
 from spanledger.registry import sql_inputs  # noqa: F401
 from spanledger.registry.base import case
-from spanledger.registry.history import hex_key, loaded
+from spanledger.registry.history import hex_key, loaded, loaded_table
 from spanledger.session import materialize, scratch_path
 from spanledger.sources import fixtures as X
 
@@ -94,6 +94,31 @@ def _(spark, sf):
     return R.agg_per_week(work(spark, sf))
 
 
+def kept_up(spark, sf):
+    """Daily step totals of a stored history after one load, brought up to the second by the keys it touched."""
+    table, (first, second) = loaded_table(spark, sf)
+    before, after = table.changed(second)
+    old = materialize(R.step_totals(R.history_day_grain(table.read(table.version() - 1))), "daily-steps")
+    return R.keep_up_steps(old, R.history_day_grain(before), R.history_day_grain(after))
+
+
+@case("dim_work_kept_up", "SELECT * FROM work_2")
+def _(spark, sf):
+    return R.work_from_steps(calendar(spark, sf), kept_up(spark, sf))
+
+
+@case(
+    "agg_per_week_kept_up",
+    """SELECT day_of_week, CAST(sum(complited_per_day) AS BIGINT) AS complited, CAST(sum(canselled_per_day) AS BIGINT) AS canselled,
+       CAST(sum(accepted_per_day) AS BIGINT) AS accepted, CAST(sum(paused_per_day) AS BIGINT) AS paused,
+       CAST(sum(deleted_per_day) AS BIGINT) AS deleted, CAST(sum(executed_during_day) AS BIGINT) AS executed_during_day,
+       CAST(sum(paused_during_day) AS BIGINT) AS paused_during_day
+FROM work_2 GROUP BY day_of_week""",
+)
+def _(spark, sf):
+    return R.agg_per_week(R.work_from_steps(calendar(spark, sf), kept_up(spark, sf)))
+
+
 def _corr_sql(strict: bool) -> str:
     rows = []
     for row in C.MEASURES:

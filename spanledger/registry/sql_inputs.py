@@ -327,6 +327,10 @@ LEFT JOIN (SELECT deleted_dttm AS d, count(hash_key) AS n FROM day_history WHERE
 {_lasting("m6", "executed")}
 {_lasting("m7", "paused")}"""
 
+# the same after two loads
+CTES["day_history_2"] = CTES["day_history"].replace("once_history", "part2_history")
+CTES["work_2"] = CTES["work"].replace("day_history", "day_history_2")
+
 CTES["recovered"] = f"""
 SELECT id, status_nm, create_dttm, valid_from_dttm AS update_dttm FROM once_history
 WHERE NOT deleted_flg AND valid_to_dttm = {OPEN}"""

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import threading
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,21 +53,13 @@ def stage_available(spark: SparkSession, feed_path: str, stage_path: str, checkp
 
 
 def load_available(table: HistoryTable, stage_path: str, checkpoint: str, **options: str) -> None:
-    """Load all stage files that arrived since the last run. The checkpoint stands in for the processed flag; the table
-    remembers the batches of the checkpoint's stream id, so a repeated batch is skipped and no other is."""
+    """Load all stage files that arrived since the last run. The checkpoint stands in for the processed flag; a batch that is
+    repeated after a failure changes nothing, because its versions are in the table."""
     stage = table.spark.readStream.schema(STAGE_SCHEMA).options(**options).parquet(stage_path)
-    started, identity = threading.Event(), []
-
-    def load(batch: DataFrame, number: int) -> None:
-        started.wait()
-        table.load(batch.drop("stamp_day"), identity[0], number)
-
     query = (
-        stage.writeStream.foreachBatch(load)
+        stage.writeStream.foreachBatch(lambda batch, _: table.load(batch.drop("stamp_day")) and None)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
-    identity.append(str(query.id))
-    started.set()
     query.awaitTermination()

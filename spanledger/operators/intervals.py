@@ -192,10 +192,12 @@ def coalesce_intervals(
     policy: SkewPolicy = DEFAULT_POLICY,
     hot_by: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Merge touching or overlapping intervals with equal ``keys`` (NULLs equal). Needs ``end >= start``, no NULLs.
+    """Merge touching or overlapping intervals with equal ``keys`` (NULLs equal). A row that ends before it starts covers nothing
+    and is left out; bounds may not be NULL.
 
     ``hot_by``: the subset of ``keys`` whose hot values are cut into time slots (default: all).
     """
+    df = df.filter(F.coalesce(F.col(end) >= F.col(start), F.lit(True)))
     ordinary, hot = _by_heat(df, list(hot_by or keys), start, policy)
     done = coalesce_whole(ordinary, keys, start, end)
     return done if hot is None else done.unionByName(coalesce_in_slots(hot, keys, start, end))

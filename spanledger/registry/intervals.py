@@ -14,16 +14,12 @@ from spanledger.sources import fixtures as X
 START, END = "business_start_dt", "business_end_dt"
 
 CTES["fx_span"] = """
-SELECT mdm_customer_rk, phone_num, phone_type_cd, business_start_dt, business_end_dt FROM fx_phone
-WHERE business_start_dt <= business_end_dt AND mdm_customer_rk IS NOT NULL"""
+SELECT mdm_customer_rk, phone_num, phone_type_cd, business_start_dt, business_end_dt FROM fx_phone"""
 
 
 def spans(spark, sf):
-    return (
-        X.phone_rows(spark, sf)
-        .filter((F.col(START) <= F.col(END)) & F.col("mdm_customer_rk").isNotNull())
-        .select("mdm_customer_rk", "phone_num", "phone_type_cd", START, END)
-    )
+    """All phone rows: some without an owner, some that end before they start."""
+    return X.phone_rows(spark, sf).select("mdm_customer_rk", "phone_num", "phone_type_cd", START, END)
 
 
 @case(
@@ -69,10 +65,10 @@ def _(spark, sf):
 
 @case(
     "other_owner_overlap",
-    """SELECT DISTINCT a.phone_num, a.business_start_dt, a.business_end_dt FROM fx_span a
-LEFT JOIN fx_span b ON a.phone_num = b.phone_num AND a.mdm_customer_rk <> b.mdm_customer_rk
-  AND greatest(a.business_start_dt, b.business_start_dt) < least(a.business_end_dt, b.business_end_dt)
-WHERE b.mdm_customer_rk IS NOT NULL""",
+    """SELECT DISTINCT phone_num, business_start_dt, business_end_dt FROM fx_span a
+WHERE EXISTS (SELECT 1 FROM fx_span b WHERE b.phone_num = a.phone_num AND b.mdm_customer_rk <> a.mdm_customer_rk
+              AND b.business_start_dt < a.business_end_dt AND a.business_start_dt < b.business_end_dt
+              AND a.business_start_dt < a.business_end_dt AND b.business_start_dt < b.business_end_dt)""",
 )
 def _(spark, sf):
     return iv.other_owner_overlap(spans(spark, sf), "phone_num", "mdm_customer_rk", START, END)
@@ -100,7 +96,7 @@ LEFT = (
     "overlap_classify",
     f"""SELECT DISTINCT c.mdm_customer_rk, c.phone_num, c.business_start_dt, c.business_end_dt,
 {_relation("outside_flg", OUTSIDE)}, {_relation("inside_flg", INSIDE)}, {_relation("right_flg", RIGHT)},
-{_relation("left_flg", LEFT)} FROM fx_span c""",
+{_relation("left_flg", LEFT)} FROM fx_span c WHERE c.mdm_customer_rk IS NOT NULL""",
 )
 def _(spark, sf):
     return iv.overlap_classify(spans(spark, sf), ["mdm_customer_rk", "phone_num"], START, END)
@@ -120,8 +116,8 @@ CTES["weighted_pieces"] = "SELECT *, length(phone_type_cd) + mdm_customer_rk % 7
 
 @case(
     "best_in_overlap",
-    """SELECT a.*, a.weight = (SELECT max(b.weight) FROM weighted_pieces b WHERE a.phone_num = b.phone_num
-       AND greatest(a.business_start_dt, b.business_start_dt) < least(a.business_end_dt, b.business_end_dt)) AS best_flg
+    """SELECT a.*, coalesce(a.weight = (SELECT max(b.weight) FROM weighted_pieces b WHERE a.phone_num = b.phone_num
+       AND greatest(a.business_start_dt, b.business_start_dt) < least(a.business_end_dt, b.business_end_dt)), FALSE) AS best_flg
 FROM weighted_pieces a""",
 )
 def _(spark, sf):
@@ -136,7 +132,8 @@ def _(spark, sf):
 FROM (SELECT a.phone_num, (SELECT count(*) FROM fx_span b WHERE a.phone_num = b.phone_num
         AND greatest(a.business_start_dt, b.business_start_dt) < least(a.business_end_dt, b.business_end_dt)
         AND a.mdm_customer_rk <> b.mdm_customer_rk) AS n
-      FROM fx_span a WHERE a.business_start_dt < a.business_end_dt) c GROUP BY phone_num""",
+      FROM fx_span a WHERE a.business_start_dt < a.business_end_dt AND a.mdm_customer_rk IS NOT NULL) c
+GROUP BY phone_num""",
 )
 def _(spark, sf):
     counted = iv.overlap_conflicts(spans(spark, sf), "phone_num", "mdm_customer_rk", START, END)
@@ -145,7 +142,10 @@ def _(spark, sf):
 
 @case(
     "coalesce_intervals",
-    islands_sql("fx_span", "mdm_customer_rk, phone_num", START, END, "mdm_customer_rk, phone_num"),
+    islands_sql(
+        "(SELECT * FROM fx_span WHERE business_start_dt <= business_end_dt)", "mdm_customer_rk, phone_num", START, END,
+        "mdm_customer_rk, phone_num",
+    ),
 )
 def _(spark, sf):
     return iv.coalesce_intervals(spans(spark, sf), ["mdm_customer_rk", "phone_num"], START, END)

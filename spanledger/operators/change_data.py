@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -49,12 +50,55 @@ def null_aware_anti(left: DataFrame, right: DataFrame, required: Sequence[str],
     return left.join(r, condition, "left_anti")
 
 
+def not_in(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``(columns) NOT IN (right)`` with SQL's NULL rules, where any column may be NULL on either side: a left row goes if some
+    right row is equal or unknown on every column. Repeated rows stay repeated.
+
+    Rows are told apart by which columns are NULL; only patterns that occur are listed (one row each, whatever the tables' size).
+    A pair of patterns leaves the columns that both know, so each needs an equi anti join and nothing compares row by row.
+    """
+    columns = list(columns)
+
+    def pattern(prefix: str = "") -> Column:
+        return sum((F.col(prefix + c).isNull().cast("int") * (1 << k) for k, c in enumerate(columns)), F.lit(0))
+
+    other = right.select(*[F.col(c).alias(f"_r_{c}") for c in columns]).distinct()
+    here, there = (
+        sorted(r.p for r in df.select(p.alias("p")).distinct().collect())
+        for df, p in ((left, pattern()), (other, pattern("_r_")))
+    )
+    parts = []
+    for mine in here:
+        part = left.filter(pattern() == mine)
+        by_known: dict[tuple[str, ...], list[int]] = {}
+        for theirs in there:
+            known = tuple(c for k, c in enumerate(columns) if not (mine | theirs) >> k & 1)
+            by_known.setdefault(known, []).append(theirs)
+        if () in by_known:
+            continue  # unknown on every column
+        for known, theirs in by_known.items():
+            on = F.lit(True)
+            for c in known:
+                on = on & (F.col(c) == F.col(f"_r_{c}"))
+            keys = other.filter(pattern("_r_").isin(theirs)).select(*[f"_r_{c}" for c in known])
+            part = part.join(keys, on, "left_anti")
+        parts.append(part)
+    return reduce(DataFrame.unionAll, parts) if parts else left.filter(F.lit(False))
+
+
 def capture_changes(old: DataFrame, new: DataFrame, key: Sequence[str], stamp: Column) -> DataFrame:
-    """Compare two snapshots: new image with ``I``/``U``, old image with ``D``, unchanged rows left out."""
+    """Compare two snapshots: new image with ``I``/``U``, old image with ``D``, unchanged rows left out. NULL keys are equal."""
     payload = [c for c in new.columns if c not in key]
     o = old.select(*key, F.struct(*payload).alias("_old"))
     n = new.select(*key, F.struct(*payload).alias("_new"))
-    both = o.join(n, list(key), "full_outer").filter(~F.col("_old").eqNullSafe(F.col("_new")))
+    o, n = (df.withColumnsRenamed({k: f"{side}{k}" for k in key}) for df, side in ((o, "_o_"), (n, "_n_")))
+    same = F.lit(True)
+    for k in key:
+        same = same & F.col(f"_o_{k}").eqNullSafe(F.col(f"_n_{k}"))
+    present = F.coalesce(F.col("_new").isNotNull(), F.lit(False))
+    both = o.join(n, same, "full_outer").filter(~F.col("_old").eqNullSafe(F.col("_new"))).select(
+        *[F.when(present, F.col(f"_n_{k}")).otherwise(F.col(f"_o_{k}")).alias(k) for k in key], "_old", "_new"
+    )
     operation = F.when(F.col("_old").isNull(), "I").when(F.col("_new").isNull(), "D").otherwise("U")
     image = F.coalesce("_new", "_old")
     return both.select(

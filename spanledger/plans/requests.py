@@ -141,26 +141,39 @@ def correlation(x: str, y: str, keep: Column) -> Column:
 def corr_matrix(work: DataFrame, as_of: Column, strict: bool = False, measures: Sequence[str] = tuple(C.MEASURES)):
     """7 x 7 correlations as one aggregation over one scan, one output row per measure.
 
-    By default two known oddities are kept: the row ``canselled_per_day`` repeats the ``complited_per_day`` values of
-    the two during-day columns, and only the row ``paused_during_day`` leaves out days after ``as_of``. ``strict``
-    gives the true matrix up to ``as_of``.
+    Computed are the co-moments of the pairs (28 with those of each measure with itself), whose partial sums merge; a cell is a
+    quotient of three of them, NULL when a side does not vary. By default two known oddities are kept: the row
+    ``canselled_per_day`` repeats the ``complited_per_day`` values of the two during-day columns, and only the row
+    ``paused_during_day`` leaves out days after ``as_of``. ``strict`` gives the true matrix up to ``as_of``.
     """
-    upto, every = F.col("date_actual") <= as_of, F.lit(True)
-    cells = []
+    upto = F.col("date_actual") <= as_of
+    cells = {}
     for row in measures:
         for column in measures:
             left = row
             if not strict and row == "canselled_per_day" and column in SPAN_MEASURE.values():
                 left = "complited_per_day"
-            keep = upto if strict or row == "paused_during_day" else every
-            cells.append(correlation(left, column, keep).alias(f"{row}__{column}"))
+            cells[row, column] = (left, column, strict or row == "paused_during_day")
+
+    def name(x: str, y: str, cut: bool) -> str:
+        return f"{'cut' if cut else 'all'}:{min(x, y)}:{max(x, y)}"
+
+    def moment(x: str, y: str, cut: bool) -> Column:
+        a, b = (F.when(upto, F.col(c)) if cut else F.col(c) for c in (min(x, y), max(x, y)))
+        return F.covar_pop(a, b).alias(name(x, y, cut))
+
+    needed = {
+        name(*pair, cut): moment(*pair, cut) for x, y, cut in cells.values() for pair in ((x, x), (x, y), (y, y))
+    }
+
+    def cell(x: str, y: str, cut: bool) -> Column:
+        of = [F.col(f"`{name(*pair, cut)}`") for pair in ((x, y), (x, x), (y, y))]
+        return F.try_divide(of[0], F.sqrt(of[1]) * F.sqrt(of[2]))
+
     rows = F.array(
-        *[
-            F.struct(F.lit(r).alias("agg_name"), *[F.col(f"{r}__{c}").alias(c) for c in measures])
-            for r in measures
-        ]
+        *[F.struct(F.lit(r).alias("agg_name"), *[cell(*cells[r, c]).alias(c) for c in measures]) for r in measures]
     )
-    return work.agg(*cells).select(F.explode(rows).alias("r")).select("r.*")
+    return work.agg(*needed.values()).select(F.explode(rows).alias("r")).select("r.*")
 
 
 def difference_full(recovered: DataFrame, source: DataFrame) -> DataFrame:

@@ -137,6 +137,33 @@ def _(spark, sf):
     return D.null_aware_anti(new, X.old_snapshot(spark, sf), ["o_orderkey", "o_custkey"], ["o_orderstatus"])
 
 
+def _with_nulls(table: str, side: int) -> str:
+    return f"""(SELECT CASE WHEN o_orderkey % {997 + side} = 0 THEN NULL ELSE o_orderkey END AS o_orderkey,
+        CASE WHEN o_orderkey % {11 + side} = 0 THEN NULL ELSE o_custkey END AS o_custkey, o_orderstatus FROM {table})"""
+
+
+def with_nulls(df, side: int):
+    key = F.col("o_orderkey")
+    return df.select(
+        F.when(key % (997 + side) != 0, key).alias("o_orderkey"), F.when(key % (11 + side) != 0, F.col("o_custkey")).alias("o_custkey"),
+        "o_orderstatus",
+    )
+
+
+@case(
+    "not_in_any_nulls",
+    f"""SELECT * FROM {_with_nulls("fx_new_snapshot", 0)} a WHERE NOT EXISTS (
+  SELECT 1 FROM {_with_nulls("fx_old_snapshot", 2)} b
+  WHERE (a.o_orderkey = b.o_orderkey OR a.o_orderkey IS NULL OR b.o_orderkey IS NULL)
+    AND (a.o_custkey = b.o_custkey OR a.o_custkey IS NULL OR b.o_custkey IS NULL)
+    AND (a.o_orderstatus = b.o_orderstatus OR a.o_orderstatus IS NULL OR b.o_orderstatus IS NULL))""",
+)
+def _(spark, sf):
+    """No column is declared NOT NULL; NULLs stand in each, on both sides."""
+    new, old = with_nulls(X.new_snapshot(spark, sf), 0), with_nulls(X.old_snapshot(spark, sf), 2)
+    return D.not_in(new, old, ["o_orderkey", "o_custkey", "o_orderstatus"])
+
+
 @case(
     "stage_new_changes",
     """SELECT id, status_nm, create_dttm, update_dttm, operation, stamp, hash_key, FALSE AS is_processed_flg FROM keyed_feed f

@@ -200,6 +200,31 @@ def test_null_aware_anti_is_not_in(spark, seed):
     assert sorted(map(repr, map(tuple, got.collect()))) == sorted(repr(a) for a in left if not dropped(a))
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_not_in_with_nulls_in_every_column(spark, seed):
+    r = random.Random(seed)
+    rows = lambda n: [tuple(r.choice([1, 2, 3, None]) for _ in range(3)) for _ in range(n)]
+    left, right = rows(30) * 2, [x for x in rows(5 - seed) if x != (None, None, None)]
+
+    def dropped(a):
+        return any(all(x is None or y is None or x == y for x, y in zip(a, b)) for b in right)
+
+    schema = "a int, b int, c int"
+    frames = spark.createDataFrame(left, schema), spark.createDataFrame(right, schema)
+    got = D.not_in(*frames, ["a", "b", "c"])
+    assert sorted(map(repr, map(tuple, got.collect()))) == sorted(repr(a) for a in left if not dropped(a))
+    assert "NestedLoop" not in got._jdf.queryExecution().executedPlan().toString()
+    assert D.not_in(frames[0], spark.createDataFrame([(None, None, None)], schema), ["a", "b", "c"]).count() == 0
+    assert D.not_in(frames[0], frames[1].limit(0), ["a", "b", "c"]).count() == len(left)
+
+
+def test_capture_changes_of_null_keys(spark):
+    old = spark.createDataFrame([(None, "a"), (1, "b")], "k int, v string")
+    new = spark.createDataFrame([(None, "a2"), (1, "b")], "k int, v string")
+    got = D.capture_changes(old, new, ["k"], ntz("2024-01-01 00:00:00")).collect()
+    assert [(r.k, r.v, r.operation) for r in got] == [(None, "a2", "U")]
+
+
 def test_staging_twice_adds_nothing_and_keeps_copies(spark):
     rows = [change(1, "accepted", "I", 0)] * 2
     feed = spark.createDataFrame(rows, FEED)

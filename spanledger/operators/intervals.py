@@ -1,8 +1,9 @@
 """Interval operators: intersection joins, fragmenting, coalescing, overlap tests.
 
 Intervals are half-open unless a function says otherwise. Windows run over *distinct points* of a key, not over its
-rows: for dates their number is bounded by the calendar, for timestamps hot keys are cut into time slots. The overlap
-tests (``other_owner_*``, ``overlap_*``) rely on the calendar bound and are meant for dates.
+rows: for dates their number is bounded by the calendar, for timestamps hot keys are cut into time slots. The running counts and
+extremes of the overlap tests (``other_owner_*``, ``overlap_*``) are the exception: on timestamps, all distinct points of a key
+pass through one window.
 """
 
 from __future__ import annotations
@@ -248,28 +249,43 @@ def coalesce_in_slots(slotted: DataFrame, keys: Sequence[str], start: str, end:
     return inner.unionByName(borders)
 
 
-def global_islands(spans: DataFrame, start: str, end: str) -> DataFrame:
+def global_islands(spans: DataFrame, start: str, end: str, policy: SkewPolicy = DEFAULT_POLICY) -> DataFrame:
     """Map each distinct start to the start of its island, islands taken over the whole table.
 
-    The single-partition window sees one row per calendar day, whatever the table size.
+    On dates a single-partition window sees one row per calendar day. On timestamps and whole numbers windows see the starts of one
+    slot; only one row for each slot, with what reaches beyond it, meets in one partition.
     """
-    if not isinstance(spans.schema[start].dataType, T.DateType):
-        raise TypeError("global islands are defined on dates")
-    days = spans.groupBy(start).agg(F.max(end).alias(end))
-    return _mark_islands(days, Window.orderBy(start), start, end).select(F.col(start).alias("_day"), "_island")
+    points = spans.groupBy(start).agg(F.max(end).alias(end))
+    if isinstance(spans.schema[start].dataType, T.DateType):
+        return _mark_islands(points, Window.orderBy(start), start, end).select(F.col(start).alias("_day"), "_island")
+    slotted = points.withColumn("_slot", time_slot(points, start, policy))
+    opened = coalesce_in_slots(slotted, [], start, end).select(F.col(start).alias("_opens"))
+    marked = slotted.join(opened, F.col(start) == F.col("_opens"), "left")
+    before = Window.orderBy("_slot").rowsBetween(BEFORE, -1)
+    carried = marked.groupBy("_slot").agg(F.max("_opens").alias("_last")).select("_slot", F.max("_last").over(before).alias("_carry"))
+    within = Window.partitionBy("_slot").orderBy(start).rowsBetween(BEFORE, 0)
+    return marked.join(carried, "_slot").select(
+        F.col(start).alias("_day"), F.coalesce(F.max("_opens").over(within), "_carry").alias("_island")
+    )
 
 
 def coalesce_intervals_global(
-    df: DataFrame, keys: Sequence[str], start: str, end: str, spans: DataFrame | None = None
+    df: DataFrame,
+    keys: Sequence[str],
+    start: str,
+    end: str,
+    spans: DataFrame | None = None,
+    policy: SkewPolicy = DEFAULT_POLICY,
 ) -> DataFrame:
     """As ``coalesce_intervals``, but islands are found over the whole table and grouped by ``keys`` afterwards, so
-    rows of other keys can bridge a gap. Needs ``end >= start``.
+    rows of other keys can bridge a gap. Needs ``end >= start``. Dates, timestamps or whole numbers.
 
     ``spans``: a smaller relation with the same distinct (start, end) pairs, if the caller has one.
     """
-    islands = global_islands(df if spans is None else spans, start, end)
-    # bounded broadcast: at most one row per day of the calendar
-    tagged = df.join(F.broadcast(islands), F.col(start) == F.col("_day"))
+    islands = global_islands(df if spans is None else spans, start, end, policy)
+    if isinstance(df.schema[start].dataType, T.DateType):
+        islands = F.broadcast(islands)  # at most one row per day of the calendar
+    tagged = df.join(islands, F.col(start) == F.col("_day"))
     return (
         tagged.groupBy("_island", *keys)
         .agg(F.min(start).alias(start), F.max(end).alias(end))
@@ -395,8 +411,32 @@ def _sizes() -> Column:
     return F.array(*[F.lit(4**k).cast("long") for k in range(_LEVELS)])
 
 
+def point_numbers(
+    points: DataFrame, keys: Sequence[str], at: str, out: str, policy: SkewPolicy = DEFAULT_POLICY
+) -> DataFrame:
+    """Number the distinct points of each key from 1 in their order. Hot keys are numbered slot by slot, each slot after the counts
+    of those before it."""
+    ordinary, hot = _by_heat(points, keys, at, policy)
+    order = Window.partitionBy(*keys).orderBy(at)
+    done = ordinary.withColumn(out, F.row_number().over(order).cast("long"))
+    if hot is None:
+        return done
+    earlier = Window.partitionBy(*keys).orderBy("_slot").rowsBetween(BEFORE, -1)
+    counts = hot.groupBy(*keys, "_slot").agg(F.count(F.lit(1)).alias("_n")).select(
+        *keys, "_slot", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before")
+    )
+    in_slot = Window.partitionBy(*keys, "_slot").orderBy(at)
+    numbered = hot.join(counts, [*keys, "_slot"]).withColumn(out, F.row_number().over(in_slot) + F.col("_before"))
+    return done.unionByName(numbered.select(*points.columns, F.col(out).cast("long").alias(out)))
+
+
 def overlap_classify(
-    df: DataFrame, keys: Sequence[str], start: str, end: str, include_equal_start: bool = False
+    df: DataFrame,
+    keys: Sequence[str],
+    start: str,
+    end: str,
+    include_equal_start: bool = False,
+    policy: SkewPolicy = DEFAULT_POLICY,
 ) -> DataFrame:
     """Distinct (keys, start, end) with four flags, each true if some other row of the key stands in that relation:
 
@@ -407,7 +447,8 @@ def overlap_classify(
 
     Nothing pairs rows with rows. The first two are running extremes over distinct starts. The other two ask, for a
     point, which interval strictly covering it starts last or ends first: intervals are cut into aligned blocks of
-    4^k days, a point looks up the blocks it lies in.
+    4^k days, a point looks up the blocks it lies in. Bounds of other types than dates are first replaced by their number among the
+    distinct bounds of the key.
     """
     keys = list(keys)
     known = F.col(start).isNotNull() & F.col(end).isNotNull()
@@ -423,21 +464,25 @@ def overlap_classify(
         .withColumn("_later_end", F.min("_shortest").over(order.rowsBetween(1, AFTER)))
     )
 
-    def day(name: str) -> Column:
-        return (F.unix_date(F.col(name)) + _DAY_SHIFT).cast("long")
-
-    inner = spans.filter(F.date_add(start, 1) < F.col(end)).select(
-        *keys, start, end, (day(start) + 1).alias("_first"), (day(end) - 1).alias("_last")
-    )
+    points = spans.select(*keys, F.explode(F.array(start, end)).alias("_at")).distinct()
+    if isinstance(df.schema[start].dataType, T.DateType):
+        numbered = points.withColumn("_day", _day("_at"))
+        inner = spans.select(*keys, start, end, (_day(start) + 1).alias("_first"), (_day(end) - 1).alias("_last"))
+    else:
+        numbered = point_numbers(points, keys, "_at", "_day", policy)
+        begin, stop = (
+            numbered.select(*keys, F.col("_at").alias(bound), (F.col("_day") + step).alias(name))
+            for bound, step, name in ((start, 1, "_first"), (end, -1, "_last"))
+        )
+        inner = spans.drop("_copies").join(begin, [*keys, start]).join(stop, [*keys, end])
+    inner = inner.filter(F.col("_first") <= F.col("_last"))
     covered = (
         _cut_into_blocks(inner, "_first", "_last")
         .groupBy(*keys, "level", "block")
         .agg(F.max(start).alias("_last_start"), F.min(end).alias("_first_end"))
     )
     stabbed = (
-        spans.select(*keys, F.explode(F.array(start, end)).alias("_at"))
-        .distinct()
-        .select(*keys, "_at", day("_at").alias("_day"), F.posexplode(_sizes()).alias("level", "_size"))
+        numbered.select(*keys, "_at", "_day", F.posexplode(_sizes()).alias("level", "_size"))
         .withColumn("block", F.floor(F.col("_day") / F.col("_size")).cast("long"))
         .join(covered, [*keys, "level", "block"])
         .groupBy(*keys, "_at")

@@ -191,3 +191,73 @@ def sparse_spans(spark, sf):
         day.alias(START),
         F.date_add(day, (F.col("o_orderkey") % 3).cast("int")).alias(END),
     )
+
+
+# --- the same on timestamps ----------------------------------------------------------------------------------------
+
+CTES["fx_period"] = """
+SELECT user_id, user_id % 7 AS line, event_type, ts AS valid_from, ts + to_minutes(CAST(event_id % 600 AS INTEGER)) AS valid_to
+FROM events"""
+
+
+def periods(spark, sf):
+    """Events as periods of up to ten hours; some are empty."""
+    minutes = F.make_dt_interval(F.lit(0), F.lit(0), (F.col("event_id") % 600).cast("int"))
+    return X.table(spark, sf, "events").select(
+        "user_id", (F.col("user_id") % 7).alias("line"), "event_type", F.col("ts").alias("valid_from"),
+        (F.col("ts") + minutes).alias("valid_to"),
+    )
+
+
+_ANY_OTHER = """b.line = a.line AND b.user_id <> a.user_id AND b.valid_from < b.valid_to AND a.valid_from < a.valid_to
+  AND b.valid_from < a.valid_to AND a.valid_from < b.valid_to"""
+
+
+@case(
+    "other_owner_overlap_timestamps",
+    f"""SELECT DISTINCT line, valid_from, valid_to FROM fx_period a
+WHERE EXISTS (SELECT 1 FROM fx_period b WHERE {_ANY_OTHER})""",
+)
+def _(spark, sf):
+    return iv.other_owner_overlap(periods(spark, sf), "line", "user_id", "valid_from", "valid_to")
+
+
+@case(
+    "overlap_count_timestamps",
+    f"""SELECT a.line, (SELECT count(*) FROM fx_period a2, fx_period b WHERE a2.line = a.line AND
+  {_ANY_OTHER.replace("a.", "a2.")}) AS conflicts FROM (SELECT DISTINCT line FROM fx_period WHERE valid_from < valid_to) a""",
+)
+def _(spark, sf):
+    counted = iv.overlap_conflicts(periods(spark, sf), "line", "user_id", "valid_from", "valid_to")
+    return counted.select("line", F.col("conflicts").cast("long").alias("conflicts"))
+
+
+def _stands(name: str, condition: str) -> str:
+    return f"EXISTS (SELECT 1 FROM fx_period d WHERE d.user_id = c.user_id AND {condition}) AS {name}"
+
+
+@case(
+    "overlap_classify_timestamps",
+    f"""SELECT DISTINCT c.user_id, c.valid_from, c.valid_to,
+{_stands("outside_flg", "c.valid_from < d.valid_from AND d.valid_to <= c.valid_to")},
+{_stands("inside_flg", "d.valid_from < c.valid_from AND c.valid_to <= d.valid_to")},
+{_stands("right_flg", "d.valid_from > c.valid_from AND d.valid_from < c.valid_to AND d.valid_to > c.valid_to")},
+{_stands("left_flg", "d.valid_from < c.valid_from AND d.valid_to > c.valid_from AND d.valid_to < c.valid_to")}
+FROM fx_period c""",
+)
+def _(spark, sf):
+    return iv.overlap_classify(periods(spark, sf), ["user_id"], "valid_from", "valid_to")
+
+
+CTES["fx_blink"] = """
+SELECT user_id % 40 AS line, ts AS valid_from, ts + to_seconds(CAST(event_id % 90 AS INTEGER)) AS valid_to FROM events"""
+
+
+@case("coalesce_intervals_global_timestamps", islands_sql("fx_blink", "line", "valid_from", "valid_to"))
+def _(spark, sf):
+    """Periods of up to 90 seconds, so that the table has gaps."""
+    seconds = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.col("event_id") % 90)
+    rows = X.table(spark, sf, "events").select(
+        (F.col("user_id") % 40).alias("line"), F.col("ts").alias("valid_from"), (F.col("ts") + seconds).alias("valid_to")
+    )
+    return iv.coalesce_intervals_global(rows, ["line"], "valid_from", "valid_to")

@@ -15,7 +15,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from spanledger.scale import DEFAULT_POLICY, SkewPolicy, salted_join, split_hot, time_slot
+from spanledger.scale import (
+    DEFAULT_POLICY,
+    SkewPolicy,
+    hot_keys,
+    mark_hot,
+    salted_join,
+    slot_number,
+    split_hot,
+    time_slot,
+)
 
 BEFORE = Window.unboundedPreceding
 AFTER = Window.unboundedFollowing
@@ -29,10 +38,13 @@ def temporal_join(
     end: str = "effective_to_date",
     keep_right: Sequence[str] = (),
     closed: bool = True,
+    policy: SkewPolicy = DEFAULT_POLICY,
 ) -> DataFrame:
     """Equi join on ``on`` (left column -> right column) keeping pairs whose intervals intersect.
 
-    Returns the left columns with the interval replaced by the intersection, plus ``keep_right``.
+    Returns the left columns with the interval replaced by the intersection, plus ``keep_right``. A NULL bound is open. Keys that are hot on the left are
+    cut by time on both sides: a row takes part in every slot its interval meets, and a pair is given in the slot of its later
+    start alone, which both intervals meet.
     """
     r = right.select(
         *[F.col(rc).alias(f"_on_{i}") for i, rc in enumerate(on.values())],
@@ -44,12 +56,37 @@ def temporal_join(
     condition = low <= high if closed else low < high
     for i, lc in enumerate(on):
         condition = condition & (F.col(lc) == F.col(f"_on_{i}"))
-    joined = left.join(r, condition, "inner")
     columns = [low.alias(c) if c == start else high.alias(c) if c == end else F.col(c) for c in left.columns]
-    return joined.select(*columns, *keep_right)
-
 
-# --- fragmenting ---------------------------------------------------------------------------------------------------
+    keys, others = list(on), [f"_on_{i}" for i in range(len(on))]
+    hot = hot_keys(left, keys, policy)
+    if hot is None:
+        return left.join(r, condition, "inner").select(*columns, *keep_right)
+    is_hot = F.col("_pieces").isNotNull()
+    marked_left = mark_hot(left, hot, keys)
+    marked_right = mark_hot(r.withColumnsRenamed(dict(zip(others, keys))), hot, keys).withColumnsRenamed(dict(zip(keys, others)))
+    plain = marked_left.filter(~is_hot).drop("_pieces").join(marked_right.filter(~is_hot).drop("_pieces"), condition, "inner")
+    hot_left, hot_right = marked_left.filter(is_hot).drop("_pieces"), marked_right.filter(is_hot).drop("_pieces")
+    # one row: later starts lie between these, so open bounds need no slots beyond them
+    starts = hot_left.select(F.col(start).alias("s")).unionAll(hot_right.select("_r_start"))
+    kind = left.schema[start].dataType
+    least, most = (F.lit(x).cast(kind) for x in starts.agg(F.min("s"), F.max("s")).first())
+    cut_left = _in_slots(hot_left, start, end, least, most, "_slot", policy)
+    cut_right = _in_slots(hot_right, "_r_start", "_r_end", least, most, "_r_slot", policy)
+    later = F.coalesce(slot_number(kind, F.coalesce(low, least), policy), F.lit(0))
+    cut = cut_left.join(cut_right, condition & (F.col("_slot") == F.col("_r_slot")) & (F.col("_slot") == later), "inner")
+    return plain.select(*columns, *keep_right).unionByName(cut.select(*columns, *keep_right))
+
+
+def _in_slots(df: DataFrame, start: str, end: str, least: Column, most: Column, slot: str, policy: SkewPolicy) -> DataFrame:
+    """Rows once for every time slot from their start to their end, within [``least``, ``most``]. A NULL bound is open."""
+    kind = df.schema[start].dataType
+    first, upto = (
+        F.coalesce(slot_number(kind, at, policy), F.lit(0))
+        for at in (F.coalesce(F.col(start), least), F.least(F.coalesce(F.col(end), most), most))
+    )
+    kept = df.filter(F.coalesce(F.col(start) <= F.col(end), F.lit(True)))
+    return kept.withColumn(slot, F.explode(F.sequence(first, F.greatest(first, upto))))
 
 
 def next_value(
@@ -302,8 +339,10 @@ def _owner_counts(valid: DataFrame, key: str, owner: str, start: str, end: str)
     Owners' intervals are merged first, so a running sum of +1/-1 counts distinct owners.
     """
     merged = coalesce_intervals(valid.select(key, owner, start, end), [key, owner], start, end)
+    # a column of its own for the key: only then does the union see that both sides may be partitioned alike
+    own = F.col(key).alias(key)
     steps = merged.select(
-        key,
+        own,
         F.inline(
             F.array(
                 F.struct(F.col(start).alias("_at"), F.lit(1).alias("_step")),
@@ -311,7 +350,7 @@ def _owner_counts(valid: DataFrame, key: str, owner: str, start: str, end: str)
             )
         ),
     )
-    asked = valid.select(key, F.explode(F.array(start, end)).alias("_at"), F.lit(0).alias("_step"))
+    asked = valid.select(own, F.explode(F.array(start, end)).alias("_at"), F.lit(0).alias("_step"))
     points = steps.unionByName(asked).groupBy(key, "_at").agg(F.sum("_step").alias("_step"))
     upto = Window.partitionBy(key).orderBy("_at").rowsBetween(BEFORE, 0)
     return points.select(key, "_at", F.sum("_step").over(upto).alias("_owners"))
@@ -367,8 +406,9 @@ def overlap_conflicts(df: DataFrame, key: str, owner: str, start: str, end: str)
             .agg(F.sum(ends * F.col("_started") - starts * F.col("_ended")).cast("decimal(38,0)").alias("_pairs"))
         )
 
-    every = overlapping_pairs([key]).select(key, "_pairs")
-    same = overlapping_pairs([key, owner]).select(key, (-F.col("_pairs")).alias("_pairs"))
+    own = F.col(key).alias(key)
+    every = overlapping_pairs([key]).select(own, "_pairs")
+    same = overlapping_pairs([key, owner]).select(own, (-F.col("_pairs")).alias("_pairs"))
     return every.unionByName(same).groupBy(key).agg(F.sum("_pairs").cast("decimal(38,0)").alias("conflicts"))
 
 

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from spanledger.operators.intervals import other_owner_spans, overlap_classify, overlap_conflicts
+from spanledger.session import scratch_path
 
 
 def _flag_sum(df: DataFrame, condition: Column) -> DataFrame:
@@ -121,6 +123,103 @@ def duplicate_flag_errors(df: DataFrame, flag: str, key: str, owner: str, start:
     return joined.agg(F.max(wrong).alias("result"))
 
 
+def duplicate_flag_rows(df: DataFrame, flag: str, key: str, owner: str, start: str, end: str) -> DataFrame:
+    """(key, start, wrong): where and on how many rows the flag differs from the recomputed one. A NULL flag is not wrong."""
+    shared = other_owner_spans(df, key, owner, start, end).withColumnsRenamed({key: "_key"})
+    per_start = df.groupBy(key, start).agg(
+        F.max(F.when(F.col(owner).isNotNull(), F.col(end))).alias("_end"),
+        F.count_if(F.col(flag)).alias("_set"),
+        F.count_if(~F.col(flag)).alias("_unset"),
+    )
+    joined = per_start.join(shared, (F.col(key) == F.col("_key")) & (F.col(start) == F.col("_at")), "left")
+    expected = F.coalesce(F.col("_shared_from") < F.col("_end"), F.lit(False))
+    wrong = F.when(expected, F.col("_unset")).otherwise(F.col("_set"))
+    return joined.select(key, start, wrong.alias("wrong")).filter("wrong > 0")
+
+
+def history_overlap_rows(
+    df: DataFrame, keys: Sequence[str], start: str, end: str, include_equal_start: bool = False
+) -> DataFrame:
+    """The distinct intervals that stand in some overlap relation to another of their key, with the four flags."""
+    flags = ["outside_flg", "inside_flg", "right_flg", "left_flg"]
+    return overlap_classify(df, keys, start, end, include_equal_start).filter(" OR ".join(flags))
+
+
+@dataclass(frozen=True)
+class CheckedTable:
+    """Column names of a table of owned, effective-dated rows, for ``quality_run``."""
+
+    owner: str = "mdm_customer_rk"
+    key: str = "phone_num"
+    kind: str = "phone_type_cd"
+    start: str = "business_start_dt"
+    end: str = "business_end_dt"
+    shared_flag: str = "duplication_flg"
+    key_flag: str = "main_dup_flg"
+    owner_flag: str = "main_phone_flg"
+
+
+def _layout(df: DataFrame, key: str, start: str) -> DataFrame:
+    """``df`` stored in buckets of ``key``: what groups, orders or joins by it afterwards needs no shuffle."""
+    spark = df.sparkSession
+    path = scratch_path(spark, "layout")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = df.repartition(buckets, key)
+    name = f"layout_{path.rsplit('-', 1)[1]}"
+    dealt.write.bucketBy(buckets, key).sortBy(key, start).option("path", path).saveAsTable(name)
+    return spark.table(name)
+
+
+def quality_run(df: DataFrame, as_of: Column, table: CheckedTable = CheckedTable()) -> DataFrame:
+    """All checks of the table as (check_name, result), every result a count.
+
+    The table is scanned once for each of its two layouts: dealt by key, while the counts that need one row only are observed, and dealt
+    by owner for the one check that goes by owner. The checks that compare rows read their layout in place; none shuffles rows
+    again, as all their groups, windows and joins include the key of the layout. Each gives one number, so the driver sees eleven.
+    """
+    t, spark = table, df.sparkSession
+    seen = Observation()
+    start, end, owner = F.col(t.start), F.col(t.end), F.col(t.owner)
+    counted = df.select(t.owner, t.key, t.kind, t.start, t.end, t.shared_flag, t.key_flag, t.owner_flag).observe(
+        seen,
+        F.count_if(owner.isNull()).alias("check_null_key"),
+        F.count_if(owner == -1).alias("check_minus_one_key"),
+        F.count_if(owner.isNull()).alias("check_attribute_filled"),
+        F.count_if(start > as_of).alias("check_future_versions"),
+        F.count_if(start > end).alias("check_reversed_versions"),
+    )
+    same_key = "spark.sql.requireAllClusterKeysForCoPartition"
+    by_key = _layout(counted, t.key, t.start)
+    by_owner = _layout(df.select(t.owner, t.key, t.start, t.end, t.owner_flag), t.owner, t.start)
+
+    def total(rows: DataFrame, value: Column) -> int:
+        return rows.agg(F.coalesce(F.sum(value), F.lit(0)).cast("long").alias("n")).first().n
+
+    one = F.lit(1)
+    checks = {
+        "check_duplicate_key": lambda: total(duplicate_keys(by_key, [t.owner, t.kind, t.start, t.key]), one),
+        "check_history_overlaps": lambda: total(history_overlap_rows(by_key, [t.owner, t.key], t.start, t.end), one),
+        "check_history_gaps": lambda: total(history_gaps(by_key, [t.owner, t.key], t.start, t.end), F.col("result")),
+        "check_single_main_customer": lambda: total(
+            overlap_conflicts(by_key.filter(t.key_flag), t.key, t.owner, t.start, t.end), F.col("conflicts")
+        ),
+        "check_duplicate_flag": lambda: total(
+            duplicate_flag_rows(by_key, t.shared_flag, t.key, t.owner, t.start, t.end), F.col("wrong")
+        ),
+        "check_single_best_phone": lambda: total(
+            overlap_conflicts(by_owner.filter(t.owner_flag), t.owner, t.key, t.start, t.end), F.col("conflicts")
+        ),
+    }
+    whole_keys = spark.conf.get(same_key)
+    try:
+        # rows with one layout key are in one bucket, so joins on more columns than it need no other order
+        spark.conf.set(same_key, "false")
+        results = seen.get | {name: check() for name, check in checks.items()}
+    finally:
+        spark.conf.set(same_key, whole_keys)
+    return spark.createDataFrame(sorted(results.items()), "check_name string, result long")
+
+
 def tagged_difference(a: DataFrame, b: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Distinct rows only in ``a`` tagged ``report`` and only in ``b`` tagged ``src``: ``((A-B) union C) - D`` over
     tagged rows, done as one aggregation (NULLs equal, copies combined before the shuffle)."""

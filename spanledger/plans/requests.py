@@ -10,6 +10,7 @@ from pyspark.sql.window import Window
 
 from spanledger import constants as C
 from spanledger.operators.quality import tagged_difference
+from spanledger.sources.tables import replace_partitions
 
 STATUS_MEASURE = {
     C.COMPLITED: "complited_per_day",
@@ -33,6 +34,23 @@ def history_day_grain(history: DataFrame) -> DataFrame:
     )
 
 
+MONTH = "from_month"
+
+
+def with_month(day_history: DataFrame) -> DataFrame:
+    """The day grain with the month in which a version begins, by which its table is partitioned."""
+    return day_history.withColumn(MONTH, F.date_format("valid_from_dttm", "yyyy-MM"))
+
+
+def refresh_day_grain(history: DataFrame, before: DataFrame, after: DataFrame, target: str) -> None:
+    """Bring the day-grain table at ``target`` up to a changed history: only months in which a version of a changed key began, before
+    or after the change, are written anew."""
+    months = with_month(history_day_grain(before)).select(MONTH).union(with_month(history_day_grain(after)).select(MONTH)).distinct()
+    grain = with_month(history_day_grain(history))
+    # bounded broadcast: one row for a month
+    replace_partitions(grain.join(F.broadcast(months), MONTH, "left_semi"), target, [MONTH], touched=months)
+
+
 def _events(first: str | None, last: str | None) -> Column:
     """What one version adds to the daily measures: (day, measure, step). A version valid over several days is a +1 on
     its first day and a -1 after its last, clipped to the calendar, instead of one row per day."""

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from spanledger.operators import quality as Q
 from spanledger.registry import sql_inputs  # noqa: F401
-from spanledger.registry.base import case
+from spanledger.registry.base import CASES, case
 from spanledger.registry.intervals import INSIDE, LEFT, OUTSIDE, RIGHT
 from spanledger.sources import fixtures as X
 
@@ -113,6 +113,61 @@ def _(spark, sf):
     return Q.duplicate_flag_errors(X.phone_rows(spark, sf), "duplication_flg", PHONE, CUSTOMER, START, END)
 
 
+EXPECTED = """EXISTS (SELECT 1 FROM fx_phone a, fx_phone b WHERE a.phone_num = p.phone_num
+      AND a.business_start_dt = p.business_start_dt AND b.phone_num = a.phone_num AND b.mdm_customer_rk <> a.mdm_customer_rk
+      AND a.business_start_dt < a.business_end_dt AND b.business_start_dt < b.business_end_dt
+      AND a.business_start_dt < b.business_end_dt AND b.business_start_dt < a.business_end_dt)"""
+WRONG_FLAGS = f"""SELECT phone_num, business_start_dt, count(*) AS wrong FROM fx_phone p
+WHERE duplication_flg <> {EXPECTED} GROUP BY 1, 2"""
+
+
+@case("duplicate_flag_rows", WRONG_FLAGS)
+def _(spark, sf):
+    return Q.duplicate_flag_rows(X.phone_rows(spark, sf), "duplication_flg", PHONE, CUSTOMER, START, END)
+
+
+def _any(condition: str) -> str:
+    return f"""EXISTS (SELECT 1 FROM fx_phone d WHERE d.mdm_customer_rk = c.mdm_customer_rk AND d.phone_num = c.phone_num
+    AND {condition})"""
+
+
+OVERLAPPING = f"""SELECT * FROM (SELECT DISTINCT mdm_customer_rk, phone_num, business_start_dt, business_end_dt,
+  {_any(OUTSIDE)} AS outside_flg, {_any(INSIDE)} AS inside_flg, {_any(RIGHT)} AS right_flg, {_any(LEFT)} AS left_flg
+  FROM fx_phone c) f WHERE outside_flg OR inside_flg OR right_flg OR left_flg"""
+
+
+@case("history_overlap_rows", OVERLAPPING)
+def _(spark, sf):
+    return Q.history_overlap_rows(X.phone_rows(spark, sf), [CUSTOMER, PHONE], START, END)
+
+
+def _sum_of(name: str) -> str:
+    return f"SELECT '{name}' AS check_name, coalesce(max(result), 0) AS result FROM ({CASES[name][1]}) x"
+
+
+def _count_of(name: str, sql: str) -> str:
+    return f"SELECT '{name}' AS check_name, count(*) AS result FROM ({sql}) x"
+
+
+SINGLE = ["check_null_key", "check_minus_one_key", "check_attribute_filled", "check_history_gaps", "check_future_versions",
+          "check_reversed_versions", "check_single_main_customer", "check_single_best_phone"]
+
+
+@case(
+    "quality_run",
+    "\nUNION ALL\n".join(
+        [_sum_of(name) for name in SINGLE]
+        + [
+            _count_of("check_duplicate_key", CASES["check_duplicate_key"][1]),
+            _count_of("check_history_overlaps", OVERLAPPING),
+            f"SELECT 'check_duplicate_flag', CAST(coalesce(sum(wrong), 0) AS BIGINT) FROM ({WRONG_FLAGS}) x",
+        ]
+    ),
+)
+def _(spark, sf):
+    return Q.quality_run(X.phone_rows(spark, sf), F.lit(X.AS_OF).cast("date"))
+
+
 @case(
     "check_primary_key",
     """SELECT l_orderkey, l_linenumber, count(*) AS "count" FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1""",

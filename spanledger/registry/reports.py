@@ -94,6 +94,17 @@ def _(spark, sf):
     return R.agg_per_week(work(spark, sf))
 
 
+@case("history_day_grain_refreshed", "SELECT * FROM day_history_2")
+def _(spark, sf):
+    """The day-grain table of a history after one load; after the second, only months it touched are replaced."""
+    table, (_, second) = loaded_table(spark, sf)
+    path = scratch_path(spark, "day-grain")
+    grain = R.with_month(R.history_day_grain(table.read(table.version() - 1)))
+    grain.write.partitionBy(R.MONTH).parquet(path)
+    R.refresh_day_grain(table.read(), *table.changed(second), path)
+    return hex_key(spark.read.schema(grain.schema).parquet(path).drop(R.MONTH))
+
+
 def kept_up(spark, sf):
     """Daily step totals of a stored history after one load, brought up to the second by the keys it touched."""
     table, (first, second) = loaded_table(spark, sf)

@@ -18,12 +18,13 @@ from pyspark.sql import types as T
 class SkewPolicy:
     """``hot_rows``: rows of one key that one task may hold. ``share``: a key with less than one in ``share`` of all rows is never
     hot, so there are at most ``share`` hot keys. ``slot``: time unit that splits a hot key in a window over timestamps;
-    ``slot_width``: the same for whole numbers."""
+    ``slot_width``: the same for whole numbers. ``slot_hours``: slots of rows that take part in each slot they last through."""
 
     hot_rows: int = 1_000_000
     share: int = 10_000
     slot: str = "hour"
     slot_width: int = 3600
+    slot_hours: int = 24
 
 
 DEFAULT_POLICY = SkewPolicy()
@@ -127,3 +128,15 @@ def time_slot(df: DataFrame, at: str, policy: SkewPolicy = DEFAULT_POLICY) -> Co
     if isinstance(kind, T.IntegralType):
         return F.floor(F.col(at) / F.lit(policy.slot_width)).cast("long")
     raise TypeError(f"{at} is {kind.simpleString()}: only timestamps, dates and whole numbers are cut into slots")
+
+
+def slot_number(kind: T.DataType, at: Column, policy: SkewPolicy = DEFAULT_POLICY) -> Column:
+    """Whole number of the slot of ``at``, so that slots can be counted through: months of dates, ``slot_hours`` of timestamps,
+    ``slot_width`` of whole numbers."""
+    if isinstance(kind, T.DateType):
+        return (F.year(at) * 12 + F.month(at)).cast("long")
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return F.floor(F.unix_micros(at.cast("timestamp")) / F.lit(policy.slot_hours * 3_600_000_000)).cast("long")
+    if isinstance(kind, T.IntegralType):
+        return F.floor(at / F.lit(policy.slot_width)).cast("long")
+    raise TypeError(f"{kind.simpleString()} is not cut into slots")

@@ -25,6 +25,20 @@ def snapshot_transfer(source: DataFrame, columns: Sequence[str], target: str) ->
     return source.sparkSession.read.parquet(target)
 
 
+def replace_partitions(df: DataFrame, target: str, by: Sequence[str], touched: DataFrame | None = None) -> None:
+    """Replace the partitions of the table at ``target`` for which ``df`` has rows, or all those listed in ``touched`` (which may be left
+    empty); files of other partitions stay as they are. ``df`` must not read ``target``."""
+    spark = df.sparkSession
+    dealt = df.hint("rebalance", *by)  # one file for a partition where that is enough
+    dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(target)
+    if touched is not None:
+        # a touched partition without rows is not written, so it is dropped; one row for each of these
+        gone = touched.select(*by).distinct().join(df.select(*by).distinct(), list(by), "left_anti").collect()
+        for row in gone:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(target, "/".join(f"{c}={row[c]}" for c in by))
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def jdbc_source(
     spark: SparkSession,
     url: str,

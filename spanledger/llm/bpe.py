@@ -5,14 +5,15 @@ from __future__ import annotations
 import hashlib
 import heapq
 import json
+from functools import lru_cache
 from itertools import chain
 
 import regex
 from pyspark.sql import DataFrame
 
-from spanledger.llm.common import TOKENIZER_FOLDER, WordCache, map_rows, texts
+from spanledger.llm.common import WordCache, map_rows, texts, vocabulary_path
 
-BYTE_BPE = f"{TOKENIZER_FOLDER}/byte_bpe_50k.json"
+BYTE_BPE = "byte_bpe_50k.json"
 # fixed values: the split pattern of byte-level BPE vocabularies
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 _SHIFT = 20
@@ -26,13 +27,13 @@ def _byte_letters() -> dict[str, int]:
 
 
 class ByteBpe:
-    """A byte-level BPE vocabulary file. ``encode`` gives ids, ``decode`` the text of ids.
+    """A byte-level BPE vocabulary, given by its file or its public name. ``encode`` gives ids, ``decode`` the text of ids.
 
     Strings of special tokens in a text become their ids. Ids without an entry raise ``KeyError``.
     """
 
     def __init__(self, path: str, cache_words: int = 150_000):
-        with open(path, encoding="utf-8") as f:
+        with open(vocabulary_path(path), encoding="utf-8") as f:
             spec = json.load(f)
         letters = _byte_letters()
         vocab = spec["model"]["vocab"]
@@ -107,6 +108,12 @@ class ByteBpe:
         return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
 
 
+@lru_cache(maxsize=2)
+def byte_bpe(vocabulary: str) -> ByteBpe:
+    """One for all tasks of a Python process, with its cache of pieces."""
+    return ByteBpe(vocabulary)
+
+
 def bpe_round_trip(docs: DataFrame, vocabulary: str = BYTE_BPE, id_col: str = "doc_id", text_col: str = "text",
                    keep_text: bool = False) -> DataFrame:
     """Encode every text and decode its ids again: doc_id, n_tokens, ids_sha256, decoded_sha256; with ``keep_text``
@@ -121,7 +128,7 @@ def bpe_round_trip(docs: DataFrame, vocabulary: str = BYTE_BPE, id_col: str = "d
         ddl += ", ids array<bigint>, decoded string"
 
     def rows(batches):
-        bpe = ByteBpe(vocabulary)
+        bpe = byte_bpe(vocabulary)
         names = {i: str(i) for i in bpe.bytes_of}.__getitem__
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):

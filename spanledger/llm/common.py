@@ -9,7 +9,15 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-TOKENIZER_FOLDER = "/opt/tokenizers"
+
+def vocabulary_path(vocabulary: str) -> str:
+    """The file of a vocabulary: a path as it is, a bare name where the package of public vocabularies is installed. Asked on the
+    machine that opens it."""
+    if "/" in vocabulary:
+        return vocabulary
+    import public_tokenizers
+
+    return public_tokenizers.path(vocabulary)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

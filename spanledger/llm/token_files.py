@@ -13,13 +13,18 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from spanledger.llm.common import TOKENIZER_FOLDER, map_rows, texts
+from spanledger.llm.common import map_rows, texts, vocabulary_path
 from spanledger.llm.packed_blocks import ShardReader, ShardWriter
 from spanledger.session import materialize, scratch_path
 
-WORD_BPE = f"{TOKENIZER_FOLDER}/word_bpe_49k.json"
+WORD_BPE = "word_bpe_49k.json"
 END_ID = 2
 SHARD_BYTES = 16_000_000
+#: Of a large corpus, this many shards, as long as one stays below ``LARGEST_SHARD``.
+SHARDS = 20_000
+LARGEST_SHARD = 512_000_000
+#: What a document weighs beside its text, so that empty texts fill shards too.
+ROW_BYTES = 64
 _GROUP_BYTES = 1_000_000
 
 
@@ -34,6 +39,8 @@ class WordIds:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
+        vocabulary = vocabulary_path(vocabulary)
+
         self.tokenizer, self.letters = Tokenizer.from_file(vocabulary), Tokenizer.from_file(vocabulary)
         for each in (self.tokenizer, self.letters):
             each.no_truncation()
@@ -112,6 +119,11 @@ def _grouped(batches) -> Iterator[list[tuple[int | None, bytes]]]:
         yield group
 
 
+def shard_count(total: int, shard_bytes: int = SHARD_BYTES) -> int:
+    """Shards of ``shard_bytes`` up to ``SHARDS`` of them, then larger ones, then as many of the largest as it takes."""
+    return max(1, -(-total // max(shard_bytes, min(LARGEST_SHARD, -(-total // SHARDS)))))
+
+
 def write_token_files(
     docs: DataFrame, folder: str, vocabulary: str = WORD_BPE, end_id: int = END_ID, shard_bytes: int = SHARD_BYTES
 ) -> DataFrame:
@@ -120,11 +132,12 @@ def write_token_files(
     Returns the stored manifest: shard, path, n_docs, n_ids, start (ids in all shards before). Texts are range-partitioned by
     (doc_id, row), so one repeated doc_id is spread as well, and encoded where they are written. A shard is written under a name
     of its task attempt and counts only if the manifest lists it, so retries and lost executors leave at most an unlisted
-    file. ``folder`` is any URI that Arrow opens.
+    file. ``folder`` is any URI that Arrow opens. Null and empty texts hold only the end id and count towards a shard's size; repeated
+    rows are documents of their own; an empty table gives no shard.
     """
     numbered = texts(docs).select("doc_id", F.monotonically_increasing_id().alias("row"), "text")
-    total = numbered.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    shards = max(1, -(-total // shard_bytes))
+    total = numbered.agg(F.sum(F.octet_length("text") + ROW_BYTES)).first()[0] or 0
+    shards = shard_count(total, shard_bytes)
 
     def rows(batches):
         context = TaskContext.get()

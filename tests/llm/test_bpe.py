@@ -5,13 +5,14 @@ import pytest
 from tokenizers import Tokenizer
 
 from spanledger.llm.bpe import BYTE_BPE, ByteBpe, bpe_round_trip
+from spanledger.llm.common import vocabulary_path
 
 ALPHABET = "ab '\x1c\x1f\x85\xa0  　᠎​\t\n\r\x0bé١²Ⅷ日本😀sl.,!_-$"
 
 
 @pytest.fixture(scope="module")
 def library():
-    return Tokenizer.from_file(BYTE_BPE)
+    return Tokenizer.from_file(vocabulary_path(BYTE_BPE))
 
 
 def test_ids_and_text_as_the_library(library):

@@ -6,7 +6,19 @@ import pytest
 from tokenizers import Tokenizer
 
 from spanledger.llm.packed_blocks import BLOCK_IDS, ShardReader, ShardWriter, pack_block, unpack_block
-from spanledger.llm.token_files import END_ID, WORD_BPE, read_token_files, token_files, write_token_files
+from pyspark.sql import functions as F
+
+from spanledger.llm.common import vocabulary_path
+from spanledger.llm.token_files import (
+    END_ID,
+    LARGEST_SHARD,
+    SHARDS,
+    WORD_BPE,
+    read_token_files,
+    shard_count,
+    token_files,
+    write_token_files,
+)
 
 
 def test_blocks_round_trip():
@@ -42,7 +54,7 @@ def test_shard_random_access(tmp_path):
 
 @pytest.fixture(scope="module")
 def library():
-    return Tokenizer.from_file(WORD_BPE)
+    return Tokenizer.from_file(vocabulary_path(WORD_BPE))
 
 
 def test_table_of_odd_rows(spark, library, tmp_path):
@@ -67,3 +79,13 @@ def test_table_of_odd_rows(spark, library, tmp_path):
         at += len(ids)
     assert not want
     assert token_files(docs.limit(0)).count() == 0
+
+
+def test_shards_follow_rows_and_bytes(spark, tmp_path):
+    assert [shard_count(n) for n in (0, 1, 16_000_000, 16_000_001)] == [1, 1, 1, 2]
+    assert shard_count(10**12) == SHARDS and shard_count(10**15) == -(-(10**15) // LARGEST_SHARD)
+    empty = spark.range(3000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 2 == 0, "").alias("text"))
+    manifest = write_token_files(empty, str(tmp_path), shard_bytes=20_000)
+    sizes = [r.n_docs for r in manifest.collect()]
+    assert sum(sizes) == 3000 and len(sizes) >= 8 and max(sizes) < 1000
+    assert [(r.start, r.n_tokens) for r in read_token_files(manifest).orderBy("doc_id").collect()] == [(k, 1) for k in range(3000)]

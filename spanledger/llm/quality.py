@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 from itertools import islice
 from operator import eq
 
@@ -15,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spanledger.llm.common import WordCache, map_rows, texts
-from spanledger.session import materialize
+from spanledger.session import scratch_path
 
 
 @dataclass(frozen=True)
@@ -102,6 +103,15 @@ def _featured(docs: DataFrame, labels: DataFrame, params: QualityParams) -> Data
     return map_rows(sampled, rows, "doc_id bigint, quality bigint, ids binary, times binary")
 
 
+def _dealt(featured: DataFrame, workers: int) -> list[DataFrame]:
+    """The shares of the sample, each stored apart and read as one partition, so that rounds shuffle no documents."""
+    spark, path = featured.sparkSession, scratch_path(featured.sparkSession, "featured")
+    shares = featured.withColumn("share", F.pmod(F.xxhash64("doc_id"), F.lit(workers)).cast("int"))
+    shares.repartition(workers, "share").write.partitionBy("share").parquet(path)
+    stored = spark.read.schema(shares.schema).parquet(path)
+    return [stored.filter(F.col("share") == k).coalesce(1) for k in range(workers)]
+
+
 def _train_part(docs: list[tuple[int, np.ndarray, np.ndarray]], start, params: QualityParams, seed: int):
     """One pass of stochastic gradient steps over a worker's documents, in a seeded order."""
     vectors, squares, out, bias = (x.copy() for x in start)
@@ -125,17 +135,18 @@ def _train_part(docs: list[tuple[int, np.ndarray, np.ndarray]], start, params: Q
     return vectors, squares, out, bias
 
 
-def _learner(sent, params: QualityParams, turn: int):
-    def learn(frame: pd.DataFrame) -> pd.DataFrame:
+def _learner(sent, params: QualityParams, turn: int, share: int):
+    def learn(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         docs = []
-        for quality, ids, times in zip(frame.quality, frame.ids, frame.times):
-            counts = np.frombuffer(times, "<u4").astype(np.float32)
-            docs.append((int(quality), np.frombuffer(ids, "<u4"), counts / max(1.0, counts.sum())))
-        new = _train_part(docs, sent.value, params, turn)
-        parts = np.array_split(np.concatenate([x.ravel() for x in new]), _CHUNKS)
-        return pd.DataFrame(
-            {"chunk": range(_CHUNKS), "share": frame.share.iloc[0], "n": len(docs), "state": [x.tobytes() for x in parts]}
-        )
+        for frame in frames:
+            for doc_id, quality, ids, times in zip(frame.doc_id, frame.quality, frame.ids, frame.times):
+                counts = np.frombuffer(times, "<u4").astype(np.float32)
+                docs.append((int(doc_id), int(quality), np.frombuffer(ids, "<u4"), counts / max(1.0, counts.sum())))
+        if docs:
+            docs.sort(key=lambda d: d[0])
+            new = _train_part([d[1:] for d in docs], sent.value, params, turn)
+            parts = np.array_split(np.concatenate([x.ravel() for x in new]), _CHUNKS)
+            yield pd.DataFrame({"chunk": range(_CHUNKS), "share": share, "n": len(docs), "state": [x.tobytes() for x in parts]})
 
     return learn
 
@@ -157,8 +168,7 @@ def train_quality(docs: DataFrame, labels: DataFrame, params: QualityParams = Qu
     Without labelled documents the model scores every text 0.5.
     """
     spark = docs.sparkSession
-    featured = materialize(_featured(docs, labels, params), "featured")
-    dealt = featured.withColumn("share", F.pmod(F.xxhash64("doc_id"), F.lit(params.workers)))
+    dealt = _dealt(_featured(docs, labels, params), params.workers)
     rng = np.random.default_rng(7)
     shape = (params.buckets, params.dimensions)
     state = (
@@ -167,7 +177,11 @@ def train_quality(docs: DataFrame, labels: DataFrame, params: QualityParams = Qu
     )
     for turn in range(params.rounds):
         sent = spark.sparkContext.broadcast(state)
-        parts = dealt.groupBy("share").applyInPandas(_learner(sent, params, turn), "chunk long, share long, n long, state binary")
+        learned = [
+            own.mapInPandas(_learner(sent, params, turn, share), "chunk long, share long, n long, state binary")
+            for share, own in enumerate(dealt)
+        ]
+        parts = reduce(DataFrame.unionAll, learned)
         found = parts.groupBy("chunk").applyInPandas(_averaged, "chunk long, state binary").collect()
         sent.destroy()
         if not found:

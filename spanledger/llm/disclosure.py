@@ -25,12 +25,12 @@ _TERM = r"[\p{L}\p{N}]+"
 
 @dataclass(frozen=True)
 class DisclosureParams:
-    """``window``: terms on either side of a protected value. ``contexts``: different surroundings in which a term must meet a value.
-    ``generalise``/``remove``: shares of a value's information that a term may give away. ``broadcast_rows``: larger tables of terms are
-    joined by a shuffle."""
+    """``window``: terms on either side of a protected value, within ``reach`` characters, which may give it away. ``deviations``: standard
+    deviations of the lower confidence bound by which they are judged. ``generalise``/``remove``: shares of a value's information that a
+    term may give away. ``broadcast_rows``: larger tables of terms are joined by a shuffle."""
 
     window: int = 5
-    contexts: int = 3
+    deviations: float = 1.96
     generalise: float = 0.75
     remove: float = 0.9
     broadcast_rows: int = 200_000
@@ -113,8 +113,14 @@ def _terms(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda t: (F.length(t) >= 3) & t.rlike(r"\p{L}"))
 
 
-def _contexts(text: Column, spans: Column, params: DisclosureParams) -> Column:
-    """Array of (entity, context, term): the terms around each base span."""
+def _entity(span: Column) -> Column:
+    """A protected value by kind and spelling: case of e-mail addresses and blanks within numbers do not count."""
+    plain = F.when(span["kind"] == 0, F.lower(span["value"])).when(span["kind"] == 1, span["value"]).otherwise(_digits(span["value"]))
+    return F.concat(span["kind"].cast("string"), F.lit(":"), plain)
+
+
+def _surroundings(text: Column, spans: Column, params: DisclosureParams) -> Column:
+    """Array of distinct (entity, term): the terms around each base span."""
 
     def around(span):
         low = F.greatest(F.lit(0), span["start"] - params.reach)
@@ -122,64 +128,75 @@ def _contexts(text: Column, spans: Column, params: DisclosureParams) -> Column:
         # a cut word at the far end is not a term
         left = F.when(low > 0, F.slice(left, 2, 1000)).otherwise(left)
         left = F.slice(left, F.greatest(F.lit(1), F.size(left) - params.window + 1), F.lit(params.window))
-        right = F.slice(_terms(F.substr(text, span["end"] + 1, F.lit(params.reach))), 1, params.window)
-        near = F.array_distinct(F.concat(left, right))
-        plain = F.when(span["kind"] == 0, F.lower(span["value"])).when(span["kind"] == 1, span["value"]).otherwise(_digits(span["value"]))
-        entity = F.concat(span["kind"].cast("string"), F.lit(":"), plain)
-        return F.transform(
-            near, lambda t: F.struct(entity.alias("entity"), F.xxhash64(near).alias("context"), t.alias("term"))
-        )
+        right = _terms(F.substr(text, span["end"] + 1, F.lit(params.reach)))
+        cut = F.length(text) > span["end"] + params.reach
+        right = F.when(cut, F.slice(right, F.lit(1), F.greatest(F.lit(0), F.size(right) - 1))).otherwise(right)
+        near = F.concat(left, F.slice(right, 1, params.window))
+        return F.transform(near, lambda t: F.struct(_entity(span).alias("entity"), t.alias("term")))
 
-    return F.flatten(F.transform(spans, around))
+    return F.array_distinct(F.flatten(F.transform(spans, around)))
 
 
 def _joined(left: DataFrame, right: DataFrame, key: str, how: str, params: DisclosureParams) -> DataFrame:
     return left.join(F.broadcast(right) if right.count() <= params.broadcast_rows else right, key, how)
 
 
-def _disclosure(total: int) -> Column:
-    """Share of a value's information, from the columns both, entity_docs and term_docs."""
+def _disclosure(total: int, shared: Column, texts_shared: Column, params: DisclosureParams) -> Column:
+    """Share of a value's information that a term gives away, from below; columns entity_docs, term_docs.
+
+    ``shared``: documents that hold both. The bound is Wilson's for p(value | term), where only different texts
+    (``texts_shared``) are trials, so that copies of a text do not add confidence.
+    """
     bits = -F.log2(F.col("entity_docs") / F.lit(total))
-    # two windows of one document can hold the pair twice
-    shared = F.least(F.col("both"), F.col("entity_docs"), F.col("term_docs"))
-    return (F.log2(shared / F.col("term_docs")) + bits) / bits
+    hits, z = texts_shared.cast("double"), params.deviations
+    trials = hits * F.col("term_docs") / shared
+    spread = F.sqrt(F.greatest(F.lit(0.0), hits * (trials - hits) / trials) + z * z / 4)
+    surely = (hits + z * z / 2 - z * spread) / (trials + z * z)
+    return (F.log2(surely) + bits) / bits
+
+
+def _possible(total: int, params: DisclosureParams) -> Column:
+    """The largest disclosure that counts of value and term allow; grows as term_docs falls."""
+    return _disclosure(total, F.least("entity_docs", "term_docs"), F.col("entity_texts"), params)
 
 
 def revealing_terms(found: DataFrame, keyed: DataFrame, params: DisclosureParams) -> tuple[DataFrame, DataFrame]:
     """(terms, uses): term and its largest disclosure; key of a text and term for texts that hold one.
 
-    A term t discloses PMI(t; e) / IC(e) of a value e, with IC(e) = -log2 p(e) and PMI = log2 p(e|t) / p(e), p over documents. Candidates
-    are the terms that stood near e in enough different contexts; their document counts come from all texts. The texts in which a
-    term stands near any value bound its count from below and its disclosure from above, so terms that fall short already
-    there, as common words do, are not counted in all texts.
+    A term t discloses PMI(t; e) / IC(e) of a value e, with IC(e) = -log2 p(e) and PMI = log2 p(e|t) / p(e), p over whole documents and
+    p(e|t) taken at its lower confidence bound. Candidates are the terms that stand near e somewhere, a number in proportion to the
+    values; how many documents hold term, value and both comes from all whole texts. The texts in which a term stands near any value
+    bound its count from below and its disclosure from above, so terms that fall short already there, as common words do, are not
+    counted in all texts; pairs that fall short with the whole counts are not looked up in the texts.
     """
     total = max(1, found.count())
-    per_doc = found.filter(F.size("near") > 0).select(F.explode(F.array_distinct("near")).alias("n"))
-    together = (
-        per_doc.groupBy("n.entity", "n.term", "n.context").agg(F.count("*").alias("docs"))
-        .groupBy("entity", "term").agg(F.sum("docs").alias("both"), F.count("*").alias("contexts"))
-    )
-    entities = (
-        found.filter(F.size("near") > 0).select(F.explode(F.array_distinct(F.col("near.entity"))).alias("entity"))
-        .groupBy("entity").agg(F.count("*").alias("entity_docs"))
-    )
+    valued = found.filter(F.size("held") > 0)
+    # one row for a value and a text, however many copies the text has
+    holders = materialize(
+        valued.select("key", F.explode("held").alias("entity")).groupBy("key", "entity").agg(F.count("*").alias("rows")), "value-texts"
+    )
+    entities = holders.groupBy("entity").agg(F.sum("rows").alias("entity_docs"), F.count("*").alias("entity_texts"))
+    near = valued.select(F.explode("near").alias("n")).select("n.*").distinct()
     near_value = (
-        found.filter(F.size("near") > 0).select(F.explode(F.array_distinct(F.col("near.term"))).alias("term"))
-        .groupBy("term").agg(F.count("*").alias("term_docs"))
-    )
-    known = together.filter(F.col("contexts") >= params.contexts).join(entities, "entity").filter(F.col("entity_docs") < total)
-    pairs = materialize(
-        known.join(near_value, "term").filter(_disclosure(total) >= params.generalise).drop("term_docs"), "term-pairs"
+        valued.select(F.explode(F.array_distinct(F.col("near.term"))).alias("term")).groupBy("term").agg(F.count("*").alias("term_docs"))
     )
+    known = near.join(entities, "entity").filter(F.col("entity_docs") < total).join(near_value, "term")
+    pairs = materialize(known.filter(_possible(total, params) >= params.generalise).drop("term_docs"), "term-pairs")
     candidates = materialize(pairs.select("term").distinct(), "terms")
     words = keyed.select("key", F.explode(F.array_distinct(_terms(F.col("text")))).alias("term"))
     # counted first, within each task before the shuffle, and joined afterwards: a row per term, not per use
     counts = _joined(words.groupBy("term").agg(F.count("*").alias("term_docs")), candidates, "term", "inner", params)
-    judged = pairs.join(counts, "term")
-    terms = judged.groupBy("term").agg(F.max(_disclosure(total)).alias("disclosure")).filter(F.col("disclosure") >= params.generalise)
+    likely = materialize(pairs.join(counts, "term").filter(_possible(total, params) >= params.generalise), "likely-pairs")
+    rare = materialize(likely.select("term").distinct(), "likely-terms")
+    uses = materialize(_joined(words, rare, "term", "inner", params).select("key", "term").distinct(), "term-uses")
+    together = (
+        _joined(uses, likely.select("term", "entity"), "term", "inner", params).join(holders, ["key", "entity"])
+        .groupBy("entity", "term").agg(F.sum("rows").alias("both"), F.count("*").alias("texts"))
+    )
+    judged = likely.join(together, ["entity", "term"]).withColumn("disclosure", _disclosure(total, F.col("both"), F.col("texts"), params))
+    terms = judged.groupBy("term").agg(F.max("disclosure").alias("disclosure")).filter(F.col("disclosure") >= params.generalise)
     terms = materialize(terms, "revealing-terms")
-    uses = _joined(words, terms.select("term"), "term", "inner", params).select("key", "term").distinct()
-    return terms, materialize(uses, "term-uses")
+    return terms, _joined(uses, terms.select("term"), "term", "inner", params)
 
 
 def _added(docs: DataFrame, terms: DataFrame, uses: DataFrame, params: DisclosureParams) -> DataFrame:
@@ -204,15 +221,16 @@ def find_private(docs: DataFrame, params: DisclosureParams = DisclosureParams(),
                  text_col: str = "text") -> DataFrame:
     """doc_id, key, base and spans (arrays) of every whole text.
 
-    Base spans are personal data by pattern. Terms that disclose at least ``remove`` of the information of some protected value are
-    added as spans ``removed``, those from ``generalise`` on as spans ``general``. Null and empty texts have no spans; a null
+    Base spans are personal data by pattern. Terms that surely disclose at least ``remove`` of the information of some protected value are
+    added as spans ``removed``, those from ``generalise`` on as spans ``general``, wherever they stand. Null and empty texts have no spans; a null
     id stays null; repeated rows give repeated rows; an empty table gives an empty one; other columns are not read. Texts are
     keyed by their SHA-256, so copies share their added spans. A frequent value or term is counted map-side first.
     """
     keyed = texts(docs, id_col, text_col).withColumn("key", F.sha2("text", 256))
     based = keyed.withColumn("base", base_spans(F.col("text")))
-    near = F.when(F.size("base") > 0, _contexts(F.col("text"), F.col("base"), params))
-    found = materialize(based.select("doc_id", "key", "base", near.alias("near")), "base-spans")
+    near = F.when(F.size("base") > 0, _surroundings(F.col("text"), F.col("base"), params))
+    held = F.array_distinct(F.transform("base", _entity))
+    found = materialize(based.select("doc_id", "key", "base", held.alias("held"), near.alias("near")), "base-spans")
     terms, uses = revealing_terms(found, keyed.select("key", "text"), params)
     added = materialize(_added(keyed.select("key", "text"), terms, uses, params), "added-spans")
     spans = F.array_sort(F.concat("base", F.coalesce("added", F.array().cast(_SPANS))))
@@ -234,7 +252,8 @@ def private_digest(docs: DataFrame, params: DisclosureParams = DisclosureParams(
 
 def sanitised(docs: DataFrame, params: DisclosureParams = DisclosureParams(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, text: every text with its spans replaced: base spans by their kind, general terms by what kind of word they are, removed terms
-    by nothing. Overlapping spans become one, named after the first."""
+    by nothing. Overlapping spans become one, named after the first. Null and empty texts give empty texts, a null id stays null, repeated
+    rows give repeated rows, an empty table gives an empty one; other columns are not read."""
     spans = find_private(docs, params, id_col, text_col).select("key", "spans").groupBy("key").agg(F.first("spans").alias("spans"))
     keyed = texts(docs, id_col, text_col).withColumn("key", F.sha2("text", 256))
     some = materialize(spans.filter(F.size("spans") > 0), "all-spans")

@@ -1,4 +1,5 @@
 import hashlib
+import math
 import random
 import re
 
@@ -85,3 +86,80 @@ def test_joins_beyond_the_broadcast_bound_give_the_same(spark):
     one, other = (sorted(map(repr, private_digest(docs, DisclosureParams(broadcast_rows=n)).collect())) for n in (0, 10**6))
     assert one == other
     assert private_digest(docs.limit(0)).count() == 0 and sanitised(docs.limit(0)).count() == 0
+
+
+def terms_of(text):
+    return [t for t in re.findall(r"[^\W_]+", text.lower()) if len(t) >= 3 and re.search(r"[^\W\d_]", t)]
+
+
+def naive_terms(texts, params):
+    """Disclosure of each term by its definition: all terms beside all values, documents counted one by one."""
+    values, near = [], set()
+    for text in texts:
+        held = set()
+        for k, p in PATTERNS.items():
+            for m in re.finditer(p, text):
+                if not good(k, m[0]):
+                    continue
+                entity = (k, m[0].lower() if k == "email" else m[0] if k == "ip" else re.sub("[^0-9]", "", m[0]))
+                held.add(entity)
+                low = max(0, m.start() - params.reach)
+                left, right = terms_of(text[low : m.start()]), terms_of(text[m.end() : m.end() + params.reach])
+                left = left[1:] if low else left
+                right = right[:-1] if len(text) > m.end() + params.reach else right
+                near |= {(entity, t) for t in left[-params.window :] + right[: params.window]}
+        values.append(held)
+    words, z, out = [set(terms_of(t)) for t in texts], params.deviations, {}
+    for entity, term in near:
+        docs = [k for k in range(len(texts)) if entity in values[k]]
+        both = [k for k in docs if term in words[k]]
+        if len(docs) == len(texts):
+            continue
+        p = len(both) / sum(term in w for w in words)
+        n = len({texts[k] for k in both}) / p
+        low = (p + z * z / 2 / n - z * math.sqrt(max(0, p * (1 - p) / n) + z * z / 4 / n / n)) / (1 + z * z / n)
+        bits = math.log2(len(texts) / len(docs))
+        out[term] = max(out.get(term, -9), (math.log2(low) + bits) / bits)
+        assert low <= p + 1e-12
+    return {t: x for t, x in out.items() if x >= params.generalise}
+
+
+def added_terms(rows, texts):
+    """{lower-case term: kinds} of the added spans."""
+    out = {}
+    for row, text in zip(rows, texts):
+        for kind, a, b in (s.split(":") for s in row.spans.split(",") if s):
+            if kind in KINDS[4:]:
+                out.setdefault(text[int(a) : int(b)].lower(), set()).add(kind)
+    return out
+
+
+def test_terms_equal_a_naive_count(spark):
+    rng = random.Random(9)
+    common = [f"w{k:03d}x" for k in range(60)]
+    texts = [" ".join(rng.choice(common) for _ in range(rng.randint(5, 60))) for _ in range(500)]
+    for k in range(60):  # values in one to six texts, beside words of their own, of a few, and of all
+        value = rng.choice([f"p{k}@host.example.org", f"10.0.{k}.7", f"+1 555 {k:03d} 4567"])
+        for _ in range(rng.choice([1, 1, 2, 3, 6])):
+            parts = rng.choices(common, k=30)
+            parts[rng.randint(3, 26)] = f"{value}"
+            for word in (f"own{k}", f"few{k % 7}", f"away{k}"):
+                parts.insert(rng.randint(0, len(parts)), word)
+            texts.append(" ".join(parts))
+    texts += [texts[-1]] * 40  # copies add no confidence
+    texts += [f"{rng.choice(common)} own{k} alone" for k in range(0, 60, 5)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for params in (DisclosureParams(), DisclosureParams(generalise=0.5, remove=0.7, broadcast_rows=0)):
+        want = naive_terms(texts, params)
+        got = added_terms(sorted(private_digest(docs, params).collect(), key=lambda r: r.doc_id), texts)
+        assert {t: {KINDS[5] if x >= params.remove else KINDS[4]} for t, x in want.items()} == got
+        assert any(t.startswith("own") for t in got) and not any(t.startswith("w0") for t in got)
+
+
+def test_whole_table_gains_terms_that_a_naive_count_confirms(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    rows = sorted(private_digest(docs).collect(), key=lambda r: r.doc_id)
+    text_of = {r.doc_id: r.text or "" for r in docs.collect()}
+    texts = [text_of[r.doc_id] for r in rows]
+    want = naive_terms(texts, DisclosureParams())
+    assert sum(r.n_terms for r in rows) > 0 and set(added_terms(rows, texts)) == set(want)

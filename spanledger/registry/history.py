@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from spanledger.functions import ntz
 from spanledger.operators import change_data as D
 from spanledger.operators.audit import LOG_SCHEMA
+from spanledger.operators.digests import DigestedTable, capture_by_digest, whole_number_range
 from spanledger.registry import sql_inputs  # noqa: F401
 from spanledger.registry.base import case
 from spanledger.registry.sql_inputs import HISTORY_COLUMNS, OPEN
@@ -56,6 +57,15 @@ def _(spark, sf):
     return D.capture_changes(X.old_snapshot(spark, sf), X.new_snapshot(spark, sf), ["o_orderkey"], ntz(STAMP))
 
 
+@case("capture_changes_by_digest", CAPTURED)
+def _(spark, sf):
+    snapshots = X.old_snapshot(spark, sf), X.new_snapshot(spark, sf)
+    low, high = snapshots[0].agg(F.min("o_orderkey"), F.max("o_orderkey")).first()
+    of = whole_number_range("o_orderkey", low or 0, high or 0, 64)
+    old, new = (DigestedTable.write(df, df.columns, of) for df in snapshots)
+    return capture_by_digest(spark, old, new, ["o_orderkey"], ntz(STAMP))
+
+
 @case(
     "metadata_snapshot_history",
     f"""SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority, valid_from_dttm,

@@ -9,6 +9,7 @@ from spanledger.functions import ntz
 from spanledger.operators import change_data as D
 from spanledger.operators.audit import LOG_SCHEMA, append_audit, audit_rows, audit_view
 from spanledger.operators.calendar import dim_date
+from spanledger.operators.digests import DigestedTable, difference_by_digest, whole_number_range
 from spanledger.plans import requests as R
 from spanledger.plans.accounts import describe_accounts
 from spanledger.registry import sql_inputs  # noqa: F401
@@ -159,16 +160,20 @@ def _(spark, sf):
     return _rounded(R.corr_matrix(work(spark, sf), F.lit(X.AS_OF).cast("date"), strict=True))
 
 
+#: Key ranges of a table compared by digests.
+RANGES = 64
+
+
 def _reconcile(spark, sf):
     recovered = D.current_state(loaded(spark, sf).history)
     return recovered, X.request_source(X.feed(spark, sf))
 
 
-@case(
-    "reconcile_full",
-    """SELECT 'report' AS source, a.* FROM recovered a EXCEPT SELECT 'report' AS source, b.* FROM fx_source b
-UNION SELECT 'src' AS source, b.* FROM fx_source b EXCEPT SELECT 'src' AS source, a.* FROM recovered a""",
-)
+RECONCILED = """SELECT 'report' AS source, a.* FROM recovered a EXCEPT SELECT 'report' AS source, b.* FROM fx_source b
+UNION SELECT 'src' AS source, b.* FROM fx_source b EXCEPT SELECT 'src' AS source, a.* FROM recovered a"""
+
+
+@case("reconcile_full", RECONCILED)
 def _(spark, sf):
     return R.difference_full(*_reconcile(spark, sf))
 
@@ -184,6 +189,15 @@ def _(spark, sf):
     return R.difference_partial(*_reconcile(spark, sf))
 
 
+@case("reconcile_full_by_digest", RECONCILED)
+def _(spark, sf):
+    recovered, source = _reconcile(spark, sf)
+    low, high = source.agg(F.min("id"), F.max("id")).first()
+    of = whole_number_range("id", low or 0, high or 0, RANGES)
+    a, b = (DigestedTable.write(df, ["id", "status_nm", "create_dttm", "update_dttm"], of) for df in (recovered, source))
+    return difference_by_digest(spark, a, b)
+
+
 @case(
     "account_descr",
     """SELECT account_rk, counterparty_rk, account_currency_cd,

@@ -19,8 +19,8 @@ from spanledger.session import materialize
 SEGMENTS = (22, 21, 21)
 RADIUS = 1
 MAX_BITS = 4
-#: Rows of one table entry in one task; beyond it the entry is cut.
-SPLIT_ROWS = 1_000_000
+#: About how many rows of one table entry, and how many that probe it, meet in one task; beyond it either side is cut.
+SPLIT_ROWS = 1 << 18
 _DENSE = 64
 _TILE = 2_000_000
 _CHUNK = 1 << 16
@@ -170,27 +170,52 @@ def hamming_links(fps: DataFrame, split_rows: int = SPLIT_ROWS) -> DataFrame:
     """a, b: links between distinct values ``fp`` at no more than 4 differing bits, enough to connect what all links connect.
 
     Multi-index hashing: every value is a table row in three segment tables and probes each with a Hamming ball of radius 1;
-    full distances are then compared. A table entry of more than ``split_rows`` rows is cut into pieces by value, each probed
-    by all that probe the entry.
+    full distances are then compared. Of a table entry of many rows, and of those that probe it, each piece of the one side meets each
+    piece of the other in a group of its own, so that no task holds more than a few times ``split_rows``.
     """
-    probes = _probes(fps)
-    # at most one row for split_rows table rows
-    hot = (
-        probes.filter("home").groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > split_rows)
-        .select("key", F.ceil(F.col("n") / split_rows).cast("int").alias("pieces"))
-    )
-    cut = (
-        probes.join(F.broadcast(hot), "key", "left")
-        .withColumn("piece", F.explode(F.sequence(F.lit(0), F.coalesce("pieces", F.lit(1)) - 1)))
-        .withColumn(
-            "home", F.col("home") & (F.col("piece") == F.pmod(F.xxhash64("fp"), F.coalesce("pieces", F.lit(1)).cast("long")))
-        )
-    )
-    grouped = cut.select("key", "piece", "home", "fp").repartition("key", "piece")
-    ordered = grouped.sortWithinPartitions("key", "piece", F.desc("home"))
+    ordered = _entries(_probes(fps), split_rows).repartition("key", "piece").sortWithinPartitions("key", "piece", F.desc("home"))
     return ordered.mapInArrow(_links_of, "a long, b long")
 
 
+def _hot_entries(probes: DataFrame, split_rows: int) -> DataFrame:
+    """key, home_pieces, probe_pieces of the entries to cut. Counts are by segment value, at most 2**23 whatever the corpus.
+
+    The rows that probe an entry are the table rows of the values in its ball. Values of few rows cannot make an entry hot
+    together, so only the others are spread over their balls; a count is short by less than ``split_rows``.
+    """
+    few = split_rows / (max(SEGMENTS) + 1)
+    counts = probes.filter("home").groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > few)
+    bits = F.get(F.array(*map(F.lit, SEGMENTS)), F.shiftright("key", 24).cast("int"))
+    flips = F.array(*[F.lit(x).cast("long") for x in (0, *(1 << b for b in range(max(SEGMENTS))))])
+    around = counts.select("key", "n", F.explode(F.slice(flips, F.lit(1), bits + 1)).alias("flip"))
+    sized = around.groupBy(F.col("key").bitwiseXOR(F.col("flip")).alias("key")).agg(
+        F.greatest(F.lit(1), F.ceil(F.max(F.when(F.col("flip") == 0, F.col("n"))) / split_rows)).cast("int").alias("home_pieces"),
+        F.ceil(F.sum("n") / split_rows).cast("int").alias("probe_pieces"),
+    )
+    return sized.filter("home_pieces > 1 OR probe_pieces > 1")
+
+
+def _entries(probes: DataFrame, split_rows: int, broadcast_rows: int = 200_000) -> DataFrame:
+    """key, piece, home, fp: the groups in which table rows (home) and probing rows meet. In a cut entry a table row is home in all groups of
+    its own piece of the homes, and probes the other pieces of them."""
+    hot = materialize(_hot_entries(probes, split_rows), "hot-entries")
+    cut = probes.join(F.broadcast(hot) if hot.count() <= broadcast_rows else hot, "key", "left")
+    homes, others = F.col("home_pieces"), F.col("probe_pieces")
+    own_home = F.pmod(F.xxhash64("fp"), homes).cast("int")
+    own_other = F.pmod(F.xxhash64("fp", F.lit(1)), others).cast("int")
+
+    def group(h, p, home):
+        return F.struct((h * others + p).cast("int").alias("piece"), F.lit(home).alias("home"))
+
+    as_home = F.transform(F.sequence(F.lit(0), others - 1), lambda p: group(own_home, p, True))
+    pieces = F.sequence(F.lit(0), homes - 1)
+    rest = F.when(F.col("home"), F.array_except(pieces, F.array(own_home))).otherwise(pieces)
+    as_other = F.transform(rest, lambda h: group(h, own_other, False))
+    whole = F.array(F.struct(F.lit(0).alias("piece"), F.col("home").alias("home")))
+    met = F.when(homes.isNull(), whole).when(F.col("home"), F.concat(as_home, as_other)).otherwise(as_other)
+    return cut.select("key", "fp", F.explode(met).alias("g")).select("key", "g.piece", "g.home", "fp")
+
+
 def _classes(marked: DataFrame) -> DataFrame:
     """fp, root (one fingerprint of its group) for every distinct fingerprint."""
     fps = materialize(marked.select("fp").distinct(), "distinct-fingerprints")

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from spanledger.llm.simhash import fingerprint, hamming_links, near_duplicates
+from spanledger.llm.simhash import _entries, _probes, fingerprint, hamming_links, near_duplicates
 
 
 def slow_fingerprint(text):
@@ -39,7 +39,7 @@ def test_fingerprint():
         assert fingerprint(text) == slow_fingerprint(text), text[:20]
 
 
-@pytest.mark.parametrize("split_rows", [3, 1_000_000])
+@pytest.mark.parametrize("split_rows", [3, 40, 1_000_000])
 def test_links_connect_what_all_links_connect(spark, split_rows):
     rng = random.Random(5)
     values = [rng.getrandbits(64) for _ in range(150)]
@@ -87,3 +87,24 @@ def test_table_of_odd_rows(spark):
     want = [(doc_id, f"{m:016x}", least.get(root)) for (doc_id, _), m, root in zip(rows, marks, roots)]
     assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
     assert near_duplicates(docs.limit(0)).count() == 0
+
+
+def test_both_sides_of_a_hot_entry_are_cut(spark):
+    rng = random.Random(8)
+    hot = 12345
+    values = {rng.getrandbits(41) << 22 | hot for _ in range(300)}  # table rows of one entry
+    values |= {rng.getrandbits(41) << 22 | (hot ^ 1 << rng.randrange(22)) for _ in range(900)}  # that probe it
+    split = 50
+    probes = _probes(spark.createDataFrame([(v,) for v in values], "fp long"))
+    groups = {}
+    for r in _entries(probes, split).collect():
+        groups.setdefault((r.key, r.piece), []).append((r.fp, r.home))
+    assert max(len(g) for g in groups.values()) <= 4 * split
+    # every table row of the entry meets every other row of it, as home on one side at least
+    met = set()
+    for (key, _), rows in groups.items():
+        if key == hot:
+            homes = [fp for fp, home in rows if home]
+            met |= {(a, fp) for a in homes for fp, _ in rows if a != fp}
+    inside = [v for v in values if v & (1 << 22) - 1 == hot]
+    assert all((a, b) in met for a in inside for b in values - {a} if bin((a ^ b) & (1 << 22) - 1).count("1") <= 1)

@@ -28,6 +28,27 @@ def build_session(app: str = "spanledger", master: str | None = None, **conf: st
     return builder.getOrCreate()
 
 
+# sides of a join that are partitioned by some of its columns alike stay where they are
+JOINS_IN_PLACE = {"spark.sql.requireAllClusterKeysForCoPartition": "false"}
+NO_BROADCAST = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+
+
+@contextmanager
+def settings(spark: SparkSession, **conf: str) -> Iterator[None]:
+    """Session settings for the actions run within the block."""
+    before = {name: spark.conf.get(name, None) for name in conf}
+    try:
+        for name, value in conf.items():
+            spark.conf.set(name, value)
+        yield
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach: ``spark.checkpoint.dir``.
 

@@ -105,3 +105,22 @@ def test_tagged_difference(spark):
     b = spark.createDataFrame([(1, "x"), (2, None), (4, "d")], "id int, v string")
     got = sorted(tuple(r) for r in Q.tagged_difference(a, b, ["id", "v"]).collect())
     assert got == [("report", 3, "c"), ("src", 4, "d")]
+
+
+def test_quality_run_joins_without_broadcast(spark, monkeypatch):
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before, seen = spark.conf.get(name), []
+    plain = Q.history_overlap_rows
+
+    def watched(*args):
+        seen.append(spark.conf.get(name))
+        return plain(*args)
+
+    monkeypatch.setattr(Q, "history_overlap_rows", watched)
+    rows = [(1, "a", "t", day(0), day(5), False, True, True), (2, "a", "t", day(3), day(9), False, True, True)]
+    columns = """mdm_customer_rk long, phone_num string, phone_type_cd string, business_start_dt date, business_end_dt date,
+        duplication_flg boolean, main_dup_flg boolean, main_phone_flg boolean"""
+    found = dict(Q.quality_run(spark.createDataFrame(rows, columns), F.lit(day(4))).collect())
+    assert seen == ["-1"] and spark.conf.get(name) == before
+    assert found["check_duplicate_flag"] == 2 and found["check_single_main_customer"] == 2
+    assert found["check_history_overlaps"] == 0 and found["check_future_versions"] == 0

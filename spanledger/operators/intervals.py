@@ -3,7 +3,7 @@
 Intervals are half-open unless a function says otherwise. Windows run over *distinct points* of a key, not over its
 rows: for dates their number is bounded by the calendar, for timestamps hot keys are cut into time slots. The running counts and
 extremes of the overlap tests (``other_owner_*``, ``overlap_*``) are the exception: on timestamps, all distinct points of a key
-pass through one window.
+pass through one window. ``other_owner_*`` cut hot keys into slots for them.
 """
 
 from __future__ import annotations
@@ -27,7 +27,6 @@ from spanledger.scale import (
 )
 
 BEFORE = Window.unboundedPreceding
-AFTER = Window.unboundedFollowing
 
 
 def temporal_join(
@@ -100,12 +99,15 @@ def next_value(
     return done.unionByName(lead_in_slots(hot, keys, at, out).drop("_slot"))
 
 
-def _by_heat(df: DataFrame, keys: Sequence[str], at: str, policy: SkewPolicy) -> tuple[DataFrame, DataFrame | None]:
-    """Split off hot keys and give them ``_slot``. Distinct dates of a key are few whatever the number of rows."""
+def _by_heat(
+    df: DataFrame, keys: Sequence[str], at: str, policy: SkewPolicy, counted: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame | None]:
+    """Split off hot keys and give them ``_slot``. Distinct dates of a key are few whatever the number of rows.
+    ``counted``: a relation that is cheaper to count, whose hot keys are those of ``df``."""
     slot = time_slot(df, at, policy)  # refuses other types at any size
     if isinstance(df.schema[at].dataType, T.DateType):
         return df, None
-    ordinary, hot = split_hot(df, keys, policy)
+    ordinary, hot = split_hot(df, keys, policy, counted)
     return ordinary, None if hot is None else hot.withColumn("_slot", slot)
 
 
@@ -333,12 +335,50 @@ def coalesce_intervals_global(
 # --- overlap tests -------------------------------------------------------------------------------------------------
 
 
-def _owner_counts(valid: DataFrame, key: str, owner: str, start: str, end: str) -> DataFrame:
+def _running(
+    points: DataFrame,
+    key: str,
+    at: str,
+    value: str,
+    out: str,
+    policy: SkewPolicy,
+    counted: DataFrame,
+    least_later: bool = False,
+) -> DataFrame:
+    """Add ``out``: the sum of ``value`` over the key's points up to each, or with ``least_later`` its minimum from each on.
+
+    Frames grow from the first row of their order, as Spark evaluates a frame up to the last row anew for every row. Hot
+    keys go slot by slot, each slot with what the slots before it in the order come to.
+    """
+
+    def ahead(column: str) -> Column:
+        return F.col(column).desc() if least_later else F.col(column).asc()
+
+    fold = F.min if least_later else F.sum
+    ordinary, hot = _by_heat(points, [key], at, policy, counted)
+    upto = Window.partitionBy(key).orderBy(ahead(at)).rowsBetween(BEFORE, 0)
+    done = ordinary.withColumn(out, fold(value).over(upto))
+    if hot is None:
+        return done
+    earlier = Window.partitionBy(key).orderBy(ahead("_slot")).rowsBetween(BEFORE, -1)
+    carried = hot.groupBy(key, "_slot").agg(fold(value).alias("_part")).select(
+        F.col(key).alias("_key"), F.col("_slot").alias("_of"), fold("_part").over(earlier).alias("_carry")
+    )
+    within = fold(value).over(Window.partitionBy(key, "_slot").orderBy(ahead(at)).rowsBetween(BEFORE, 0))
+    carry = F.col("_carry")
+    whole = F.least(within, carry) if least_later else within + F.coalesce(carry, F.lit(0))
+    joined = hot.join(carried, (F.col(key) == F.col("_key")) & (F.col("_slot") == F.col("_of")))
+    return done.unionByName(joined.withColumn(out, whole).select(*done.columns))
+
+
+def _owner_counts(
+    valid: DataFrame, key: str, owner: str, start: str, end: str, policy: SkewPolicy = DEFAULT_POLICY
+) -> DataFrame:
     """Per key and start or end point of its rows: ``_owners``, how many distinct owners are active from ``_at`` on.
 
     Owners' intervals are merged first, so a running sum of +1/-1 counts distinct owners.
     """
-    merged = coalesce_intervals(valid.select(key, owner, start, end), [key, owner], start, end)
+    merged = coalesce_intervals(valid.select(key, owner, start, end), [key, owner], start, end, policy)
     # a column of its own for the key: only then does the union see that both sides may be partitioned alike
     own = F.col(key).alias(key)
     steps = merged.select(
@@ -352,22 +392,26 @@ def _owner_counts(valid: DataFrame, key: str, owner: str, start: str, end: str)
     )
     asked = valid.select(own, F.explode(F.array(start, end)).alias("_at"), F.lit(0).alias("_step"))
     points = steps.unionByName(asked).groupBy(key, "_at").agg(F.sum("_step").alias("_step"))
-    upto = Window.partitionBy(key).orderBy("_at").rowsBetween(BEFORE, 0)
-    return points.select(key, "_at", F.sum("_step").over(upto).alias("_owners"))
+    return _running(points, key, "_at", "_step", "_owners", policy, valid.select(key)).select(key, "_at", "_owners")
 
 
-def other_owner_spans(df: DataFrame, key: str, owner: str, start: str, end: str) -> DataFrame:
+def other_owner_spans(
+    df: DataFrame, key: str, owner: str, start: str, end: str, policy: SkewPolicy = DEFAULT_POLICY
+) -> DataFrame:
     """Per key and day point: ``_shared_from``, the first point at or after it from which two owners overlap."""
     valid = df.filter((F.col(start) < F.col(end)) & F.col(key).isNotNull() & F.col(owner).isNotNull())
-    counts = _owner_counts(valid, key, owner, start, end)
-    following = Window.partitionBy(key).orderBy("_at").rowsBetween(0, AFTER)
-    shared = F.when(F.col("_owners") > 1, F.col("_at"))
-    return counts.select(key, "_at", F.min(shared).over(following).alias("_shared_from"))
+    counts = _owner_counts(valid, key, owner, start, end, policy)
+    shared = counts.select(key, "_at", F.when(F.col("_owners") > 1, F.col("_at")).alias("_shared"))
+    return _running(shared, key, "_at", "_shared", "_shared_from", policy, valid.select(key), least_later=True).select(
+        key, "_at", "_shared_from"
+    )
 
 
-def other_owner_overlap(df: DataFrame, key: str, owner: str, start: str, end: str) -> DataFrame:
+def other_owner_overlap(
+    df: DataFrame, key: str, owner: str, start: str, end: str, policy: SkewPolicy = DEFAULT_POLICY
+) -> DataFrame:
     """Distinct (key, start, end) for which another owner holds the key at an overlapping time."""
-    shared = other_owner_spans(df, key, owner, start, end).withColumnsRenamed({key: "_key"})
+    shared = other_owner_spans(df, key, owner, start, end, policy).withColumnsRenamed({key: "_key"})
     rows = df.filter(F.col(owner).isNotNull()).select(key, start, end).distinct()
     on = (F.col(key) == F.col("_key")) & (F.col(start) == F.col("_at")) & (F.col("_shared_from") < F.col(end))
     return rows.join(shared, on, "left_semi")
@@ -496,12 +540,12 @@ def overlap_classify(
         known = known & F.col(k).isNotNull()
     spans = df.filter(known).groupBy(*keys, start, end).agg(F.count(F.lit(1)).alias("_copies"))
 
-    order = Window.partitionBy(*keys).orderBy(start)
+    order, back = Window.partitionBy(*keys).orderBy(start), Window.partitionBy(*keys).orderBy(F.col(start).desc())
     reach = (
         spans.groupBy(*keys, start)
         .agg(F.max(end).alias("_longest"), F.min(end).alias("_shortest"))
         .withColumn("_earlier_end", F.max("_longest").over(order.rowsBetween(BEFORE, -1)))
-        .withColumn("_later_end", F.min("_shortest").over(order.rowsBetween(1, AFTER)))
+        .withColumn("_later_end", F.min("_shortest").over(back.rowsBetween(BEFORE, -1)))
     )
 
     points = spans.select(*keys, F.explode(F.array(start, end)).alias("_at")).distinct()
@@ -606,16 +650,17 @@ def merge_flagged(
     segs = _segment_flags(valid, key, start, end, weight, owner)
     segs = segs if keep is None else keep(segs)
     alike = Window.partitionBy(key, "_shared").orderBy("_from")
+    alike_back = Window.partitionBy(key, "_shared").orderBy(F.col("_from").desc())
     pointed = (
         segs.withColumn("_run_begins", ~F.col("_best").eqNullSafe(F.lag("_best").over(alike)))
         .withColumn("_run_ends", ~F.col("_best").eqNullSafe(F.lead("_best").over(alike)))
         .withColumn(
-            "_skip_on", F.min(F.when(F.col("_run_begins"), F.col("_from"))).over(alike.rowsBetween(1, AFTER))
+            "_skip_on", F.min(F.when(F.col("_run_begins"), F.col("_from"))).over(alike_back.rowsBetween(BEFORE, -1))
         )
         .withColumn("_skip_back", F.max(F.when(F.col("_run_ends"), F.col("_to"))).over(alike.rowsBetween(BEFORE, -1)))
     )
-    order = Window.partitionBy(key).orderBy("_from")
-    forward, backward = order.rowsBetween(0, AFTER), order.rowsBetween(BEFORE, 0)
+    forward = Window.partitionBy(key).orderBy(F.col("_from").desc()).rowsBetween(BEFORE, 0)
+    backward = Window.partitionBy(key).orderBy("_from").rowsBetween(BEFORE, 0)
     on = F.struct(F.col("_from").alias("at"), F.col("_best").alias("best"), F.col("_skip_on").alias("skip"))
     back = F.struct(F.col("_to").alias("at"), F.col("_best").alias("best"), F.col("_skip_back").alias("skip"))
     kinds = [False] if owner is None else [False, True]

@@ -96,3 +96,22 @@ def test_reversed_rows_cover_nothing(spark):
     kept = [r for r in rows if r[3] >= r[2]]
     both = [sorted(map(tuple, iv.coalesce_intervals(spark.createDataFrame(x, SCHEMA), ["k", "owner"], "a", "b").collect())) for x in (rows, kept)]
     assert both[0] == both[1] and len(kept) < len(rows)
+
+
+@pytest.mark.parametrize("seed", [9, 10])
+def test_owners_of_hot_keys(spark, policy, seed):
+    rows = periods(seed)
+    found = iv.other_owner_overlap(spark.createDataFrame(rows, SCHEMA), "k", "owner", "a", "b", policy).collect()
+    owned = [r for r in rows if r[1] is not None]
+    assert {tuple(r) for r in found} == {
+        (p[0], p[2], p[3])
+        for p in owned
+        if any(p[0] == q[0] and p[1] != q[1] and max(p[2], q[2]) < min(p[3], q[3]) for q in owned)
+    }
+
+
+def test_no_frame_up_to_the_last_row(spark):
+    """Spark evaluates such a frame anew for every row, which is quadratic in the points of a key."""
+    df = spark.createDataFrame(periods(11), SCHEMA)
+    for made in (iv.other_owner_overlap(df, "k", "owner", "a", "b"), iv.overlap_classify(df, ["k"], "a", "b")):
+        assert "unboundedfollowing" not in made._jdf.queryExecution().executedPlan().toString().lower()

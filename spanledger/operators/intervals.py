@@ -18,7 +18,7 @@ from pyspark.sql.window import Window
 from spanledger.scale import (
     DEFAULT_POLICY,
     SkewPolicy,
-    hot_keys,
+    found_hot_keys,
     mark_hot,
     salted_join,
     slot_number,
@@ -58,7 +58,7 @@ def temporal_join(
     columns = [low.alias(c) if c == start else high.alias(c) if c == end else F.col(c) for c in left.columns]
 
     keys, others = list(on), [f"_on_{i}" for i in range(len(on))]
-    hot = hot_keys(left, keys, policy)
+    hot = found_hot_keys(left, keys, policy)
     if hot is None:
         return left.join(r, condition, "inner").select(*columns, *keep_right)
     is_hot = F.col("_pieces").isNotNull()
@@ -604,8 +604,10 @@ def _day(name: str) -> Column:
 
 def _segment_flags(valid: DataFrame, key: str, start: str, end: str, weight: str, owner: str | None) -> DataFrame:
     """Elementary segments that hold a row: ``_from``, ``_to``, ``_best`` (largest weight active), ``_shared`` (two
-    owners active). Rows are reduced to distinct intervals and cut into day blocks; segments look their blocks up."""
-    spans = valid.groupBy(key, start, end).agg(F.max(weight).alias("_w"))
+    owners active). Rows are reduced to distinct intervals and cut into day blocks; segments look their blocks up.
+
+    The distinct intervals are dealt by key, so that blocks, segments and, with ``JOINS_IN_PLACE``, lookups stay where they are."""
+    spans = valid.groupBy(key, start, end).agg(F.max(weight).alias("_w")).repartition(key)
     covered = (
         _cut_into_blocks(
             spans.select(key, "_w", _day(start).alias("_first"), (_day(end) - 1).alias("_last")), "_first", "_last"

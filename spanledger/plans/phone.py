@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,7 +18,7 @@ from spanledger.operators.intervals import (
 )
 from spanledger.operators.ranking import row_number_by
 from spanledger.scale import DEFAULT_POLICY, SkewPolicy
-from spanledger.session import materialize
+from spanledger.session import JOINS_IN_PLACE, materialize, settings
 
 START, END = "business_start_dt", "business_end_dt"
 SCORES = ["range_trust_num", "range_quality_num", "range_src_num", "range_type_num"]
@@ -241,22 +243,37 @@ class PhoneMart:
         policy: SkewPolicy = DEFAULT_POLICY,
     ):
         self.policy = policy
-        self.customers = individual_customers(counterparty, types)
-        self.resolved = resolve_global_id(contact, cross_reference)
-        self.contacts = individual_contacts(self.resolved, self.customers)
+        self._tables = counterparty, types, contact, cross_reference
         self._kept: dict[str, DataFrame] = {}
 
+    @cached_property
+    def customers(self) -> DataFrame:
+        return individual_customers(*self._tables[:2])
+
+    @cached_property
+    def resolved(self) -> DataFrame:
+        return resolve_global_id(*self._tables[2:])
+
+    @cached_property
+    def contacts(self) -> DataFrame:
+        return individual_contacts(self.resolved, self.customers)
+
     def _keep(self, name: str, build) -> DataFrame:
         if name not in self._kept:
             self._kept[name] = materialize(build(), name)
         return self._kept[name]
 
+    def _keep_segments(self, name: str, segs: DataFrame) -> DataFrame:
+        """The lookups of a segment table go by its key, by which both their sides are dealt already."""
+        with settings(segs.sparkSession, **JOINS_IN_PLACE):
+            return self._keep(name, lambda: segs)
+
     def ranked(self) -> DataFrame:
-        def build():
-            listed = self.contacts.filter(F.col("src_cd").isin(C.CONTACT_SOURCES))
-            return rank_contacts(self._keep("contacts", lambda: listed), self.policy)
+        def listed() -> DataFrame:
+            resolved = self._keep("resolved", lambda: self.resolved)
+            return individual_contacts(resolved, self.customers).filter(F.col("src_cd").isin(C.CONTACT_SOURCES))
 
-        return self._keep("ranked", build)
+        return self._keep("ranked", lambda: rank_contacts(self._keep("contacts", listed), self.policy))
 
     def phone_segments(self) -> DataFrame:
         return self._keep("phone_segments", lambda: phone_segments(self.ranked(), self.policy))
@@ -266,7 +283,7 @@ class PhoneMart:
 
     def phones(self) -> DataFrame:
         def build():
-            return phone_coalesce(self.ranked(), lambda segs: self._keep("phone_flags", lambda: segs), self.policy)
+            return phone_coalesce(self.ranked(), lambda segs: self._keep_segments("phone_flags", segs), self.policy)
 
         return self._keep("phones", build)
 
@@ -277,4 +294,4 @@ class PhoneMart:
         return client_fragments(self.phones(), self.client_segments(), self.policy)
 
     def mart(self) -> DataFrame:
-        return publish(self.phones(), lambda segs: self._keep("client_flags", lambda: segs), self.policy)
+        return publish(self.phones(), lambda segs: self._keep_segments("client_flags", segs), self.policy)

@@ -53,6 +53,12 @@ def hot_keys(df: DataFrame, keys: Sequence[str], policy: SkewPolicy = DEFAULT_PO
     )
 
 
+def found_hot_keys(df: DataFrame, keys: Sequence[str], policy: SkewPolicy = DEFAULT_POLICY) -> DataFrame | None:
+    """As ``hot_keys``, but None also if counting finds no such key: a split plan would only read and shuffle the table more often."""
+    hot = hot_keys(df, keys, policy)
+    return None if hot is None or hot.isEmpty() else hot
+
+
 def mark_hot(df: DataFrame, hot: DataFrame | None, keys: Sequence[str]) -> DataFrame:
     """Add ``_pieces`` (NULL for ordinary keys). The broadcast list is bounded by the policy's ``share``."""
     if hot is None:
@@ -78,7 +84,7 @@ def salted_join(
     should be small per key. ``residual`` may name any non-key column, which must differ between the sides. ``counted``:
     a stored table with the same keys per row to look for hot keys in.
     """
-    hot = hot_keys(left if counted is None else counted, keys, policy)
+    hot = found_hot_keys(left if counted is None else counted, keys, policy)
     renamed = {k: f"_r_{k}" for k in keys}
     on = F.lit(True)
     for k in keys:
@@ -100,6 +106,13 @@ def salted_join(
     )
 
 
+def in_bounded_parts(df: DataFrame, keys: Sequence[str], total: int, rows: int) -> DataFrame:
+    """Deal the ``total`` rows by ``keys`` into partitions of about ``rows`` rows, however many that makes. Adaptive execution sizes partitions
+    by their packed bytes, which say little of what the sorts and windows of a task hold. Few rows stay as they are."""
+    parts = -(-total // rows)
+    return df.repartition(parts, *keys) if parts > 1 else df
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Broadcast hint only when the row count was checked; beyond the bound the join shuffles both sides."""
     return F.broadcast(df) if df.count() <= max_rows else df
@@ -110,7 +123,7 @@ def split_hot(
 ) -> tuple[DataFrame, DataFrame | None]:
     """Rows of ordinary keys and rows of hot keys (None if there cannot be any), so that only the latter pay for
     being split. ``counted``: a stored table with the same keys per row to look for hot keys in."""
-    hot = hot_keys(df if counted is None else counted, keys, policy)
+    hot = found_hot_keys(df if counted is None else counted, keys, policy)
     if hot is None:
         return df, None
     marked = mark_hot(df, hot, keys)

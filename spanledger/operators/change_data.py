@@ -20,7 +20,7 @@ from spanledger.operators.intervals import (
     next_value,
 )
 from spanledger.operators.quality import duplicate_keys
-from spanledger.scale import DEFAULT_POLICY, SkewPolicy, broadcast_if_small, split_hot, time_slot
+from spanledger.scale import DEFAULT_POLICY, SkewPolicy, broadcast_if_small, in_bounded_parts, split_hot, time_slot
 from spanledger.session import materialize
 
 FEED = ["id", "status_nm", "create_dttm", "update_dttm", "operation", "stamp"]
@@ -204,12 +204,21 @@ def coalesce_versions(history: DataFrame, policy: SkewPolicy = DEFAULT_POLICY) -
 
 
 def close_and_coalesce(
-    versions: DataFrame, close: str = "open_only", key: Sequence[str] = ("hash_key",), policy: SkewPolicy = DEFAULT_POLICY
+    versions: DataFrame,
+    close: str = "open_only",
+    key: Sequence[str] = ("hash_key",),
+    policy: SkewPolicy = DEFAULT_POLICY,
+    task_rows: int | None = None,
 ) -> DataFrame:
-    """Both steps; ordinary keys need one shuffle for them, hot keys go by time slots."""
+    """Both steps; ordinary keys need one shuffle for them, hot keys go by time slots.
+
+    ``task_rows``: about how many rows of ordinary keys one task may hold, for ``versions`` that are a stored table.
+    """
     keys = list(key)
     attributes = [c for c in versions.columns if c not in (FROM, TO)]
     ordinary, hot = split_hot(versions, keys, policy)
+    if task_rows is not None:
+        ordinary = in_bounded_parts(ordinary, keys, versions.count(), task_rows)
     led = ordinary.withColumn("_next", F.lead(FROM).over(Window.partitionBy(*keys).orderBy(FROM)))
     done = coalesce_whole(_end_versions(led, close), attributes, FROM, TO)
     if hot is not None:

@@ -16,6 +16,10 @@ from spanledger.session import materialize
 from spanledger.sources.tables import snapshot_transfer
 
 
+# a version goes through two windows and two aggregates of one task, some 2 KB with all columns of a metadata table
+VERSIONS_PER_TASK = 250_000
+
+
 @dataclass(frozen=True)
 class SnapshotTable:
     """A table copied as a whole on every run: the columns to copy and the key its history follows."""
@@ -61,4 +65,4 @@ def snapshot_history(
     if history is not None:
         versions = history.unionByName(versions)
     versions = materialize(versions, "snapshot-versions")
-    return close_and_coalesce(versions, key=key, policy=policy)
+    return close_and_coalesce(versions, key=key, policy=policy, task_rows=VERSIONS_PER_TASK)

@@ -19,6 +19,7 @@ from spanledger.scale import (
     DEFAULT_POLICY,
     SkewPolicy,
     found_hot_keys,
+    in_bounded_parts,
     mark_hot,
     salted_join,
     slot_number,
@@ -602,12 +603,17 @@ def _day(name: str) -> Column:
     return (F.unix_date(F.col(name)) + _DAY_SHIFT).cast("long")
 
 
+# each gives two segments and these a row for every block size
+SPANS_PER_TASK = 100_000
+
+
 def _segment_flags(valid: DataFrame, key: str, start: str, end: str, weight: str, owner: str | None) -> DataFrame:
     """Elementary segments that hold a row: ``_from``, ``_to``, ``_best`` (largest weight active), ``_shared`` (two
     owners active). Rows are reduced to distinct intervals and cut into day blocks; segments look their blocks up.
 
     The distinct intervals are dealt by key, so that blocks, segments and, with ``JOINS_IN_PLACE``, lookups stay where they are."""
     spans = valid.groupBy(key, start, end).agg(F.max(weight).alias("_w")).repartition(key)
+    spans = in_bounded_parts(spans, [key], valid.count(), SPANS_PER_TASK)
     covered = (
         _cut_into_blocks(
             spans.select(key, "_w", _day(start).alias("_first"), (_day(end) - 1).alias("_last")), "_first", "_last"

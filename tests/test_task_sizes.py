@@ -23,7 +23,7 @@ def test_versions_are_dealt_into_bounded_parts(spark):
     assert sorted(dealt.collect()) == sorted(close_and_coalesce(df, "all", ["k"]).collect())
 
 
-def test_segment_lookups_stay_where_they_are(spark):
+def test_segment_lookups_stay_where_they_are(spark, monkeypatch):
     first = date(2024, 1, 1)
     rows = [(k, i % 2, first + timedelta(days=i), first + timedelta(days=i + 5), i) for k in range(4) for i in range(6)]
     df = spark.createDataFrame(rows, "k long, o long, s date, e date, w long")
@@ -32,6 +32,11 @@ def test_segment_lookups_stay_where_they_are(spark):
         assert "hashpartitioning(k" in plan(segs) and plan(segs).count("Exchange") <= 4
         assert not any("Exchange" in line and "level" in line for line in plan(segs).splitlines())
         assert segs.count() == 4 * 10
+        monkeypatch.setattr(iv, "SPANS_PER_TASK", 6)
+        dealt = iv._segment_flags(df, "k", "s", "e", "w", "o")
+        assert ", 4), REPARTITION_BY_NUM" in plan(dealt)
+        bounded = sorted(dealt.collect())
+    assert bounded == sorted(iv._segment_flags(df, "k", "s", "e", "w", "o").collect())
 
 
 def test_no_hot_key_found(spark):

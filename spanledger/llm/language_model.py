@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from spanledger.llm.common import map_rows, texts
+from spanledger.llm.common import arrow_schema, map_rows, texts
 from spanledger.llm.quality import held_out
 from spanledger.session import materialize
 
@@ -40,31 +41,64 @@ class LmParams:
 END = b""  # no word is empty
 _RARE, _START = 65535, 65534
 _CHUNKS = 16
-_FLUSH = 400_000
+_FLUSH = 800_000
 _LEVELS = 16
+_SLICE_BYTES = 8_000_000
+#: Rows of odds worked on at a time, so that they stay in the processor's cache.
+_PART = 1024
+
+
+def distinct_tokens(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """(distinct tokens, place among them of every token, tokens of each text): words between ASCII blanks, A-Z lower-cased, then
+    the end."""
+    split = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    sizes = pc.list_value_length(split).to_numpy()
+    coded = split.flatten().cast(pa.large_binary()).dictionary_encode()
+    tokens, places = coded.dictionary, coded.indices.to_numpy()
+    end = pc.index(tokens, pa.scalar(END, pa.large_binary())).as_py()
+    if end >= 0:  # an empty word stands beside blanks at either end of a text
+        kept = places != end
+        sizes = np.bincount(np.repeat(np.arange(len(sizes)), sizes)[kept], minlength=len(sizes))
+        places = places[kept]
+    else:
+        end = len(tokens)
+        tokens = pa.concat_arrays([tokens, pa.array([END], pa.large_binary())])
+    return tokens, np.insert(places, np.cumsum(sizes), end), sizes + 1
+
+
+def _sliced(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.RecordBatch]:
+    """Rows of the batches in order, about ``_SLICE_BYTES`` of text at a time, one row at least."""
+    for batch in batches:
+        ends = np.cumsum(pc.binary_length(batch.column(column)).to_numpy(), dtype=np.int64)
+        at = 0
+        while at < len(ends):
+            stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + _SLICE_BYTES, "right")))
+            yield batch.slice(at, stop - at)
+            at = stop
 
 
-def tokens_of(raw: bytes) -> list[bytes]:
-    """Words between ASCII blanks, A-Z lower-cased, then the end."""
-    words = raw.lower().split()
-    words.append(END)
-    return words
+def token_counts(docs: DataFrame) -> DataFrame:
+    """token (UTF-8), n over all texts; counted within each task first, ``_FLUSH`` rows and a slice at a time."""
 
+    schema = pa.schema([("token", pa.binary()), ("n", pa.int64())])
 
-def token_counts(docs: DataFrame) -> DataFrame:
-    """token (UTF-8), n over all texts; counted within each task first, in bounded tables."""
+    def summed(held):
+        every = pa.Table.from_batches(held, schema).group_by("token", use_threads=False).aggregate([("n", "sum")])
+        return every.rename_columns({"n_sum": "n"}).to_batches(max_chunksize=_FLUSH // 8)
 
-    def rows(batches):
-        counts: Counter = Counter()
-        for batch in batches:
-            for text in batch.column(0):
-                counts.update(tokens_of(text.as_buffer().to_pybytes()))
-                if len(counts) > _FLUSH:
-                    yield from counts.items()
-                    counts.clear()
-        yield from counts.items()
+    def run(batches):
+        held, rows = [], 0
+        for batch in _sliced(batches, 0):
+            tokens, places, _ = distinct_tokens(batch.column(0))
+            counts = np.bincount(places, minlength=len(tokens))
+            held.append(pa.record_batch([tokens.cast(pa.binary()), pa.array(counts, pa.int64())], schema=schema))
+            rows += len(tokens)
+            if rows > _FLUSH:
+                yield from summed(held)
+                held, rows = [], 0
+        yield from summed(held)
 
-    return map_rows(docs.select("text"), rows, "token binary, n bigint").groupBy("token").agg(F.sum("n").alias("n"))
+    return docs.select("text").mapInArrow(run, "token binary, n bigint").groupBy("token").agg(F.sum("n").alias("n"))
 
 
 @dataclass
@@ -114,26 +148,37 @@ def encode_words(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """row, doc_id, held_out, n_tokens, n_known, base and rare (sums over head words), ids (16-bit model words, end included), tail
     (other words)."""
 
-    def rows(batches):
-        base = vocabulary.base(vocabulary.counts) if vocabulary.tokens else np.zeros(0)
-        rare = vocabulary.rare(vocabulary.counts) if vocabulary.tokens else np.zeros(0)
-        rare[: vocabulary.modelled] = 0.0
-        rank = vocabulary.rank.get
-        for batch in batches:
-            heads = [batch.column(k).to_pylist() for k in range(3)]
-            for row, doc_id, held, text in zip(*heads, batch.column(3)):
-                words = tokens_of(text.as_buffer().to_pybytes())
-                ranks = np.fromiter((rank(w, -1) for w in words), np.int64, len(words))
-                known = ranks[ranks >= 0]
-                tail = [words[k] for k in np.flatnonzero(ranks < 0)]
-                ids = np.where((ranks >= 0) & (ranks < vocabulary.modelled), ranks, _RARE).astype("<u2")
-                yield row, doc_id, held, len(words), len(known), float(base[known].sum()), float(rare[known].sum()), ids.tobytes(), tail
-
     ddl = (
         "row bigint, doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base double, rare double, ids binary, "
         "tail array<binary>"
     )
-    return map_rows(docs.select("row", "doc_id", "held_out", "text"), rows, ddl)
+    schema = arrow_schema(T.StructType.fromDDL(ddl))
+
+    def run(batches):
+        base = vocabulary.base(vocabulary.counts) if vocabulary.tokens else np.zeros(0)
+        rare = vocabulary.rare(vocabulary.counts) if vocabulary.tokens else np.zeros(0)
+        rare[: vocabulary.modelled] = 0.0
+        # of a word beyond the head: nothing, added when its count is joined
+        base, rare = np.r_[base, 0.0], np.r_[rare, 0.0]
+        head = pa.array(sorted(vocabulary.rank, key=vocabulary.rank.get), pa.large_binary())
+        for batch in _sliced(batches, 3):
+            tokens, places, sizes = distinct_tokens(batch.column(3))
+            ranks = pc.index_in(tokens, value_set=head).fill_null(-1).to_numpy()
+            ids = np.where((ranks >= 0) & (ranks < vocabulary.modelled), ranks, _RARE).astype("<u2")[places]
+            starts = np.cumsum(sizes) - sizes
+            beyond = (ranks < 0)[places]
+            tails = np.add.reduceat(beyond, starts, dtype=np.int64)
+            sums = [np.add.reduceat(x[ranks][places], starts) for x in (base, rare)]
+            ends = pa.array(np.r_[0, 2 * np.cumsum(sizes)], pa.int32())
+            tail = tokens.take(pa.array(places[beyond])).cast(pa.binary())
+            columns = [
+                *batch.columns[:3], sizes, sizes - tails, *sums,
+                pa.Array.from_buffers(pa.binary(), len(sizes), [None, ends.buffers()[1], pa.py_buffer(ids)]),
+                pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(tails)], pa.int32()), tail),
+            ]
+            yield pa.record_batch(columns, schema=schema)
+
+    return docs.select("row", "doc_id", "held_out", "text").mapInArrow(run, ddl)
 
 
 def _flat(batches: Iterator[pa.RecordBatch], column: int, least: int = 1 << 20) -> Iterator[tuple[np.ndarray, np.ndarray, list]]:
@@ -252,27 +297,53 @@ class ClassModel:
 
     def scores(self, ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """log10 chance of each token, for rare words of their class."""
-        out, wanted = np.empty(len(ids)), self.class_of(ids)
-        features = _features(ids, starts, self.params.buckets)
-        for at in range(0, len(ids), self.params.batch):
-            cut = slice(at, at + self.params.batch)
-            odds = _odds(self.weights, self.bias, [f[cut] for f in features])
-            own = odds[np.arange(len(odds)), wanted[cut]]
-            out[cut] = own - np.log(np.exp(odds, out=odds).sum(axis=1, dtype=np.float64))
+        out, wanted, params = np.empty(len(ids)), self.class_of(ids), self.params
+        features, pasts = _features(ids, starts, params.buckets), _pasts(ids, starts)
+        bias, (odds, room) = np.tile(self.bias, (_PART, 1)), np.empty((2, _PART, len(self.bias)), np.float32)
+        for at in range(0, len(ids), params.batch):
+            cut = slice(at, at + params.batch)
+            order, first, place = _groups(pasts[cut])
+            used, own = [f[cut][order[first]] for f in features], wanted[cut]
+            edges, found = np.r_[first, len(order)], np.empty(len(order))
+            for low in range(0, len(first), _PART):
+                part = slice(low, low + _PART)
+                some = _odds(self.weights, bias, [f[part] for f in used], odds, room)
+                tokens = order[edges[low] : edges[low + len(some)]]
+                rows = place[tokens] - low
+                found[tokens] = some[rows, own[tokens]] - np.log(np.exp(some, out=room[: len(some)]).sum(axis=1, dtype=np.float64))[rows]
+            out[cut] = found
         out /= np.log(10)
         inside = ids < len(self.within)
         out[inside] += self.within[ids[inside]]
         return out
 
 
-def _odds(weights: np.ndarray, bias: np.ndarray, used: list[np.ndarray]) -> np.ndarray:
-    """Log odds of all classes, kept where exponentials fit single precision."""
+def _pasts(ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """One number for the two words before each; tokens with the same have the same features and the same odds."""
+    one, two = _history(ids, starts)
+    return one.astype(np.uint32) << np.uint32(16) | two.astype(np.uint32)
+
+
+def _groups(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(order by key, where each group of equal keys starts in it, group of every key)."""
+    order = np.argsort(keys, kind="stable")
+    ranked = keys[order]
+    new = np.r_[True, ranked[1:] != ranked[:-1]]
+    place = np.empty(len(keys), np.int64)
+    place[order] = np.cumsum(new) - 1
+    return order, np.flatnonzero(new), place
+
+
+def _odds(weights: np.ndarray, bias: np.ndarray, used: list[np.ndarray], out: np.ndarray, room: np.ndarray) -> np.ndarray:
+    """Log odds of all classes, kept where exponentials fit single precision, in the first rows of ``out``. ``bias``: the same in
+    every row, as rows are added faster than one row to each; ``room``: for as many rows."""
+    out, room = out[: len(used[0])], room[: len(used[0])]
     # buckets are within the table, so a mode that does not check each changes nothing and is faster
-    odds = np.take(weights, used[0], axis=0, mode="clip")
-    odds += np.take(weights, used[1], axis=0, mode="clip")
-    odds += np.take(weights, used[2], axis=0, mode="clip")
-    odds += bias
-    return np.clip(odds, -60, 60, out=odds)
+    np.take(weights, used[0], axis=0, mode="clip", out=out)
+    out += np.take(weights, used[1], axis=0, mode="clip", out=room)
+    out += np.take(weights, used[2], axis=0, mode="clip", out=room)
+    out += bias[: len(out)]
+    return np.clip(out, -60, 60, out=out)
 
 
 def _group_sums(values: np.ndarray, order: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -281,35 +352,49 @@ def _group_sums(values: np.ndarray, order: np.ndarray, first: np.ndarray) -> tup
     sizes = np.diff(np.r_[first, len(order)])
     by = np.argsort(-sizes, kind="stable")
     at, sizes = first[by], sizes[by]
-    sums = values[order[at]]
+    sums = np.take(values, order[at], axis=0, mode="clip")
+    room = np.empty_like(sums)
     for k in range(1, _LEVELS):
         more = int(np.searchsorted(-sizes, -k))
         if not more:
             return by, sums
-        sums[:more] += values[order[at[:more] + k]]
+        sums[:more] += np.take(values, order[at[:more] + k], axis=0, mode="clip", out=room[:more])
     for k in range(int(np.searchsorted(-sizes, -_LEVELS))):
-        sums[k] += values[order[at[k] + _LEVELS : at[k] + sizes[k]]].sum(axis=0)
+        sums[k] += np.take(values, order[at[k] + _LEVELS : at[k] + sizes[k]], axis=0, mode="clip").sum(axis=0)
     return by, sums
 
 
 def _update(model: ClassModel, weights: np.ndarray, squares: np.ndarray, ids: np.ndarray, starts: np.ndarray) -> None:
-    """Gradient steps over the tokens in batches; the step of a bucket shrinks with its past gradients."""
+    """Gradient steps over the tokens in batches; the step of a bucket shrinks with its past gradients. The gradient of a batch is
+    that of all its tokens; those after the same two words share their odds, which are worked out once."""
     wanted, features, params = model.class_of(ids), _features(ids, starts, model.params.buckets), model.params
+    pasts, count = _pasts(ids, starts), weights.shape[1]
+    bias, room = np.tile(model.bias, (_PART, 1)), np.empty((_PART, count), np.float32)
+    every = np.empty((min(params.batch, len(ids)), count), np.float32)
     for at in range(0, len(ids), params.batch):
         cut = slice(at, at + params.batch)
-        used = [f[cut] for f in features]
-        odds = _odds(weights, model.bias, used)
-        np.exp(odds, out=odds)
-        odds /= odds.sum(axis=1, keepdims=True)
-        odds[np.arange(len(odds)), wanted[cut]] -= 1
+        order, first, place = _groups(pasts[cut])
+        times = np.diff(np.r_[first, len(order)]).astype(np.float32)
+        used = [f[cut][order[first]] for f in features]
+        slopes = every[: len(first)]
+        for low in range(0, len(first), _PART):
+            part = slice(low, low + _PART)
+            odds = _odds(weights, bias, [f[part] for f in used], slopes[part], room)
+            np.exp(odds, out=odds)
+            odds *= (times[part] / np.einsum("ij->i", odds))[:, None]
+        np.subtract.at(slopes.reshape(-1), place * count + wanted[cut], np.float32(1))
         for f in used:
             order = np.argsort(f, kind="stable")
             ranked = f[order]
             first = np.flatnonzero(np.r_[True, ranked[1:] != ranked[:-1]])
-            by, step = _group_sums(odds, order, first)
+            by, step = _group_sums(slopes, order, first)
             bucket = ranked[first[by]]
-            squares[bucket] += np.einsum("ij,ij->i", step, step)
-            weights[bucket] -= step * (np.float32(params.rate) / np.sqrt(squares[bucket]))[:, None]
+            past = squares[bucket] + np.einsum("ij,ij->i", step, step)
+            squares[bucket] = past
+            step *= (np.float32(params.rate) / np.sqrt(past))[:, None]
+            now = np.take(weights, bucket, axis=0, mode="clip")
+            now -= step
+            weights[bucket] = now
 
 
 def train_classes(encoded: DataFrame, vocabulary: Vocabulary, params: LmParams, workers: int) -> ClassModel:

@@ -4,6 +4,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from spanledger.llm import language_model
@@ -122,3 +123,60 @@ def test_sums_of_groups():
         assert sorted(by) == list(range(len(first)))
         for k, total in zip(keys[order][first[by]], sums):
             assert np.allclose(total, values[keys == k].sum(axis=0), atol=1e-3)
+
+
+def test_odds_once_for_equal_histories_and_steps_for_all_tokens(monkeypatch):
+    params = LmParams(clusters=2, bins=2, buckets=64, batch=500)
+    rng = np.random.default_rng(5)
+    ids = rng.integers(0, 5, 1700)
+    starts = np.array([0, 3, 4, 900])
+    model = ClassModel(
+        params, rng.integers(0, 4, 5), rng.normal(0, 1, (64, 6)).astype(np.float32), rng.normal(0, 1, 6).astype(np.float32), np.zeros(5)
+    )
+    want, past = model.weights.astype(np.float64), np.ones(64)
+    features, wanted, worked = language_model._features(ids, starts, 64), model.class_of(ids), []
+    for at in range(0, len(ids), params.batch):
+        cut = slice(at, at + params.batch)
+        odds = sum(want[f[cut]] for f in features) + model.bias
+        slopes = np.exp(odds) / np.exp(odds).sum(axis=1, keepdims=True)
+        slopes[np.arange(len(slopes)), wanted[cut]] -= 1
+        for f in features:
+            step = np.zeros_like(want)
+            np.add.at(step, f[cut], slopes)
+            past += (step**2).sum(axis=1)
+            want -= step * (params.rate / np.sqrt(past))[:, None]
+    plain = language_model._odds
+
+    def counted(weights, bias, used, *rooms):
+        worked.append(len(used[0]))
+        return plain(weights, bias, used, *rooms)
+
+    monkeypatch.setattr(language_model, "_odds", counted)
+    got, squares = model.weights.copy(), np.ones(64, np.float32)
+    language_model._update(model, got, squares, ids, starts)
+    assert np.allclose(got, want, atol=1e-3) and np.allclose(squares, past, rtol=1e-3)
+    assert sum(worked) <= 4 * 40  # at most 36 histories in each of 4 batches, not 1,700 tokens
+
+
+def test_scores_of_more_histories_than_a_part():
+    params = LmParams(clusters=2, bins=2, buckets=1024, batch=5000)
+    rng = np.random.default_rng(7)
+    ids, starts = rng.integers(0, 60, 12_000), np.array([0, 1, 7000])
+    shape = (1024, 6)
+    model = ClassModel(params, rng.integers(0, 4, 60), rng.normal(0, 1, shape).astype(np.float32), np.zeros(6, np.float32), -rng.random(60))
+    odds = sum(model.weights[f].astype(np.float64) for f in language_model._features(ids, starts, 1024))
+    want = odds[np.arange(len(ids)), model.classes[ids]] - np.log(np.exp(odds).sum(axis=1))
+    assert np.allclose(model.scores(ids, starts), want / np.log(10) + model.within[ids], atol=1e-4)
+
+
+def test_tokens_of_odd_texts(monkeypatch):
+    texts = ["", " ", "\t a  B\n", "b", "A\x0bÉ\x1cx\x85 É\x0c\r", "a " * 50, "İ\xa0z"]
+    for column in (pa.array(texts), pa.array(["cut", *texts, "off"]).slice(1, len(texts)), pa.array(["a b", "c"]), pa.array([], pa.string())):
+        found, places, sizes = language_model.distinct_tokens(column)
+        assert len(set(found.to_pylist())) == len(found)
+        want = [tokens(text) for text in column.to_pylist()]
+        assert [found[k].as_py() for k in places] == [t for own in want for t in own] and sizes.tolist() == [len(own) for own in want]
+    monkeypatch.setattr(language_model, "_SLICE_BYTES", 4)
+    batches = [pa.record_batch([pa.array(texts)], names=["text"]), pa.record_batch([pa.array([], pa.string())], names=["text"])]
+    cut = [batch.column(0).to_pylist() for batch in language_model._sliced(batches, 0)]
+    assert [text for own in cut for text in own] == texts and len(cut) > 3

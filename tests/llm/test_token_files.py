@@ -8,6 +8,7 @@ from tokenizers import Tokenizer
 from spanledger.llm.packed_blocks import BLOCK_IDS, ShardReader, ShardWriter, pack_block, unpack_block
 from pyspark.sql import functions as F
 
+from spanledger.llm import token_files as token_files_module
 from spanledger.llm.common import vocabulary_path
 from spanledger.llm.token_files import (
     END_ID,
@@ -89,3 +90,32 @@ def test_shards_follow_rows_and_bytes(spark, tmp_path):
     sizes = [r.n_docs for r in manifest.collect()]
     assert sum(sizes) == 3000 and len(sizes) >= 8 and max(sizes) < 1000
     assert [(r.start, r.n_tokens) for r in read_token_files(manifest).orderBy("doc_id").collect()] == [(k, 1) for k in range(3000)]
+
+
+ODD_LETTERS = "aBzZéÉßÿ×÷ÑþÞ'’\"<|>1279²½ªºµ.,!-_/\\&$#😀日İΣςéǄ\x00\x1c\x85\xa0\x7f́\t\n\x0b\x0c\r    "
+
+
+@pytest.mark.parametrize("cut, group_bytes", [(True, 4_000_000), (True, 20), (False, 4_000_000)])
+def test_pieces_of_odd_words(library, monkeypatch, cut, group_bytes):
+    rng = random.Random(4)
+    texts = ["".join(rng.choice(ODD_LETTERS) for _ in range(rng.randint(0, 14))) for _ in range(1500)]
+    texts += ["<|endoftext|>", "a<|endoftext|>b", "<|", "< |", "don't 'll ÀÈ's", "Ã", "x" * 700, "é" * 300 + "." * 300, " ", ""]
+    monkeypatch.setattr(token_files_module, "_GROUP_BYTES", group_bytes)
+    words = token_files_module.WordIds(WORD_BPE, limit=500)
+    assert words.cut
+    words.cut = cut
+    for at in range(0, len(texts), 97):
+        own = texts[at : at + 97]
+        ids, counts = words.encode([text.encode() for text in own])
+        assert len(counts) == len(own) and counts.sum() == len(ids)
+        for text, got in zip(own, np.split(ids, np.cumsum(counts)[:-1])):
+            assert got.tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
+    assert words.encode([])[0].tolist() == words.encode([b""])[0].tolist() == []
+
+
+def test_library_sees_each_piece_once():
+    words = token_files_module.WordIds(WORD_BPE)
+    names = [b"tree", b"TREE", "Été".encode(), "étÉ".encode()]
+    words.encode([b" ".join(name + sign for name in names for sign in (b"", b",", b".", b"!!", b"7", b"77"))])
+    # two words, three runs of signs, one digit
+    assert len(words.now) == 6

@@ -530,16 +530,117 @@ def overlap_classify(
     rows with the same start are not seen unless ``include_equal_start`` (then the longer row counts as outside, the
     shorter as inside, on one start).
 
-    Nothing pairs rows with rows. The first two are running extremes over distinct starts. The other two ask, for a
-    point, which interval strictly covering it starts last or ends first: intervals are cut into aligned blocks of
-    4^k days, a point looks up the blocks it lies in. Bounds of other types than dates are first replaced by their number among the
-    distinct bounds of the key.
+    Nothing pairs rows with rows. Hot keys and dates go by ``_classify_by_lookups``. The rows of other keys are shuffled once, by key, and
+    classified where they are. The first two flags are running extremes. The other two ask whether, among the distinct bounds between
+    a row's own, some row starts that ends later, or some row ends that started earlier: the bounds of the key are numbered and
+    collected in aligned blocks of 4^k, a row looks at the blocks that make up its range. Blocks are kept up to the size that some row
+    of the key needs.
     """
     keys = list(keys)
     known = F.col(start).isNotNull() & F.col(end).isNotNull()
     for k in keys:
         known = known & F.col(k).isNotNull()
-    spans = df.filter(known).groupBy(*keys, start, end).agg(F.count(F.lit(1)).alias("_copies"))
+    rows = df.filter(known).select(*keys, start, end)
+    if isinstance(df.schema[start].dataType, T.DateType):
+        return _classify_by_lookups(rows, keys, start, end, include_equal_start, policy)
+    time_slot(df, start, policy)  # refuses other types at any size
+    ordinary, hot = split_hot(rows, keys, policy)
+    dealt = in_bounded_parts(ordinary.repartition(*keys), keys, rows.count(), SPANS_PER_TASK)
+    done = _classify_in_place(dealt, keys, start, end, include_equal_start)
+    if hot is None:
+        return done
+    return done.unionByName(_classify_by_lookups(hot, keys, start, end, include_equal_start, policy))
+
+
+def _classify_in_place(rows: DataFrame, keys: list[str], start: str, end: str, include_equal_start: bool) -> DataFrame:
+    """``overlap_classify`` of rows that are dealt by key, without another shuffle."""
+    spans = rows.groupBy(*keys, start, end).agg(F.count(F.lit(1)).alias("_copies"))
+    ends = F.array(
+        F.struct(F.col(start).alias("_at"), F.lit(0).alias("_side")), F.struct(F.col(end).alias("_at"), F.lit(1).alias("_side"))
+    )
+    points = spans.select("*", F.inline(ends))
+    # before a row's start come the rows of earlier starts, and of its start with shorter ends, which are not longer; before its end
+    # those of earlier ends, and of its end with later starts
+    order = Window.partitionBy(*keys).orderBy("_at", "_side", end, F.col(start).desc())
+    before = order.rowsBetween(BEFORE, -1)
+    is_start = F.col("_side") == 0
+    inside = F.max(F.when(is_start, F.col(end))).over(before) >= F.col(end)
+    outside = F.max(F.when(~is_start, F.col(start))).over(before) > F.col(start)
+    inside, outside = is_start & F.coalesce(inside, F.lit(False)), ~is_start & F.coalesce(outside, F.lit(False))
+    if include_equal_start:
+        twin = F.col("_copies") > 1
+        shorter = F.lag("_at").over(order) == F.col("_at")
+        longer = (F.lead("_at").over(order) == F.col("_at")) & (F.lead("_side").over(order) == 0)
+        outside = outside | (is_start & (F.coalesce(shorter, F.lit(False)) | twin))
+        inside = inside | (is_start & (F.coalesce(longer, F.lit(False)) | twin))
+    numbered = points.withColumns({"_inside": inside, "_outside": outside}).withColumn(
+        "_n", F.dense_rank().over(Window.partitionBy(*keys).orderBy("_at")).cast("long")
+    )
+    ranged = numbered.groupBy(*keys, start, end).agg(
+        F.max("_inside").alias("_inside"),
+        F.max("_outside").alias("_outside"),
+        F.max(F.when(is_start, F.col("_n"))).alias("_n_start"),
+        F.max(F.when(~is_start, F.col("_n"))).alias("_n_end"),
+    )
+    # bounds strictly between a row's own
+    between = F.col("_n_end") - F.col("_n_start") - 1
+    # of the largest block that fits; -1 for an empty range
+    top = F.when(between > 0, F.floor(F.log(4.0, between) + 0.001)).otherwise(-1).cast("int")
+    largest = Window.partitionBy(*keys).orderBy(F.col("_top").desc()).rowsBetween(BEFORE, 0)
+    levelled = (
+        ranged.withColumn("_top", top)
+        .withColumn("_most", F.greatest(F.max("_top").over(largest), F.lit(0)))
+        .withColumn("_level", F.explode(F.sequence(F.lit(0), F.col("_most"))))
+    )
+    size = F.get(_sizes(), F.col("_level"))
+    parent = size * 4
+    first, last = F.col("_n_start") + 1, F.col("_n_end") - 1
+    low, high = F.ceil(first / size).cast("long"), F.floor((last + 1) / size).cast("long") - 1
+    # blocks whose parent fits too are looked at one level up
+    up_low, up_high = F.ceil(first / parent).cast("long") * 4, (F.floor((last + 1) / parent).cast("long") - 1) * 4 + 3
+    none = F.array().cast("array<bigint>")
+
+    # numbers of a block: its starts, its ends and, after them, the rows that look at it
+    def coded(a: Column, b: Column) -> Column:
+        return F.when(b >= a, F.sequence(a * 4 + 2, b * 4 + 2, F.lit(4).cast("long"))).otherwise(none)
+
+    asked = F.when(F.col("_level") > F.col("_top"), none).otherwise(
+        F.when(up_low > up_high, coded(low, high)).otherwise(F.concat(coded(low, up_low - 1), coded(up_high + 1, high)))
+    )
+    own = F.array(
+        F.floor(F.col("_n_start") / size).cast("long") * 4, F.floor(F.col("_n_end") / size).cast("long") * 4 + 1
+    )
+    met = levelled.select(
+        *keys, start, end, "_inside", "_outside", "_level", F.explode(F.concat(own, asked)).alias("_code")
+    ).select("*", F.shiftright("_code", 2).alias("_block"), F.col("_code").bitwiseAND(3).alias("_kind"))
+    block = Window.partitionBy(*keys, "_level", "_block").orderBy("_kind").rowsBetween(BEFORE, 0)
+    looked = met.withColumns(
+        {
+            "_latest": F.max(F.when(F.col("_kind") == 0, F.col(end))).over(block),
+            "_earliest": F.min(F.when(F.col("_kind") == 1, F.col(start))).over(block),
+        }
+    ).filter((F.col("_kind") == 2) | ((F.col("_kind") == 0) & (F.col("_level") == 0)))
+    asks = F.col("_kind") == 2
+    flags = {
+        "outside_flg": F.col("_outside"),
+        "inside_flg": F.col("_inside"),
+        "right_flg": asks & (F.col("_latest") > F.col(end)),
+        "left_flg": asks & (F.col("_earliest") < F.col(start)),
+    }
+    found = looked.groupBy(*keys, start, end).agg(*[F.max(made).alias(name) for name, made in flags.items()])
+    return found.select(*keys, start, end, *[F.coalesce(name, F.lit(False)).alias(name) for name in flags])
+
+
+def _classify_by_lookups(
+    rows: DataFrame, keys: list[str], start: str, end: str, include_equal_start: bool, policy: SkewPolicy
+) -> DataFrame:
+    """``overlap_classify`` for keys of any number of rows.
+
+    The first two flags are running extremes over distinct starts. The other two ask, for a point, which interval strictly covering
+    it starts last or ends first: intervals are cut into aligned blocks of 4^k days, a point looks up the blocks it lies in. Bounds of
+    other types than dates are first replaced by their number among the distinct bounds of the key.
+    """
+    spans = rows.groupBy(*keys, start, end).agg(F.count(F.lit(1)).alias("_copies"))
 
     order, back = Window.partitionBy(*keys).orderBy(start), Window.partitionBy(*keys).orderBy(F.col(start).desc())
     reach = (
@@ -550,7 +651,7 @@ def overlap_classify(
     )
 
     points = spans.select(*keys, F.explode(F.array(start, end)).alias("_at")).distinct()
-    if isinstance(df.schema[start].dataType, T.DateType):
+    if isinstance(rows.schema[start].dataType, T.DateType):
         numbered = points.withColumn("_day", _day("_at"))
         inner = spans.select(*keys, start, end, (_day(start) + 1).alias("_first"), (_day(end) - 1).alias("_last"))
     else:

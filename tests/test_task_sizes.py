@@ -43,3 +43,15 @@ def test_no_hot_key_found(spark):
     df = spark.range(100).select((F.col("id") % 50).alias("k"))
     assert found_hot_keys(df, ["k"], SkewPolicy(hot_rows=3)) is None
     assert found_hot_keys(df, ["k"], SkewPolicy(hot_rows=1)).count() == 50
+
+
+def test_overlaps_are_classified_after_one_shuffle(spark, monkeypatch):
+    at = datetime(2024, 1, 1)
+    rows = [(k, at + timedelta(hours=i), at + timedelta(hours=i + 1 + k * i % 5)) for k in range(10) for i in range(4)]
+    df = spark.createDataFrame(rows, "k long, a timestamp_ntz, b timestamp_ntz")
+    found = iv.overlap_classify(df, ["k"], "a", "b")
+    assert plan(found).count("Exchange") == 1 and "Join" not in plan(found)
+    monkeypatch.setattr(iv, "SPANS_PER_TASK", 8)
+    dealt = iv.overlap_classify(df, ["k"], "a", "b")
+    assert "hashpartitioning(k" in plan(dealt) and ", 5), REPARTITION_BY_NUM" in plan(dealt)
+    assert sorted(dealt.collect()) == sorted(found.collect())

@@ -115,3 +115,21 @@ def test_no_frame_up_to_the_last_row(spark):
     df = spark.createDataFrame(periods(11), SCHEMA)
     for made in (iv.other_owner_overlap(df, "k", "owner", "a", "b"), iv.overlap_classify(df, ["k"], "a", "b")):
         assert "unboundedfollowing" not in made._jdf.queryExecution().executedPlan().toString().lower()
+
+
+@pytest.mark.parametrize("seed", [12, 13])
+def test_overlap_classify_of_long_keys(spark, seed):
+    """Ranges of several block sizes, keys that need fewer, reversed rows."""
+    r = random.Random(seed)
+    rows = []
+    for k, n, longest in (("x", 150, 2000), ("y", 40, 3), ("z", 30, 400)):
+        for _ in range(n):
+            start = T0 + timedelta(minutes=r.randint(0, 2000))
+            rows.append((k, 1, start, start + timedelta(minutes=r.randint(-5, longest))))
+    want = set()
+    for k, _, a, b in rows:
+        others = [(c, d) for x, _, c, d in rows if x == k]
+        want.add((k, a, b, any(a < c and d <= b for c, d in others), any(c < a and b <= d for c, d in others),
+                  any(a < c < b < d for c, d in others), any(c < a < d < b for c, d in others)))
+    got = iv.overlap_classify(spark.createDataFrame(rows, SCHEMA), ["k"], "a", "b")
+    assert set(map(tuple, got.collect())) == want

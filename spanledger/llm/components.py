@@ -42,7 +42,7 @@ def _state(links: DataFrame) -> tuple:
     return tuple(links.agg(F.count("*"), mixed).first())
 
 
-def _stars_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def stars_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The links of a task as stars, by passing on the smallest number along links and along what it points to."""
     held = [tuple(c.to_numpy() for c in batch.columns) for batch in batches if batch.num_rows]
     if not held:
@@ -66,7 +66,7 @@ def _stars_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _locally(links: DataFrame, parts: int) -> DataFrame:
-    return links.repartition(parts).mapInArrow(_stars_of, "a long, b long")
+    return links.repartition(parts).mapInArrow(stars_of, "a long, b long")
 
 
 def _large_star(links: DataFrame) -> DataFrame:

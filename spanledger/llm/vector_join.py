@@ -2,24 +2,28 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow.compute as pc
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spanledger.llm.common import sample_by_dim
-from spanledger.llm.components import connected_components
-from spanledger.session import materialize
+from spanledger.llm.components import connected_components, stars_of
+from spanledger.session import materialize, settings
 
 
 @dataclass(frozen=True)
 class JoinParams:
     """``axis_sample``: vectors (smallest hash) from which the principal axes are found; they only steer the skipping.
-    ``axes``: leading axes for cells and bounding boxes. ``interval``/``leaf``: vectors in a stored interval and in a tile."""
+    ``axes``: leading axes for cells and bounding boxes, ``bound_axes``: for upper bounds of products. ``interval``/``leaf``: vectors
+    in an interval of the sequence and in a tile. ``fan_out``: intervals that are stored as one block, and tiles of a product."""
 
     cosine: float = 0.9
     axis_sample: int = 4096
@@ -27,11 +31,40 @@ class JoinParams:
     interval: int = 1024
     leaf: int = 256
     fan_out: int = 16
+    bound_axes: int = 24
 
 
-def _usable(vector: Column) -> Column:
-    finite = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    return F.coalesce(vector.isNotNull() & finite & F.exists(vector, lambda x: x != 0), F.lit(False))
+#: Bytes of vectors in a block, and in the blocks that one task of the join reads of each side.
+BLOCK_BYTES, SIDE_BYTES = 1 << 22, 1 << 26
+#: Vectors of a block and blocks of a partition are numbered within a node's 63 bits.
+_IN_BLOCK, _IN_PART = 1 << 20, 1 << 18
+#: More than rounding takes from a product of unit vectors in single precision.
+_ROUNDING = 1e-5
+
+
+def _keyed(kind: str):
+    """vec_id, key (digest of the vector's bytes), dim, v (bytes); without a usable vector the last three are null."""
+    schema = pa.schema([("vec_id", pa.int64()), ("key", pa.binary()), ("dim", pa.int32()), ("v", pa.binary())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(1)
+            dims = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            # a null component becomes NaN; -0.0 becomes 0.0
+            values = lists.flatten().to_numpy(zero_copy_only=False).astype(kind) + np.dtype(kind).type(0)
+            stops = np.cumsum(dims)
+            some = np.flatnonzero(dims)
+            usable = np.zeros(len(dims), bool)
+            if len(some):
+                starts = (stops - dims)[some]
+                usable[some] = np.logical_and.reduceat(np.isfinite(values), starts) & np.logical_or.reduceat(values != 0, starts)
+            size, whole = values.itemsize, values.tobytes()
+            made = [whole[(e - n) * size : e * size] if ok else None for e, n, ok in zip(stops.tolist(), dims.tolist(), usable.tolist())]
+            keys = [None if v is None else hashlib.sha256(v).digest() for v in made]
+            sizes = pa.array(dims.astype(np.int32), mask=~usable)
+            yield pa.record_batch([batch.column(0), pa.array(keys, pa.binary()), sizes, pa.array(made, pa.binary())], schema=schema)
+
+    return run
 
 
 def _unit(vectors: np.ndarray) -> np.ndarray:
@@ -49,61 +82,100 @@ def principal_axes(units: np.ndarray, count: int) -> np.ndarray:
     return np.linalg.eigh(np.nan_to_num(spread))[1][:, ::-1][:, :count]
 
 
-def _cells(axes: dict[int, np.ndarray], eps: float):
-    """Grid cell on the leading axes as text that sorts in grid order, and the place on the first axis."""
+def _cells(axes: dict[int, np.ndarray], params: JoinParams, eps: float, kind: str):
+    """Vectors with their grid cell on the leading axes, as text that sorts in grid order, and the place on the first axis. Copies
+    within a batch become one row."""
+    schema = pa.schema([("key", pa.binary()), ("dim", pa.int32()), ("v", pa.binary()), ("n", pa.int64()), ("first", pa.int64()),
+                        ("cell", pa.string()), ("place", pa.float64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            dims = batch.column(1).to_numpy()
-            order = np.argsort(dims, kind="stable")
-            batch = batch.take(pa.array(order))
-            cells, places = [], []
+            if not batch.num_rows:
+                continue
+            met: dict[bytes, int] = {}
+            group = np.array([met.setdefault(k, len(met)) for k in batch.column(1).to_pylist()], np.int64)
+            taken = np.zeros(len(met), np.int64)
+            taken[group[::-1]] = np.arange(len(group))[::-1]
+            grouped = pa.table({"g": pa.array(group), "id": batch.column(0)}).group_by("g", use_threads=False).aggregate([("id", "min")])
+            first = grouped.sort_by("g").column("id_min").combine_chunks().cast(pa.int64())
+            batch = batch.take(pa.array(taken))
+            dims = batch.column(2).to_numpy()
+            cells, places = np.empty(len(dims), object), np.zeros(len(dims))
             for dim in np.unique(dims):
-                part = batch.column(2).filter(pa.array(dims[order] == dim))
-                at = _unit(part.flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)) @ axes[dim]
+                rows = np.flatnonzero(dims == dim)
+                part = np.frombuffer(b"".join(batch.column(3).take(pa.array(rows)).to_pylist()), kind).reshape(-1, dim)
+                at = _unit(part) @ axes[dim][:, : params.axes]
                 grid = np.floor((at + 1) / eps).astype(np.int64).clip(0, 0xFFFF)
-                cells += [row.astype(">u2").tobytes().hex() for row in grid]
-                places += at[:, 0].tolist() if at.shape[1] else [0.0] * len(at)
-            names = ["node", "dim", "v", "n", "cell", "place"]
-            yield pa.record_batch([*(batch.column(k) for k in range(4)), pa.array(cells, pa.string()), pa.array(places, pa.float64())], names)
+                cells[rows] = [row.astype(">u2").tobytes().hex() for row in grid]
+                if at.shape[1]:
+                    places[rows] = at[:, 0]
+            counts = np.bincount(group, minlength=len(met)).astype(np.int64)
+            columns = [batch.column(1), batch.column(2), batch.column(3), pa.array(counts), first, pa.array(cells, pa.string()), pa.array(places)]
+            yield pa.record_batch(columns, schema=schema)
 
     return run
 
 
-def _intervals(axes: dict[int, np.ndarray], size: int):
-    """Cut the sorted rows of a partition into intervals with bounding boxes."""
+_BLOCK = "block long, dim int, low array<double>, high array<double>, vectors binary, copies binary, keys binary, firsts array<bigint>"
+
+
+def _blocks(axes: dict[int, np.ndarray], params: JoinParams, kind: str):
+    """Merge copies among the sorted rows of a partition and cut them into blocks with bounding boxes."""
+    width = np.dtype(kind).itemsize
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, held = 0, []
+        number = TaskContext.get().partitionId() * _IN_PART
+        held: list[list] = []
 
-        def out(rows):
+        def out(rows: list[list]) -> pa.RecordBatch:
             nonlocal number
-            (_, dim, _, _), at = rows[0], [np.stack([r[2] for r in rows])]
-            places = _unit(at[0]) @ axes[dim]
-            number += 1
-            columns = [
-                pa.array([dim], pa.int32()), pa.array([number], pa.int32()),
+            dim, vectors = rows[0][1], b"".join(r[2] for r in rows)
+            places = _unit(np.frombuffer(vectors, kind).reshape(-1, dim)) @ axes[dim][:, : params.axes]
+            made = [
+                pa.array([number], pa.int64()), pa.array([dim], pa.int32()),
                 pa.array([places.min(axis=0).tolist()], pa.list_(pa.float64())),
                 pa.array([places.max(axis=0).tolist()], pa.list_(pa.float64())),
-                pa.array([np.array([r[0] for r in rows], np.int64).tobytes()], pa.binary()),
+                pa.array([vectors], pa.binary()),
                 pa.array([np.array([r[3] for r in rows], np.int64).tobytes()], pa.binary()),
-                pa.array([at[0].tobytes()], pa.binary()), pa.array([at[0].dtype.str], pa.string()),
+                pa.array([b"".join(r[0] for r in rows)], pa.binary()),
+                pa.array([[r[4] for r in rows]], pa.list_(pa.int64())),
             ]
-            return pa.record_batch(columns, ["dim", "number", "low", "high", "nodes", "copies", "vectors", "kind"])
+            number += 1
+            return pa.record_batch(made, ["block", "dim", "low", "high", "vectors", "copies", "keys", "firsts"])
 
         for batch in batches:
-            vectors = batch.column(2)
-            for k, (node, dim, n) in enumerate(zip(*(batch.column(i).to_pylist() for i in (0, 1, 3)))):
-                if held and (len(held) == size or held[0][1] != dim):
+            for row in zip(*(batch.column(i).to_pylist() for i in range(5))):
+                if held and held[-1][0] == row[0]:
+                    last = held[-1]
+                    last[3] += row[3]
+                    last[4] = min((x for x in (last[4], row[4]) if x is not None), default=None)
+                    continue
+                if held and (len(held) == _block_rows(held[0][1], width, params) or held[0][1] != row[1]):
                     yield out(held)
                     held = []
-                held.append((node, dim, vectors[k].values.to_numpy(zero_copy_only=False), n))
+                held.append(list(row))
         if held:
             yield out(held)
 
     return run
 
 
+def _block_rows(dim: int, width: int, params: JoinParams) -> int:
+    return max(1, min(params.interval * params.fan_out, _IN_BLOCK, BLOCK_BYTES // (dim * width)))
+
+
+def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """node, key, n, first: a row for each different vector, from the rows of blocks."""
+    for batch in batches:
+        for block, copies, keys, firsts in zip(*(batch.column(i) for i in range(4))):
+            n, keys = np.frombuffer(copies.as_py(), np.int64), keys.as_py()
+            yield pa.record_batch(
+                [pa.array(block.as_py() * _IN_BLOCK + np.arange(len(n))), pa.array([keys[i : i + 32] for i in range(0, len(keys), 32)], pa.binary()),
+                 pa.array(n), firsts.values],
+                ["node", "key", "n", "first"],
+            )
+
+
 def _apart(low_a: str, high_a: str, low_b: str, high_b: str) -> Column:
     """Squared distance of two boxes."""
     gap = F.zip_with(
@@ -113,118 +185,146 @@ def _apart(low_a: str, high_a: str, low_b: str, high_b: str) -> Column:
     return F.aggregate(gap, F.lit(0.0), lambda total, x: total + x * x)
 
 
-def close_intervals(boxes: DataFrame, eps: float, fan_out: int) -> DataFrame:
-    """a, b (a <= b): intervals of the sequence whose boxes are within ``eps``.
-
-    The sequence is joined with itself from the whole down: a pair of long intervals that is not provably distant is
-    replaced by the pairs of their parts. ``boxes``: place (from 0, without gaps), dim, low, high.
-    """
-    count = (boxes.agg(F.max("place")).first()[0] or 0) + 1
-    levels = [boxes]
-    while fan_out ** (len(levels) - 1) < count:
-        below = levels[-1]
-        axes = below.select("dim", "place", "low", "high")
-        parts = axes.withColumn("axis", F.explode(F.sequence(F.lit(0), F.size("low") - 1)))
-        sides = parts.groupBy("dim", (F.floor(F.col("place") / fan_out)).cast("long").alias("place"), "axis").agg(
-            F.min(F.get("low", F.col("axis"))).alias("l"), F.max(F.get("high", F.col("axis"))).alias("h")
-        )
-        sided = F.sort_array(F.collect_list(F.struct("axis", "l", "h")))
-        levels.append(
-            sides.groupBy("dim", "place").agg(sided.alias("s")).select("dim", "place", F.col("s.l").alias("low"), F.col("s.h").alias("high"))
-        )
-    limit = eps * eps * (1 + 1e-9)
-    pairs = levels[-1].select("dim", F.col("place").alias("a"), F.col("place").alias("b"))
-    for level in reversed(levels[:-1]):
-        up = (F.floor(F.col("place") / fan_out)).cast("long")
-        left = level.select("dim", up.alias("a"), F.col("place").alias("_a"), F.col("low").alias("low_a"), F.col("high").alias("high_a"))
-        right = level.select("dim", up.alias("b"), F.col("place").alias("_b"), F.col("low").alias("low_b"), F.col("high").alias("high_b"))
-        pairs = (
-            pairs.join(left, ["dim", "a"]).join(right, ["dim", "b"]).filter("_a <= _b")
-            .filter(_apart("low_a", "high_a", "low_b", "high_b") <= limit)
-            .select("dim", F.col("_a").alias("a"), F.col("_b").alias("b"))
-        )
-    return pairs
-
-
-def _tiles(units: np.ndarray, places: np.ndarray, leaf: int):
-    cuts = list(range(0, len(units), leaf))
-    low = np.stack([places[c : c + leaf].min(axis=0) for c in cuts])
-    high = np.stack([places[c : c + leaf].max(axis=0) for c in cuts])
-    return cuts, low, high
-
-
-def _tree_links(near: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Links (row, column) that connect whatever the true entries of ``near`` connect."""
-    rows = set(np.flatnonzero(near.any(axis=1)).tolist())
-    columns_left = np.ones(near.shape[1], bool)
-    while rows:
-        queue = [rows.pop()]
-        while queue:
+def close_blocks(blocks: DataFrame, eps: float) -> DataFrame:
+    """Every pair of blocks, a block with itself too, whose boxes are within ``eps``: the columns of one as ``a_...``, of the other as
+    ``b_...``. Tasks read the stored blocks of both sides; nothing is shuffled, so pairs take no disk whatever their number."""
+    left, right = (blocks.select(*[F.col(c).alias(f"{side}_{c}") for c in blocks.columns]) for side in "ab")
+    # not an equality, which would be shuffled
+    alike = (F.col("a_dim") <= F.col("b_dim")) & (F.col("a_dim") >= F.col("b_dim")) & (F.col("a_block") <= F.col("b_block"))
+    near = _apart("a_low", "a_high", "b_low", "b_high") <= eps * eps * (1 + 1e-9)
+    return left.join(right.hint("shuffle_replicate_nl"), alike & near)
+
+
+@dataclass
+class _Block:
+    number: int
+    units: np.ndarray
+    bounds: np.ndarray
+    copies: np.ndarray
+    low: np.ndarray
+    high: np.ndarray
+    total: np.ndarray
+
+
+def _loaded(number: int, dim: int, vectors: bytes, copies: bytes, axes: np.ndarray, params: JoinParams, kind: str) -> _Block:
+    """``bounds``: places on the axes and what of the length is off them, so that their products are no less than those of ``units``."""
+    units = _unit(np.frombuffer(vectors, kind).reshape(-1, dim))
+    places = units @ axes
+    off = np.sqrt(np.maximum(0, 1 - (places * places).sum(axis=1)))
+    bounds = np.column_stack([places, off]).astype(np.float32)
+    cuts = range(0, len(units), params.leaf)
+    low, high = (np.stack([f(places[c : c + params.leaf, : params.axes], axis=0) for c in cuts]) for f in (np.min, np.max))
+    n = np.frombuffer(copies, np.int64)
+    return _Block(number, units, bounds, n, low, high, np.zeros(len(n), np.int64))
+
+
+def _tree_links(near: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links (rows, columns) that connect whatever the true entries of ``near`` connect."""
+    rows_left, columns_left = near.any(axis=1), near.any(axis=0)
+    rows, columns = [], []
+    for start in np.flatnonzero(rows_left):
+        if not rows_left[start]:
+            continue
+        rows_left[start] = False
+        queue = [start]
+        while queue and columns_left.any():
             row = queue.pop()
             fresh = np.flatnonzero(near[row] & columns_left)
             columns_left[fresh] = False
-            for column in fresh.tolist():
-                yield row, column
-                for other in np.flatnonzero(near[:, column]).tolist():
-                    if other in rows:
-                        rows.discard(other)
-                        queue.append(other)
-                        yield other, column
-
-
-def _joiner(axes: dict[int, np.ndarray], params: JoinParams, eps: float):
-    """Rows by home interval, itself first: a, b (link, n null) and a, n (number of rows linked with node a, b null)."""
+            rows.append(np.full(len(fresh), row))
+            columns.append(fresh)
+            for column in fresh:
+                if not rows_left.any():
+                    break
+                others = np.flatnonzero(near[:, column] & rows_left)
+                rows_left[others] = False
+                queue += others.tolist()
+                rows.append(others)
+                columns.append(np.full(len(others), column))
+    return np.concatenate(rows), np.concatenate(columns)
+
+
+def _true_at(near: np.ndarray) -> np.ndarray:
+    """``np.flatnonzero``, eight entries at a time where that is possible: nearly all are false."""
+    flat = near.ravel()
+    if flat.size % 8:
+        return np.flatnonzero(flat)
+    words = np.flatnonzero(flat.view(np.uint64))
+    at, byte = np.nonzero(flat.reshape(-1, 8)[words])
+    return words[at] * 8 + byte
+
+
+def _links_of(a: _Block, b: _Block, params: JoinParams, eps: float) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Adds to the blocks' totals how many rows each vector is linked with in the other; enough links (places in ``a``, in ``b``) to
+    connect what all connect. Tiles apart by more than ``eps`` are skipped, products first bounded on the leading axes."""
+    same, leaf, found = a is b, params.leaf, []
+    gap = np.maximum(0, np.maximum(a.low[:, None] - b.high[None], b.low[None] - a.high[:, None]))
+    close = (gap * gap).sum(axis=2) <= eps * eps * (1 + 1e-9)
+    if same:
+        close = np.triu(close)
+    for i in np.flatnonzero(close.any(axis=1)):
+        tiles = np.flatnonzero(close[i])
+        for run in np.split(tiles, np.flatnonzero(np.diff(tiles) > 1) + 1):
+            for k in range(0, len(run), params.fan_out):
+                some = run[k : k + params.fan_out]
+                x, y = slice(i * leaf, (i + 1) * leaf), slice(some[0] * leaf, (some[-1] + 1) * leaf)
+                near = a.bounds[x] @ b.bounds[y].T >= np.float32(params.cosine - _ROUNDING)
+                hits = _true_at(near)
+                if not len(hits):
+                    continue
+                if len(hits) * 64 > near.size:
+                    near &= a.units[x] @ b.units[y].T >= params.cosine
+                    if same:
+                        near &= np.arange(near.shape[0])[:, None] + x.start < np.arange(near.shape[1])[None] + y.start
+                    if near.any():
+                        a.total[x] += near @ b.copies[y]
+                        b.total[y] += a.copies[x] @ near
+                        rows, columns = _tree_links(near)
+                        found.append((rows + x.start, columns + y.start))
+                    continue
+                rows, columns = np.divmod(hits, near.shape[1])
+                rows, columns = rows + x.start, columns + y.start
+                if same:
+                    rows, columns = rows[rows < columns], columns[rows < columns]
+                fits = np.einsum("ij,ij->i", a.units[rows], b.units[columns]) >= params.cosine
+                rows, columns = rows[fits], columns[fits]
+                if len(rows):
+                    np.add.at(a.total, rows, b.copies[columns])
+                    np.add.at(b.total, columns, a.copies[rows])
+                    found.append((rows, columns))
+    return found
+
+
+def _joiner(axes: dict[int, np.ndarray], params: JoinParams, eps: float, kind: str):
+    """Pairs of blocks to a, b (link, n null) and a, n (number of rows linked with node a, b null)."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("n", pa.int64())])
 
-    def load(dim, nodes, copies, vectors, kind):
-        units = _unit(np.frombuffer(vectors, np.dtype(kind)).reshape(-1, dim))
-        places = units @ axes[dim]
-        return np.frombuffer(nodes, np.int64), np.frombuffer(copies, np.int64), units, _tiles(units, places, params.leaf)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        home, home_key, total = None, None, None
+        home: _Block | None = None
+        totals: dict[int, np.ndarray] = {}
 
-        def counted(nodes, counts):
-            some = np.flatnonzero(counts)
-            return pa.record_batch([pa.array(nodes[some]), pa.nulls(len(some), pa.int64()), pa.array(counts[some])], schema=schema)
+        def loaded(row: dict, side: str) -> _Block:
+            number, dim = row[f"{side}_block"], row["a_dim"]
+            block = _loaded(number, dim, row[f"{side}_vectors"], row[f"{side}_copies"], axes[dim], params, kind)
+            block.total = totals.setdefault(number, block.total)
+            return block
 
         for batch in batches:
-            for row in batch.to_pylist():
-                other = load(row["dim"], row["nodes"], row["copies"], row["vectors"], row["kind"])
-                key = (row["dim"], row["home"])
-                same = row["home"] == row["other"]
-                if key != home_key:
-                    if home is not None:
-                        yield counted(home[0], total)
-                    # the interval itself comes first
-                    home, home_key, total = other, key, np.zeros(len(other[0]), np.int64)
-                nodes_a, copies_a, units_a, (cuts_a, low_a, high_a) = home
-                nodes_b, copies_b, units_b, (cuts_b, low_b, high_b) = other
-                gap = np.maximum(0, np.maximum(low_a[:, None] - high_b[None], low_b[None] - high_a[:, None]))
-                close = (gap * gap).sum(axis=2) <= eps * eps * (1 + 1e-9)
-                counts_b = np.zeros(len(nodes_b), np.int64)
-                links: list[tuple[int, int]] = []
-                for i, j in zip(*np.nonzero(close)):
-                    if same and j < i:
-                        continue
-                    a, b = slice(cuts_a[i], cuts_a[i] + params.leaf), slice(cuts_b[j], cuts_b[j] + params.leaf)
-                    near = units_a[a] @ units_b[b].T >= params.cosine
-                    if same and i == j:
-                        np.fill_diagonal(near, False)
-                    if not near.any():
-                        continue
-                    total[a] += near @ copies_b[b]
-                    if not same or i != j:
-                        counted_b = total if same else counts_b
-                        counted_b[b] += copies_a[a] @ near
-                    links += [(nodes_a[a][x], nodes_b[b][y]) for x, y in _tree_links(near)]
+            for k in range(batch.num_rows):
+                row = batch.slice(k, 1).to_pylist()[0]
+                if home is None or home.number != row["a_block"]:
+                    home = loaded(row, "a")
+                other = home if row["b_block"] == home.number else loaded(row, "b")
+                links = _links_of(home, other, params, eps)
                 if links:
-                    left, right = zip(*links)
-                    yield pa.record_batch([pa.array(left, pa.int64()), pa.array(right, pa.int64()), pa.nulls(len(links), pa.int64())], schema=schema)
-                if counts_b.any():
-                    yield counted(nodes_b, counts_b)
-        if home is not None:
-            yield counted(home[0], total)
+                    left, right = (np.concatenate(x) for x in zip(*links))
+                    pairs = pa.record_batch([pa.array(home.number * _IN_BLOCK + left), pa.array(other.number * _IN_BLOCK + right)], ["a", "b"])
+                    for star in stars_of(iter([pairs])):
+                        yield pa.record_batch([*star.columns, pa.nulls(star.num_rows, pa.int64())], schema=schema)
+        for number, total in totals.items():
+            some = np.flatnonzero(total)
+            if len(some):
+                yield pa.record_batch([pa.array(number * _IN_BLOCK + some), pa.nulls(len(some), pa.int64()), pa.array(total[some])], schema=schema)
 
     return run
 
@@ -239,61 +339,54 @@ def near_vectors(vectors: DataFrame, params: JoinParams = JoinParams(), id_col:
     connect what all connect. A null id stays null, is never kept, and counts as a link; repeated rows are rows of their own;
     an empty table gives an empty one; other columns are not read.
     """
+    spark = vectors.sparkSession
     given = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).alias("v"))
-    good = F.when(_usable(F.col("v")), F.transform("v", lambda x: x + F.lit(0).cast(_element(given))))
-    rows = materialize(given.select("vec_id", good.alias("v")), "vectors")
-    different = materialize(
-        rows.filter("v IS NOT NULL").groupBy("v").agg(F.count("*").alias("n"), F.min("vec_id").alias("first"))
-        .select(F.monotonically_increasing_id().alias("node"), F.size("v").alias("dim"), "v", "n", "first"),
-        "different-vectors",
-    )
+    kind = "float32" if _element(given) == "float" else "float64"
+    given = given.withColumn("v", F.col("v").cast("array<float>" if kind == "float32" else "array<double>"))
+    rows = materialize(given.mapInArrow(_keyed(kind), "vec_id long, key binary, dim int, v binary"), "vectors")
+    usable = rows.filter("key IS NOT NULL")
     # one row for each length of vectors
-    sizes = {r.dim: r.n for r in different.groupBy("dim").agg(F.count("*").alias("n")).collect()}
-    some = sample_by_dim(different, sizes, params.axis_sample, "node", ["dim", "v"])
+    sizes = {r.dim: r.n for r in usable.groupBy("dim").agg(F.count("*").alias("n")).collect()}
+    some = sample_by_dim(usable.withColumn("chance", F.xxhash64("vec_id", "key")), sizes, params.axis_sample, "chance", ["dim", "v"])
     axes = {
-        d: principal_axes(_unit(np.array([r.v for r in some if r.dim == d], np.float64).reshape(-1, d)), params.axes)
+        d: principal_axes(_unit(np.frombuffer(b"".join(r.v for r in some if r.dim == d), kind).reshape(-1, d)), max(params.axes, params.bound_axes))
         for d in sizes
     }
     # two unit vectors at this cosine are so far apart; projections are no farther
     eps = math.sqrt(max(0.0, 2 - 2 * params.cosine))
-    kind = "float" if _element(given) == "float" else "double"
-    celled = different.select("node", "dim", F.col("v").cast(f"array<{kind}>").alias("v"), "n").mapInArrow(
-        _cells(axes, max(eps, 1e-6)), f"node long, dim int, v array<{kind}>, n long, cell string, place double"
+    celled = usable.select("vec_id", "key", "dim", "v").mapInArrow(
+        _cells(axes, params, max(eps, 1e-6), kind), "key binary, dim int, v binary, n long, first long, cell string, place double"
     )
-    celled = materialize(celled, "celled")
-    parts = max(1, -(-sum(sizes.values()) // (4 * params.interval)))
-    ordered = celled.repartitionByRange(parts, "dim", "cell", "place", "node").sortWithinPartitions("dim", "cell", "place", "node")
-    cut = ordered.select("node", "dim", "v", "n").mapInArrow(
-        _intervals(axes, params.interval),
-        "dim int, number int, low array<double>, high array<double>, nodes binary, copies binary, vectors binary, kind string",
-    )
-    cut = materialize(cut.withColumn("part", F.spark_partition_id()), "intervals")
-    # one row for an interval of vectors
-    place = F.row_number().over(Window.partitionBy("dim").orderBy("part", "number")).cast("long") - 1
-    placed = materialize(cut.select("dim", "part", "number", "low", "high").withColumn("place", place), "places")
-    pairs = materialize(close_intervals(placed.select("dim", "place", "low", "high"), eps, params.fan_out), "interval-pairs")
-    swap = (F.col("a") + F.col("b")) % 2 == 1
-    turned = pairs.select("dim", F.when(swap, F.col("b")).otherwise(F.col("a")).alias("home"),
-                          F.when(swap, F.col("a")).otherwise(F.col("b")).alias("other"))
-    every = turned.unionByName(turned.select("dim", F.col("home"), F.col("home").alias("other"))).distinct()
-    stored = cut.join(placed.select("dim", "part", "number", "place"), ["dim", "part", "number"])
-    payload = stored.select("dim", F.col("place").alias("other"), "nodes", "copies", "vectors", "kind")
-    dealt = (
-        every.join(payload, ["dim", "other"]).repartition("dim", "home")
-        .sortWithinPartitions("dim", "home", F.col("home") != F.col("other"), "other")
-    )
-    found = materialize(dealt.mapInArrow(_joiner(axes, params, eps), "a long, b long, n long"), "found")
+    cores, total, width = spark.sparkContext.defaultParallelism, sum(sizes.values()), np.dtype(kind).itemsize
+    in_blocks = sum(-(-n // (2 * _block_rows(d, width, params))) for d, n in sizes.items())
+    parts = max(1, in_blocks, min(cores, -(-total // params.interval)))
+    order = ["dim", "cell", "place", "key"]
+    ordered = celled.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    cut = materialize(ordered.select("key", "dim", "v", "n", "first").mapInArrow(_blocks(axes, params, kind), _BLOCK), "blocks")
+    # every part of one side meets every part of the other in a task
+    side = {
+        "spark.sql.files.maxPartitionBytes": str(SIDE_BYTES),
+        "spark.sql.files.openCostInBytes": "0",
+        "spark.sql.files.minPartitionNum": str(math.isqrt(8 * cores)),
+        # two blocks in a row
+        "spark.sql.execution.arrow.maxRecordsPerBatch": "4",
+    }
+    with settings(spark, **side):
+        pairs = close_blocks(cut.select("block", "dim", "low", "high", "vectors", "copies"), eps)
+        kept = pairs.select("a_block", "a_dim", "a_vectors", "a_copies", "b_block", "b_vectors", "b_copies")
+        found = materialize(kept.mapInArrow(_joiner(axes, params, eps, kind), "a long, b long, n long"), "found")
+    different = cut.select("block", "copies", "keys", "firsts").mapInArrow(_nodes, "node long, key binary, n long, first long")
     counts = found.filter("b IS NULL").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("others"))
     roots = connected_components(found.filter("b IS NOT NULL").select("a", "b"))
     known = (
         different.join(counts, "node", "left").join(roots, "node", "left")
-        .select("v", "first", (F.col("n") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"), F.coalesce("root", "node").alias("root"))
+        .select("key", "first", (F.col("n") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"), F.coalesce("root", "node").alias("root"))
     )
     known = materialize(known, "known-vectors")
     smallest = known.groupBy("root").agg(F.min("first").alias("component_id"))
-    classes = known.join(smallest, "root").select("v", "n_links", "component_id")
-    linked = rows.filter("v IS NOT NULL").join(classes, "v").select("vec_id", "n_links", "component_id")
-    alone = rows.filter("v IS NULL").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
+    classes = known.join(smallest, "root").select("key", "n_links", "component_id")
+    linked = usable.select("vec_id", "key").join(classes, "key").select("vec_id", "n_links", "component_id")
+    alone = rows.filter("key IS NULL").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     kept = F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False))
     return linked.unionByName(alone).withColumn("kept", kept)
 

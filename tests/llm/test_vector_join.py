@@ -3,6 +3,9 @@ import random
 
 import pytest
 
+import numpy as np
+
+from spanledger.llm import vector_join
 from spanledger.llm.vector_join import JoinParams, near_vectors
 
 
@@ -63,3 +66,39 @@ def test_odd_rows(spark):
     assert found(spark, rows) == brute(rows, 0.9)
     assert near_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
     assert found(spark, [(1, None), (2, [0.0])]) == brute([(1, None), (2, [0.0])], 0.9)
+
+
+def test_blocks_meet_without_a_shuffle(spark, monkeypatch):
+    """What is shuffled must not grow with the pairs of blocks that are near each other."""
+    plans, close = [], vector_join.close_blocks
+    def seen(blocks, eps):
+        pairs = close(blocks, eps)
+        plans.append(pairs._jdf.queryExecution().executedPlan().toString())
+        assert blocks.count() > 3
+        return pairs
+
+    monkeypatch.setattr(vector_join, "close_blocks", seen)
+    r = random.Random(4)
+    rows = [(k, [r.gauss(0, 1) for _ in range(6)]) for k in range(200)]
+    assert found(spark, rows) == brute(rows, 0.9)
+    assert len(plans) == 1 and "CartesianProduct" in plans[0] and "Exchange" not in plans[0]
+
+
+@pytest.mark.parametrize("size", [(40, 56), (7, 9)])
+def test_trees_and_hits(size):
+    rng = np.random.default_rng(3)
+    for share in (0.0, 0.01, 0.05, 0.5, 1.0):
+        near = rng.random(size) < share
+        assert np.array_equal(vector_join._true_at(near), np.flatnonzero(near))
+        if not near.any():
+            continue
+
+        def parts(rows, columns):
+            of = np.arange(sum(size))
+            for x, y in zip(rows, columns + size[0]):
+                of[of == of[x]] = of[y]
+            return [frozenset(np.flatnonzero(of == k).tolist()) for k in np.unique(of)]
+
+        rows, columns = vector_join._tree_links(near)
+        assert near[rows, columns].all() and len(rows) < sum(size)
+        assert set(parts(rows, columns)) == set(parts(*np.nonzero(near)))
